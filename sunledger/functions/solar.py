@@ -92,7 +92,10 @@ def sun_angles(
     elevation: Column = F.col("elevation_raw")
     if digits is not None:
         azimuth, elevation = rint_round(azimuth, digits), rint_round(elevation, digits)
-    return out.select(*keep, azimuth.alias("Azimuth"), elevation.alias("Elevation"))
+    # Exploding a one-element array keeps a later filter on the angles above this
+    # point. Pushed through the steps it would repeat each one wherever it is used.
+    angles = F.array(F.struct(azimuth.alias("Azimuth"), elevation.alias("Elevation")))
+    return out.select(*keep, F.inline(angles))
 
 
 def _doubles(text: str) -> str:

@@ -100,13 +100,15 @@ def serial_fields(serial: Column) -> dict[str, Column]:
     are null.
     """
     bare = F.split_part(F.trim(serial), F.lit("."), F.lit(1))
-    stamp = F.substring(bare, 1, 12)
-    spaced = F.when(
-        stamp.rlike(r"^\d{12}$"),
-        F.regexp_replace(stamp, r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:00"),
+
+    def number(start: int, length: int) -> Column:
+        return F.substring(bare, start, length).try_cast("int")
+
+    start = F.try_make_timestamp_ntz(
+        number(1, 4), number(5, 2), number(7, 2), number(9, 2), number(11, 2), F.lit(0).cast("decimal(16,6)")
     )
     site = F.when(F.length(bare) > 0, F.right(bare, F.lit(2)))
     return {
-        "slot_start": spaced.try_cast("timestamp_ntz"),
+        "slot_start": F.when(bare.rlike(r"^\d{12}"), start),
         "LocationCode": F.when(site.rlike(r"^\s*[+-]?\d+\s*$"), site).try_cast("int"),
     }

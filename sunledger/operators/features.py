@@ -118,8 +118,9 @@ def align_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] =
 
 def site_dimension(spark, attributes: Mapping[int, tuple[int, int]] | None = None) -> DataFrame:
     """(LocationCode, angle, story) for the measuring sites."""
-    rows = [(k, *v) for k, v in (attributes or SITE_ATTRIBUTES).items()]
-    return spark.createDataFrame(rows, "LocationCode int, angle int, story int")
+    rows = ", ".join(f"({k}, {a}, {s})" for k, (a, s) in (attributes or SITE_ATTRIBUTES).items())
+    # Literal rows have a known size, so that the join is planned as a broadcast.
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(LocationCode, angle, story)")
 
 
 # Panel azimuth in degrees and floor of each site.

@@ -99,10 +99,24 @@ def resample_linear(
     ticks without a sample stay null and trailing ticks hold the last sample.
     ``ts`` must be unique per series.
     """
-    placed = _with_bounds(df, ts, by, step, origin)
-    offset = epoch_seconds(F.col(ts)) - epoch_seconds(F.col("_lo"))
-    on_grid = placed.where((offset % step == 0) & (F.col(ts) - F.col("_lo") == seconds_interval(offset)))
-    spans = _spans(on_grid, values, ts, by)
+    rows = df.where(F.col(ts).isNotNull()).select(*by, ts, *values)
+    if origin == "day":
+        if DAY_SECONDS % step:
+            raise ValueError("a grid counted from midnight needs a step that divides the day")
+        on_grid = floor_seconds(F.col(ts), step) == F.col(ts)
+        lo, hi = floor_seconds(F.col("_min"), step), floor_seconds(F.col("_max"), step)
+    elif origin == "min":
+        rows = _with_start(rows, ts, by)
+        offset = epoch_seconds(F.col(ts)) - epoch_seconds(F.col("_start"))
+        on_grid = (offset % step == 0) & (F.col(ts) - F.col("_start") == seconds_interval(offset))
+        lo = F.col("_min")
+        reach = epoch_seconds(F.col("_max")) - epoch_seconds(lo) - (
+            F.when(_fraction(F.col("_max")) < _fraction(lo), 1).otherwise(0)
+        )
+        hi = lo + seconds_interval(F.floor(reach / F.lit(step)).cast("bigint") * step)
+    else:
+        raise ValueError(f"unknown origin {origin!r}")
+    spans = _spans(rows, values, ts, by, used=on_grid).withColumns({"_lo": lo, "_hi": hi})
 
     first_tick = F.when(F.col("_is_first"), F.col("_lo")).otherwise(F.col(ts))
     last_tick = F.coalesce(F.col("_next_ts") - seconds_interval(step), F.col("_hi"))
@@ -138,7 +152,10 @@ def upsample_hold(
 
     The whole row is carried, nulls included. ``ts`` must be unique per series.
     """
-    spans = _spans(_with_bounds(df, ts, by, step, "day"), [], ts, by, carry=values)
+    rows = df.where(F.col(ts).isNotNull())
+    spans = _spans(rows, [], ts, by, carry=values).withColumns(
+        {"_lo": floor_seconds(F.col("_min"), step), "_hi": floor_seconds(F.col("_max"), step)}
+    )
     below = floor_seconds(F.col(ts), step)
     own_tick = F.when(below == F.col(ts), below).otherwise(below + seconds_interval(step))
     next_below = floor_seconds(F.col("_next_ts"), step)
@@ -168,30 +185,12 @@ def _step(seconds: int) -> Column:
     return seconds_interval(seconds)
 
 
-def _with_bounds(df: DataFrame, ts: str, by: Sequence[str], step: int, origin: str) -> DataFrame:
-    """Add the first and last grid tick of each row's series as ``_lo`` and ``_hi``."""
-    rows = df.where(F.col(ts).isNotNull()).withColumn("_day", F.to_date(ts))
-    days = rows.groupBy(*by, "_day").agg(F.min(ts).alias("_day_lo"), F.max(ts).alias("_day_hi"))
-    series = Window.partitionBy(*by)
-    lo, hi = F.col("_min"), F.col("_max")
-    if origin == "day":
-        if DAY_SECONDS % step:
-            raise ValueError("a grid counted from midnight needs a step that divides the day")
-        lo, hi = floor_seconds(lo, step), floor_seconds(hi, step)
-    elif origin == "min":
-        reach = epoch_seconds(hi) - epoch_seconds(lo) - (
-            F.when(_fraction(hi) < _fraction(lo), 1).otherwise(0)
-        )
-        hi = lo + seconds_interval(F.floor(reach / F.lit(step)).cast("bigint") * step)
-    else:
-        raise ValueError(f"unknown origin {origin!r}")
-    bounds = days.select(
-        *by,
-        "_day",
-        F.min("_day_lo").over(series).alias("_min"),
-        F.max("_day_hi").over(series).alias("_max"),
-    ).select(*by, "_day", lo.alias("_lo"), hi.alias("_hi"))
-    return rows.join(bounds, [*by, "_day"])
+def _with_start(rows: DataFrame, ts: str, by: Sequence[str]) -> DataFrame:
+    """Add the first timestamp of each row's series, found over one row per day."""
+    daily = rows.withColumn("_day", F.to_date(ts))
+    firsts = daily.groupBy(*by, "_day").agg(F.min(ts).alias("_day_lo"))
+    starts = firsts.select(*by, "_day", F.min("_day_lo").over(Window.partitionBy(*by)).alias("_start"))
+    return daily.join(starts, [*by, "_day"]).drop("_day")
 
 
 def _fraction(ts: Column) -> Column:
@@ -199,55 +198,71 @@ def _fraction(ts: Column) -> Column:
 
 
 def _spans(
-    df: DataFrame, values: Sequence[str], ts: str, by: Sequence[str], carry: Sequence[str] = ()
+    df: DataFrame,
+    values: Sequence[str],
+    ts: str,
+    by: Sequence[str],
+    carry: Sequence[str] = (),
+    used: Column | None = None,
 ) -> DataFrame:
-    """Add to each row the next row's timestamp, whether it is its series' first row,
-    and for each value the nearest non-null sample at or before and after the row."""
-    keep = [*by, ts, *values, *carry, "_lo", "_hi"]
-    rows = df.select(*keep, "_day")
+    """Add to each used row the next one's timestamp, whether it is its series' first,
+    the series' first and last timestamp over all rows (``_min``, ``_max``), and for
+    each value the nearest non-null sample at or before and after the row."""
+    keep = [*by, ts, *values, *carry]
+    used = F.lit(True) if used is None else used
+    rows = df.select(*keep, F.to_date(ts).alias("_day"), used.alias("_used"))
     key = [*by, "_day"]
     day = Window.partitionBy(*key)
     rising = day.orderBy(ts)
     falling = day.orderBy(F.col(ts).desc())
 
     def sample(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), F.struct(F.col(ts).alias("ts"), F.col(c).alias("value")))
+        present = F.col("_used") & F.col(c).isNotNull()
+        return F.when(present, F.struct(F.col(ts).alias("ts"), F.col(c).alias("value")))
 
-    inside = rows.withColumn("_in_next_ts", F.lead(ts).over(rising)).withColumn(
-        "_in_first", F.row_number().over(rising) == 1
+    inside = rows.where("_used").select(
+        "*",
+        F.lead(ts).over(rising).alias("_in_next_ts"),
+        (F.row_number().over(rising) == 1).alias("_in_first"),
+        *[
+            F.last(sample(c), ignorenulls=True)
+            .over(rising.rowsBetween(Window.unboundedPreceding, 0))
+            .alias(f"_in_prev_{c}")
+            for c in values
+        ],
+        *[
+            F.last(sample(c), ignorenulls=True)
+            .over(falling.rowsBetween(Window.unboundedPreceding, -1))
+            .alias(f"_in_next_{c}")
+            for c in values
+        ],
     )
-    for c in values:
-        inside = inside.withColumn(
-            f"_in_prev_{c}",
-            F.last(sample(c), ignorenulls=True).over(rising.rowsBetween(Window.unboundedPreceding, 0)),
-        ).withColumn(
-            f"_in_next_{c}",
-            F.last(sample(c), ignorenulls=True).over(falling.rowsBetween(Window.unboundedPreceding, -1)),
-        )
 
+    used_ts = F.when(F.col("_used"), F.col(ts))
     days = rows.groupBy(*key).agg(
-        F.min(ts).alias("_first_ts"),
+        F.min(ts).alias("_day_lo"),
+        F.max(ts).alias("_day_hi"),
+        F.min(used_ts).alias("_first_ts"),
         *[F.min(sample(c)).alias(f"_first_{c}") for c in values],
         *[F.max(sample(c)).alias(f"_last_{c}") for c in values],
     )
     series = Window.partitionBy(*by)
-    forward = series.orderBy("_day")
-    backward = series.orderBy(F.col("_day").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    before = series.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    after = series.orderBy(F.col("_day").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = days.select(
         *key,
-        F.lead("_first_ts").over(forward).alias("_out_next_ts"),
-        F.lag("_first_ts").over(forward).isNull().alias("_first_day"),
-        *[
-            F.last(f"_last_{c}", ignorenulls=True)
-            .over(forward.rowsBetween(Window.unboundedPreceding, -1))
-            .alias(f"_out_prev_{c}")
-            for c in values
-        ],
-        *[F.last(f"_first_{c}", ignorenulls=True).over(backward).alias(f"_out_next_{c}") for c in values],
+        F.min("_day_lo").over(series).alias("_min"),
+        F.max("_day_hi").over(series).alias("_max"),
+        F.min("_first_ts").over(after).alias("_out_next_ts"),
+        F.min("_first_ts").over(before).isNull().alias("_first_day"),
+        *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_out_prev_{c}") for c in values],
+        *[F.last(f"_first_{c}", ignorenulls=True).over(after).alias(f"_out_next_{c}") for c in values],
     )
     joined = inside.join(carried, key, "left")
     return joined.select(
         *keep,
+        "_min",
+        "_max",
         F.coalesce("_in_next_ts", "_out_next_ts").alias("_next_ts"),
         (F.col("_in_first") & F.col("_first_day")).alias("_is_first"),
         *[F.coalesce(f"_in_prev_{c}", f"_out_prev_{c}").alias(f"_prev_{c}") for c in values],

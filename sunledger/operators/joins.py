@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,18 +38,20 @@ def asof_join(
     per second, of one tolerance period; no pairs are formed.
     """
     payload = F.struct(*[F.col(c) for c in columns])
-    samples = right.dropna(subset=[right_on, *by]).select(
+    samples = right.where(_all_present([right_on, *by])).select(
         *by,
         F.col(right_on).alias("_ts"),
         payload.alias("_payload"),
         (F.col(sequence) if sequence else F.lit(0)).alias("_seq"),
     )
-    probes = left.dropna(subset=[left_on, *by]).select(*by, F.col(left_on).alias("_ts"))
+    probes = left.where(_all_present([left_on, *by])).select(*by, F.col(left_on).alias("_ts"))
     points = (
         samples.unionByName(probes, allowMissingColumns=True)
         .groupBy(*by, "_ts")
         .agg(F.max_by("_payload", F.struct(F.col("_payload").isNotNull(), "_seq")).alias("_payload"))
-        .withColumn("_sec", epoch_seconds(F.col("_ts")))
+        # Never null, and known to be: without a null filter of its own each use of
+        # the points below is the same plan, and Spark computes it once.
+        .withColumn("_sec", F.coalesce(epoch_seconds(F.col("_ts")), F.lit(0)))
         .withColumn("_hit", F.when(F.col("_payload").isNotNull(), F.struct("_ts", "_payload")))
     )
 
@@ -62,7 +65,7 @@ def asof_join(
     seconds = (
         points.groupBy(*by, "_sec")
         .agg(F.max_by("_hit", F.when(F.col("_hit").isNotNull(), F.col("_ts"))).alias("_hit"))
-        .withColumn("_cell", F.floor(F.col("_sec") / F.lit(tolerance)).cast("bigint"))
+        .withColumn("_cell", F.coalesce(F.floor(F.col("_sec") / F.lit(tolerance)).cast("bigint"), F.lit(0)))
     )
     in_cell = Window.partitionBy(*by, "_cell").orderBy("_sec")
     earlier = seconds.withColumn(
@@ -96,6 +99,10 @@ def asof_join(
     )
 
 
+def _all_present(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+
+
 def attach_by_time(
     df: DataFrame, series: DataFrame, columns: Sequence[str], on: Sequence[str] = ("DateTime",)
 ) -> DataFrame:

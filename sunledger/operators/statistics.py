@@ -83,17 +83,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None
     pair does not vary. A task sends one row of sums per pair, never its rows,
     and the sums are merged about the overall mean.
     """
-    moments = (
-        df.select(*[F.col(c).cast("double") for c in columns])
-        .mapInArrow(_task_moments, _MOMENTS)
-        .where("n > 0")
-    )
+    moments = df.select(*[F.col(c).cast("double") for c in columns]).mapInArrow(_task_moments, _MOMENTS)
     pair = Window.partitionBy("x", "y")
     n = F.sum("n").over(pair)
     centred = moments.select(
         "*",
-        (F.sum(F.col("n") * F.col("mx")).over(pair) / n).alias("cx"),
-        (F.sum(F.col("n") * F.col("my")).over(pair) / n).alias("cy"),
+        F.try_divide(F.sum(F.col("n") * F.col("mx")).over(pair), n).alias("cx"),
+        F.try_divide(F.sum(F.col("n") * F.col("my")).over(pair), n).alias("cy"),
     ).withColumns({"dx": F.col("mx") - F.col("cx"), "dy": F.col("my") - F.col("cy")})
     sums = centred.groupBy("x", "y").agg(
         F.sum("n").alias("n"),
@@ -110,8 +106,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None
     both = upper.unionByName(
         upper.where("x <> y").select(F.col("y").alias("x"), F.col("x").alias("y"), "r")
     )
-    found = both.select(name[F.col("x")].alias("x"), name[F.col("y")].alias("y"), "r")
-    return found
+    return both.select(name[F.col("x")].alias("x"), name[F.col("y")].alias("y"), "r")
 
 
 def regression_metrics(
