@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunledger import schemas
@@ -28,17 +29,35 @@ def read_text_columns(spark: SparkSession, path: str | Sequence[str], **options)
 
 
 def read_site_files(spark: SparkSession, path_glob: str, pattern: str = r"^L(\d+)_") -> DataFrame:
-    """Per-site power files in one scan; ``site_file`` is the site number in the file name.
+    """Per-site power files as one table; ``site_file`` is the site number in the file name.
 
-    Files hold different optional columns, so they are read as text by header and
-    cast by name. Files that vanish are skipped; no file at all is an error.
+    Sites have different optional columns, so files are read by their own header
+    line: one scan per distinct header. Files that vanish are skipped; no file
+    at all is an error.
     """
-    raw = read_text_columns(
-        spark, path_glob, ignoreMissingFiles=True, mode="PERMISSIVE", enforceSchema=False
-    )
+    by_header: dict[str, list[str]] = {}
+    for path, header in _headers(spark, path_glob):
+        by_header.setdefault(header, []).append(path)
     site = F.regexp_extract(F.col("_metadata.file_name"), pattern, 1).try_cast("int")
-    typed = [F.col(c) if c not in _SITE_TYPES else _SITE_TYPES[c](F.col(f"`{c}`")).alias(c) for c in raw.columns]
-    return raw.select(*typed, site.alias("site_file"))
+    parts = []
+    for paths in by_header.values():
+        raw = read_text_columns(spark, paths, ignoreMissingFiles=True)
+        typed = [_SITE_TYPES.get(c, _as_is)(F.col(f"`{c}`")).alias(c) for c in raw.columns]
+        parts.append(raw.select(*typed, site.alias("site_file")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _headers(spark: SparkSession, path_glob: str) -> list[tuple[str, str]]:
+    """(path, first line) of each file; only the paths and first lines are read."""
+    listed = spark.read.format("binaryFile").load(path_glob).select("path").collect()
+    paths = sorted(r["path"] for r in listed)
+    firsts = [spark.read.text(p).limit(1).select(F.lit(p).alias("path"), "value") for p in paths]
+    rows = reduce(DataFrame.unionAll, firsts).collect()
+    return [(r["path"], r["value"]) for r in rows]
+
+
+def _as_is(c: Column) -> Column:
+    return c
 
 
 _SITE_TYPES = {
@@ -51,7 +70,8 @@ _SITE_TYPES = {
 
 def read_station_hourly(spark: SparkSession, path: str) -> DataFrame:
     """Station export: malformed lines are skipped, blank text is null."""
-    raw = read_text_columns(spark, path, mode="DROPMALFORMED")
+    # Without column pruning the parser sees every field, and so the surplus ones.
+    raw = read_text_columns(spark, path, mode="DROPMALFORMED", columnPruning=False)
     blank = {c: F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")) for c in raw.columns}
     cleaned = raw.withColumns(blank)
     return cleaned.select(
