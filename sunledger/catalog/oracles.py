@@ -467,6 +467,8 @@ FROM power l LEFT JOIN partial p ON l.LocationCode = p.LocationCode""",
         [POWER],
         f"SELECT event_id, LocationCode, {_one_hot([c for c in ALL_SITES if c not in ('5', '11')])} FROM power",
     ),
+    "site_categories": f"""SELECT CAST(row_number() OVER (ORDER BY site) - 1 AS INTEGER) AS slot, site
+FROM (SELECT DISTINCT CAST({SITE} AS VARCHAR) AS site FROM events)""",
     "correlation_matrix": _correlations(),
     "feature_align": _with(
         [MEASURED],

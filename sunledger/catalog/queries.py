@@ -323,10 +323,15 @@ def calendar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def onehot_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.power(spark, sf_dir)
     # Two sites count as unseen: their rows have zeros only.
-    known = fit_categories(rows.where(~F.col("LocationCode").isin(5, 11)))
-    return one_hot(rows, known).drop("DateTime", LABEL)
+    known = sorted(str(site) for site in SITE_ATTRIBUTES if site not in (5, 11))
+    return one_hot(views.power(spark, sf_dir), known).drop("DateTime", LABEL)
+
+
+@register
+def site_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = fit_categories(views.power(spark, sf_dir))
+    return spark.createDataFrame(list(enumerate(known)), "slot int, site string")
 
 
 def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,7 +345,7 @@ def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 10 != 0, k).alias("TEMP"),
         F.lit(1.0).alias("constant"),
     )
-    return one_hot(add_calendar(rows), fit_categories(rows))
+    return one_hot(add_calendar(rows), sorted(map(str, SITE_ATTRIBUTES)))
 
 
 @register
