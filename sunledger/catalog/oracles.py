@@ -278,8 +278,12 @@ def _one_hot(categories: Sequence[str]) -> str:
     )
 
 
+def _fold_of(key: str) -> str:
+    return f"CAST('0x' || substr(md5({key} || '|42'), 1, 8) AS UBIGINT)"
+
+
 def _fold(key: str) -> str:
-    return f"CAST(CAST('0x' || substr(md5({key} || '|42'), 1, 8) AS UBIGINT) % 10 AS INTEGER)"
+    return f"CAST({_fold_of(key)} % 10 AS INTEGER)"
 
 
 EVENT_KEY = "CAST(event_id AS VARCHAR)"
@@ -401,6 +405,16 @@ UNION ALL SELECT 'TEMP', count(*) FILTER (WHERE TEMP IS NULL) FROM weather""",
         "SELECT strftime(DateTime, '%Y/%m/%d %H:%M') AS DateTime, "
         "printf('%.2f', Solarinsolation) AS Solarinsolation FROM complete",
     ),
+    "backfill_dates": """SELECT CAST(unnest(generate_series(min(ts)::DATE, max(ts)::DATE, INTERVAL 1 DAY)) AS DATE) AS date
+FROM events""",
+    "site_time_positions": f"""SELECT event_id, CAST({SITE} AS VARCHAR) AS site,
+  row_number() OVER (ORDER BY CAST({SITE} AS VARCHAR), ts, event_id) - 1 AS position FROM events""",
+    "forward_fill_by_site": f"""SELECT event_id, LocationCode, DateTime,
+  last_value(TEMP IGNORE NULLS) OVER w AS TEMP, last_value(H_UVI IGNORE NULLS) OVER w AS H_UVI
+FROM (SELECT event_id, {SITE} AS LocationCode, ts AS DateTime,
+  CASE WHEN {K} % 10 < 2 THEN CAST({K} AS DOUBLE) END AS TEMP, CASE WHEN {K} % 50 = 7 THEN value END AS H_UVI
+  FROM events)
+WINDOW w AS (PARTITION BY LocationCode ORDER BY DateTime, event_id ROWS UNBOUNDED PRECEDING)""",
     "insolation_series": _with(INSOLATION, "SELECT * FROM insolation"),
     "irradiance_series": _with(IRRADIANCE, "SELECT * FROM irradiance"),
     "sun_position_grid": _with([SUN], "SELECT * FROM sun"),
@@ -522,6 +536,12 @@ FROM events WHERE hour(ts) BETWEEN 5 AND 18 AND {K} % 11 = 0""",
     "training_feature_rejects": _with(
         TRAINING_PARTS, f"SELECT LocationCode, {DATETIME_TEXT} AS DateTime FROM judged WHERE {ANY_NULL}"
     ),
+    "gbt_replay": _with(
+        [*TRAINING_PARTS, *FEATURE_TAIL],
+        f"""SELECT CAST({_fold_of("CAST(LocationCode AS VARCHAR) || '|' || CAST(DateTime AS VARCHAR)")} % 3 AS INTEGER) AS fold,
+  count(*) AS rows, true AS same FROM feature_rows
+WHERE H_UVI_TEMP_interaction IS NOT NULL AND GHI IS NOT NULL GROUP BY 1""",
+    ),
     "serving_feature_table": _with(
         [
             QUESTIONS,

@@ -28,9 +28,9 @@ from sunledger.operators.features import (
     one_hot,
     site_dimension,
 )
-from sunledger.operators.grid import distinct_days, resample_linear, upsample_hold
+from sunledger.operators.grid import dates_spanned, distinct_days, resample_linear, upsample_hold
 from sunledger.operators.joins import answer_text, attach_by_time, slot_answer
-from sunledger.operators.ordering import interpolate_rows
+from sunledger.operators.ordering import add_positions, forward_fill, interpolate_rows
 from sunledger.operators.statistics import mean_metrics, regression_metrics
 from sunledger.plans import (
     feature_table,
@@ -197,6 +197,30 @@ def _minute_power(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.power(spark, sf_dir).withColumn("DateTime", floor_minute(F.col("DateTime")))
 
 
+@register
+def backfill_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dates_spanned(views.power(spark, sf_dir))
+
+
+@register
+def site_time_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.power(spark, sf_dir).withColumn("site", F.col("LocationCode").cast("string"))
+    return add_positions(rows, ["site", "DateTime", "event_id"]).select("event_id", "site", "position")
+
+
+@register
+def forward_fill_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = views.reading().try_cast("double")
+    rows = views.events(spark, sf_dir).select(
+        "event_id",
+        views.site(),
+        F.col("ts").alias("DateTime"),
+        F.when(k % 10 < 2, k).alias("TEMP"),
+        F.when(k % 50 == 7, F.col("value")).alias("H_UVI"),
+    )
+    return forward_fill(rows, ["TEMP", "H_UVI"], ["DateTime", "event_id"], by=["LocationCode"])
+
+
 @register
 def insolation_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _insolation_minutes(spark, sf_dir)
@@ -574,3 +598,27 @@ def gbt_oof_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gbt_ensemble_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _trained(spark, sf_dir, "angle")
     return training.score_table(serving_feature_table(spark, sf_dir), run.models)
+
+
+@register
+def gbt_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A saved run evaluated again from its stored models and folds: are the metrics the same?"""
+    table = materialise(_features(spark, sf_dir)[0], "features")
+    matrix, features = training.prepare_matrix(table, "base", fold_count=3)
+    run = training.train(matrix, features, SMALL_BOOST, fold_ids=range(3))
+    path = new_shared_path(spark, "run")
+    training.save_run(run, path)
+    again = training.replay(table, "base", path, mode="rescore").fold_metrics
+    first = spark.read.parquet(f"{path}/fold_metrics")
+    close = [F.abs(first[c] - again[c]) <= F.abs(first[c]) * 1e-9 for c in _METRICS]
+    return first.join(again, "fold").select(
+        "fold", first["rows"], (close[0] & close[1] & close[2] & close[3]).alias("same")
+    )
+
+
+@register
+def gbt_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sampled parameter sets over three folds: (trial, params, fold, metrics)."""
+    matrix, features = training.prepare_matrix(_features(spark, sf_dir)[0], "full", fold_count=3)
+    candidates = boosting.sample_params(2, boosting.BoostParams(rounds=2, patience=2, max_bins=64))
+    return boosting.sweep(matrix, features, candidates, training.KEYS, fold_ids=range(3))[1]

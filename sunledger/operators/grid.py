@@ -43,6 +43,12 @@ def date_list(spark: SparkSession, start: str, end: str, name: str = "date") ->
     return spark.range(1).select(F.explode(days).alias(name))
 
 
+def dates_spanned(df: DataFrame, ts: str = "DateTime", name: str = "date") -> DataFrame:
+    """Every calendar date from the first to the last timestamp: what a backfill has to fetch."""
+    span = df.agg(F.to_date(F.min(ts)).alias("lo"), F.to_date(F.max(ts)).alias("hi"))
+    return span.select(F.explode(F.sequence("lo", "hi")).alias(name))
+
+
 def distinct_days(df: DataFrame, ts: str = "DateTime", name: str = "day") -> DataFrame:
     return df.select(F.to_date(ts).alias(name)).where(F.col(name).isNotNull()).distinct()
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger.functions.numeric import rint_round
 
+# Send this module's task code itself: executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _MOMENTS = "x int, y int, n double, mx double, my double, sxx double, syy double, sxy double"
 _NAMES = [field.split()[0] for field in _MOMENTS.split(", ")]
 

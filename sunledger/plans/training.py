@@ -9,7 +9,15 @@ from pyspark.sql import DataFrame
 
 from sunledger.operators import boosting, folds
 from sunledger.operators.boosting import BoostParams, FoldModels
-from sunledger.operators.features import LABEL, feature_names, fit_categories, training_matrix
+from sunledger.operators.features import (
+    LABEL,
+    ONE_HOT_PREFIX,
+    add_calendar,
+    feature_names,
+    fit_categories,
+    one_hot,
+    training_matrix,
+)
 from sunledger.operators.quality import null_counts
 from sunledger.operators.statistics import correlation_matrix
 from sunledger.plans.feedback import pseudo_label
@@ -80,11 +88,12 @@ def replay(
     """
     spark = table.sparkSession
     saved = FoldModels.load(f"{path}/models")
-    prefix = "LocationCode_"
-    categories = [f[len(prefix):] for f in saved.features if f.startswith(prefix)]
-    matrix = training_matrix(table, variant, categories, KEYS, null_policy)
     stored = spark.read.parquet(f"{path}/fold_assignment")
-    matrix = materialise(folds.replay_folds(matrix, stored, KEYS), "replay")
+    # Folds are joined first: a join above the one-hot columns, which all derive
+    # from a join key, makes the optimizer try every combination of them.
+    folded = folds.replay_folds(table, stored, KEYS)
+    matrix = training_matrix(folded, variant, _categories(saved.features), [*KEYS, "fold"], null_policy)
+    matrix = materialise(matrix, "replay")
     if mode == "rescore":
         return _evaluated(saved, matrix)
     if mode == "retrain":
@@ -95,10 +104,19 @@ def replay(
 
 def score_table(table: DataFrame, models: FoldModels) -> DataFrame:
     """Ensemble predictions for serving rows; absent or null features count as 0."""
-    from sunledger.operators.features import ONE_HOT_PREFIX, add_calendar, one_hot
+    return boosting.score(one_hot(add_calendar(table), _categories(models.features)), models, KEYS)
+
+
+def save_scores(table: DataFrame, models: FoldModels, path: str) -> DataFrame:
+    """Store the scored features and the predictions; returns the predictions."""
+    write_table(add_calendar(table), f"{path}/scored_features")
+    stored = table.sparkSession.read.parquet(f"{path}/scored_features")
+    write_table(score_table(stored, models), f"{path}/predictions")
+    return table.sparkSession.read.parquet(f"{path}/predictions")
+
 
-    categories = [f[len(ONE_HOT_PREFIX):] for f in models.features if f.startswith(ONE_HOT_PREFIX)]
-    return boosting.score(one_hot(add_calendar(table), categories), models, KEYS)
+def _categories(names: Sequence[str]) -> list[str]:
+    return [n.removeprefix(ONE_HOT_PREFIX) for n in names if n.startswith(ONE_HOT_PREFIX)]
 
 
 def pseudo_label_round(

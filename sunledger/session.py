@@ -33,6 +33,8 @@ def build_session(
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # Recording the call site of every column expression doubles plan building.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

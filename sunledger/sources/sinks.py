@@ -34,6 +34,11 @@ def write_by_site(
     spread.sortWithinPartitions(site, ts).write.mode(mode).partitionBy(site).parquet(path)
 
 
+def in_site_text_order(df: DataFrame, site: str = "LocationCode", ts: str = "DateTime") -> DataFrame:
+    """Global order by the site as text ("1", "10", ..., "2"), then time."""
+    return df.orderBy(F.col(site).cast("string"), ts)
+
+
 def write_rejects(
     rejected: DataFrame,
     path: str,

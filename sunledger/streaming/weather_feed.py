@@ -29,6 +29,17 @@ def observations(payloads: DataFrame) -> DataFrame:
     return flat.withColumn("time", F.col("time").cast("timestamp")).where(F.col("time").isNotNull())
 
 
+def unreadable(payloads: DataFrame) -> DataFrame:
+    """Payload files that are no JSON: (file, text)."""
+    bad = payloads.where(F.col(schemas.CORRUPT).isNotNull())
+    return bad.select(F.col("_metadata.file_name").alias("file"), F.col(schemas.CORRUPT).alias("text"))
+
+
+def untimed(payloads: DataFrame) -> DataFrame:
+    """Observations without a usable time."""
+    return flatten_weather(payloads).where(F.col("time").isNull())
+
+
 def dedup_observations(
     stream: DataFrame,
     keys: tuple[str, ...] = ("StationId", "time"),
@@ -53,3 +64,10 @@ def run_weather_feed(
 ) -> StreamingQuery:
     feed = dedup_observations(observations(read_payload_stream(spark, payload_dir)))
     return start_append(feed, sink, checkpoint, available_now)
+
+
+def run_reject_feed(
+    spark: SparkSession, payload_dir: str, sink: str, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """The unreadable payload files of the same folder, kept for inspection."""
+    return start_append(unreadable(read_payload_stream(spark, payload_dir)), sink, checkpoint, available_now)
