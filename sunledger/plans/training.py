@@ -85,6 +85,8 @@ def replay(
     """Repeat a saved run on its saved folds and parameters.
 
     ``mode="retrain"`` fits new models, ``mode="rescore"`` evaluates the saved ones.
+    Rescoring gives the same metrics; retraining adds up in another row order, so
+    near-ties between splits may fall differently.
     """
     spark = table.sparkSession
     saved = FoldModels.load(f"{path}/models")
