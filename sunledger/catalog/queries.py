@@ -515,9 +515,9 @@ def reject_json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feed_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = spark.read.parquet(f"{sf_dir}/events.parquet")
     stream = (
+        # The pattern lets the table be one file as well as a folder of files.
         spark.readStream.schema(source.schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
+        .parquet(f"{sf_dir}/event[s].parquet")
         .withColumn("ts", floor_minute(F.col("ts")))
     )
     parsed = views.weather_payload_text(stream).select(

@@ -67,10 +67,11 @@ def one_hot(
     df: DataFrame, categories: Sequence[str], column: str = "LocationCode", prefix: str = ONE_HOT_PREFIX
 ) -> DataFrame:
     """A 0/1 column per category; a value that is no category has zeros only."""
-    text = F.col(column).cast("string")
+    # Compared in the column's own type: cheaper per row than as text.
+    kind = df.schema[column].dataType
     return df.withColumns(
         {
-            f"{prefix}{value}": F.coalesce((text == F.lit(value)).cast("double"), F.lit(0.0))
+            f"{prefix}{value}": F.when(F.col(column) == F.lit(value).try_cast(kind), 1.0).otherwise(0.0)
             for value in categories
         }
     )
