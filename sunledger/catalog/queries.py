@@ -553,6 +553,7 @@ def _features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         _shared_series(spark, sf_dir),
         weather_sequence="event_id",
         valid_from=feature_table.VALID_FROM,
+        one_per_minute=True,
     )
 
 

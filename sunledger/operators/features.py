@@ -15,31 +15,13 @@ ONE_HOT_PREFIX = "LocationCode_"
 CALENDAR = ("Hour", "Minute", "Month")
 
 # The measures of each model variant, in training order.
+_BASE = ("H_UVI_TEMP_interaction", "GHI", "Azimuth", "Elevation", "Solarinsolation")
+_FULL = (*_BASE, "angle", "story", "DHI", "DNI")
 FEATURE_SETS: dict[str, tuple[str, ...]] = {
-    "base": ("H_UVI_TEMP_interaction", "GHI", "Azimuth", "Elevation", "Solarinsolation"),
-    "angle": ("H_UVI_TEMP_interaction", "GHI", "Azimuth", "Elevation", "Solarinsolation", "angle"),
-    "full": (
-        "H_UVI_TEMP_interaction",
-        "GHI",
-        "Azimuth",
-        "Elevation",
-        "Solarinsolation",
-        "angle",
-        "story",
-        "DHI",
-        "DNI",
-    ),
-    "pseudo": (
-        "H_UVI_TEMP_interaction",
-        "GHI",
-        "Azimuth",
-        "Elevation",
-        "Solarinsolation",
-        "angle",
-        "story",
-        "DHI",
-        "DNI",
-    ),
+    "base": _BASE,
+    "angle": (*_BASE, "angle"),
+    "full": _FULL,
+    "pseudo": _FULL,
 }
 
 MAX_CATEGORIES = 10_000
@@ -94,7 +76,6 @@ def training_matrix(
     """
     features = feature_names(variant, categories)
     wide = one_hot(add_calendar(df), categories)
-    # Keys that are also features are not repeated.
     matrix = wide.select(
         *keys, *[F.col(c).cast("double").alias(c) for c in features], F.col(LABEL).cast("double")
     )

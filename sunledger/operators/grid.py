@@ -177,6 +177,29 @@ def upsample_hold(
     return ticks.select(*by, F.col("_tick").alias(ts), *held)
 
 
+def hold_last(df: DataFrame, columns: Sequence[str], by: Sequence[str], ts: str = "DateTime") -> DataFrame:
+    """Replace nulls with the series' last earlier non-null value.
+
+    For rows stamped to the minute with ``ts`` unique per series: a day of a
+    series then has at most 1,440 rows. Other rows need ``ordering.forward_fill``.
+    """
+    rows = df.withColumn("_day", F.to_date(ts))
+    key = [*by, "_day"]
+    until_now = Window.partitionBy(*key).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    inside = rows.withColumns({c: F.last(c, ignorenulls=True).over(until_now) for c in columns})
+    days = rows.groupBy(*key).agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(f"_last_{c}") for c in columns]
+    )
+    before = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carried = days.select(
+        *[F.col(k).alias(f"_key_{k}") for k in key],
+        *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in columns],
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in key]
+    filled = {c: F.coalesce(F.col(c), F.col(f"_carry_{c}")) for c in columns}
+    return inside.join(carried, same, "left").withColumns(filled).select(*df.columns)
+
+
 def expand_slots(
     df: DataFrame, start: str = "slot_start", minutes: int = 10, ts: str = "DateTime"
 ) -> DataFrame:

@@ -38,33 +38,42 @@ def asof_join(
     per second, of one tolerance period; no pairs are formed.
     """
     payload = F.struct(*[F.col(c) for c in columns])
-    samples = right.where(_all_present([right_on, *by])).select(
-        *by,
-        F.col(right_on).alias("_ts"),
-        payload.alias("_payload"),
-        (F.col(sequence) if sequence else F.lit(0)).alias("_seq"),
-    )
-    probes = left.where(_all_present([left_on, *by])).select(*by, F.col(left_on).alias("_ts"))
-    points = (
-        samples.unionByName(probes, allowMissingColumns=True)
+    samples = (
+        right.where(_all_present([right_on, *by]))
+        .select(
+            *by,
+            F.col(right_on).alias("_ts"),
+            payload.alias("_payload"),
+            (F.col(sequence) if sequence else F.lit(0)).alias("_seq"),
+        )
         .groupBy(*by, "_ts")
-        .agg(F.max_by("_payload", F.struct(F.col("_payload").isNotNull(), "_seq")).alias("_payload"))
-        # Never null, and known to be: without a null filter of its own each use of
-        # the points below is the same plan, and Spark computes it once.
-        .withColumn("_sec", F.coalesce(epoch_seconds(F.col("_ts")), F.lit(0)))
-        .withColumn("_hit", F.when(F.col("_payload").isNotNull(), F.struct("_ts", "_payload")))
+        # Inside a struct, so that a missing sequence ranks lowest and is not skipped.
+        .agg(F.max_by("_payload", F.struct("_seq")).alias("_payload"))
+        .select(*by, "_ts", F.struct("_ts", "_payload").alias("_hit"), F.lit(False).alias("_asks"))
+    )
+    probes = (
+        left.where(_all_present([left_on, *by]))
+        .select(*by, F.col(left_on).alias("_ts"))
+        .distinct()
+        .withColumn("_asks", F.lit(True))
+    )
+    # The second is never null, and known to be: without a null filter of its own
+    # each use of the points is the same plan, and Spark computes it once.
+    points = samples.unionByName(probes, allowMissingColumns=True).withColumn(
+        "_sec", F.coalesce(epoch_seconds(F.col("_ts")), F.lit(0))
     )
 
-    in_second = Window.partitionBy(*by, "_sec").orderBy("_ts")
+    # A sample comes before a probe of the same moment.
+    in_second = Window.partitionBy(*by, "_sec").orderBy("_ts", "_asks")
     near = points.withColumn(
         "_near",
         F.last("_hit", ignorenulls=True).over(in_second.rowsBetween(Window.unboundedPreceding, 0)),
-    )
+    ).where("_asks")
 
     latest = F.max_by("_hit", F.when(F.col("_hit").isNotNull(), F.col("_sec")))
     seconds = (
         points.groupBy(*by, "_sec")
-        .agg(F.max_by("_hit", F.when(F.col("_hit").isNotNull(), F.col("_ts"))).alias("_hit"))
+        .agg(F.max_by("_hit", F.col("_hit._ts")).alias("_hit"))
         .withColumn("_cell", F.coalesce(F.floor(F.col("_sec") / F.lit(tolerance)).cast("bigint"), F.lit(0)))
     )
     in_cell = Window.partitionBy(*by, "_cell").orderBy("_sec")

@@ -56,9 +56,15 @@ def build_features(
     weather_sequence: str | None = None,
     series: Sequence[str] = ("LocationCode",),
     valid_from: Mapping[int, str] | None = None,
+    one_per_minute: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) feature rows for training or serving rows."""
-    with_weather = add_weather(rows, shared.weather, order, series=series, sequence=weather_sequence)
+    """(accepted, rejected) feature rows for training or serving rows.
+
+    Cleaned training rows are ``one_per_minute`` per site.
+    """
+    with_weather = add_weather(
+        rows, shared.weather, order, series=series, sequence=weather_sequence, one_per_minute=one_per_minute
+    )
     started = start_cutoff(with_weather, valid_from or {})
     with_sun = add_sun_angles(started, shared.sun)
     accepted, rejected = add_insolation(with_sun, shared.insolation_minutes)

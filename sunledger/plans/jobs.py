@@ -97,7 +97,9 @@ class Workspace:
     def build_training(self, valid_from: Mapping[int, str] | None = None) -> DataFrame:
         rows = self.table("power")
         cutoffs = feature_table.VALID_FROM if valid_from is None else valid_from
-        built, rejected = feature_table.build_features(rows, self._shared(), valid_from=cutoffs)
+        built, rejected = feature_table.build_features(
+            rows, self._shared(), valid_from=cutoffs, one_per_minute=True
+        )
         sinks.write_rejects(rejected, self.path("training_rejects"))
         return self._store(built, "training_features")
 

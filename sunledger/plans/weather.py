@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.functions.numeric import clean_measure, fixed_text, interaction, rint_round, to_number
+from sunledger.operators.grid import hold_last
 from sunledger.operators.joins import asof_join
 from sunledger.operators.ordering import forward_fill, interpolate_rows
 from sunledger.operators.quality import missing_report
@@ -47,13 +48,18 @@ def add_weather(
     order: Sequence[str] = ("DateTime",),
     series: Sequence[str] = ("LocationCode",),
     sequence: str | None = None,
+    one_per_minute: bool = False,
 ) -> DataFrame:
     """Weather columns and their interaction.
 
     A missing temperature takes the last earlier one of the series, a missing UV
     index stays missing. Training fills per site file (``series``); serving
-    fills over the one question file (``series=()``).
+    fills over the one question file (``series=()``). ``one_per_minute`` says
+    that each series has one row per minute, which needs no row numbering.
     """
     matched = match_weather(df, weather, sequence)
-    filled = forward_fill(matched, ["TEMP"], order, by=series)
+    if one_per_minute:
+        filled = hold_last(matched, ["TEMP"], by=series)
+    else:
+        filled = forward_fill(matched, ["TEMP"], order, by=series)
     return filled.withColumn("H_UVI_TEMP_interaction", interaction(F.col("H_UVI"), F.col("TEMP")))

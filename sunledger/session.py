@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -33,6 +35,8 @@ def build_session(
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # Streaming state on disk, not on the executors' heap.
+        "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
         # Recording the call site of every column expression doubles plan building.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }

@@ -127,3 +127,18 @@ def test_generators(spark):
     slots = spark.createDataFrame([(at(30),)], "slot_start timestamp_ntz")
     got = [r["DateTime"] for r in grid.expand_slots(slots).orderBy("DateTime").collect()]
     assert got == [at(30 + i) for i in range(10)]
+
+
+def test_hold_last_equals_the_ordered_fill(spark, small_chunks):
+    from sunledger.operators.ordering import forward_fill
+
+    draw = random.Random(8)
+    rows = [
+        (site, at(m), None if draw.random() < 0.9 else float(m))
+        for site in (1, 2, None)
+        for m in draw.sample(range(5 * 1440), 200)
+    ]
+    df = spark.createDataFrame(rows, "LocationCode int, DateTime timestamp_ntz, v double").repartition(4)
+    held = grid.hold_last(df, ["v"], ["LocationCode"])
+    want = forward_fill(df, ["v"], ["DateTime"], by=["LocationCode"])
+    assert sorted(map(str, held.collect())) == sorted(map(str, want.collect()))
