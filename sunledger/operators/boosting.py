@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from sunledger.operators.features import LABEL, PREDICTION, align_features
 from sunledger.operators.statistics import mean_metrics, regression_metrics
+from sunledger.session import shared_dir
 
 
 @dataclass(frozen=True)
@@ -141,6 +142,10 @@ def fit_folds(
     ``matrix`` is read once per round and fold: pass a written table. Fits run
     side by side so that the short stages of one fill the gaps of the others.
     """
+    spark = matrix.sparkSession
+    # Long boosting runs cut their lineage every ten rounds, if there is a folder for it.
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     rows = assemble(matrix.where(F.col(LABEL).isNotNull()), features).select("fold", "_features", LABEL)
 
     def fit(fold: int) -> tuple[int, GBTRegressionModel]:
@@ -148,7 +153,7 @@ def fit_folds(
         return fold, fit_one(train, valid, features, params)
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        fitted = list(pool.map(inheritable_thread_target(fit), fold_ids))
+        fitted = list(pool.map(inheritable_thread_target(spark)(fit), fold_ids))
     return FoldModels(list(features), dict(fitted), params)
 
 

@@ -52,5 +52,9 @@ def fold_table(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def replay_folds(df: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows with the fold stored for their key; rows without one are left out."""
-    return df.join(stored.select(*keys, "fold"), list(keys))
+    """Rows with the fold stored for their key; rows without one are left out.
+
+    Copies of a key share its lowest stored fold.
+    """
+    per_key = stored.groupBy(*keys).agg(F.min("fold").alias("fold"))
+    return df.join(per_key, list(keys))

@@ -54,10 +54,10 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local-mode session may fall back to a fresh temporary folder: there
     the driver and the executors are one machine.
     """
-    configured = spark.conf.get(CHECKPOINT_KEY, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError(f"{CHECKPOINT_KEY} must name a shared folder on a cluster")
     app = context.applicationId
