@@ -108,10 +108,11 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None
     r = F.when(varies, F.least(F.greatest(F.expr("sxy / (sqrt(sxx) * sqrt(syy))"), F.lit(-1.0)), F.lit(1.0)))
     name = F.array(*[F.lit(c) for c in columns])
     upper = sums.select("x", "y", (r if digits is None else rint_round(r, digits)).alias("r"))
-    both = upper.unionByName(
-        upper.where("x <> y").select(F.col("y").alias("x"), F.col("x").alias("y"), "r")
-    )
-    return both.select(name[F.col("x")].alias("x"), name[F.col("y")].alias("y"), "r")
+    # Mirrored row by row: a union of the table with itself would compute it twice.
+    pair_of = F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"))
+    mirrored = F.when(F.col("x") == F.col("y"), F.array(pair_of[0])).otherwise(F.array(*pair_of))
+    both = upper.select(F.explode(mirrored).alias("p"), "r")
+    return both.select(name[F.col("p.x")].alias("x"), name[F.col("p.y")].alias("y"), "r")
 
 
 def regression_metrics(

@@ -57,16 +57,18 @@ def build_features(
     series: Sequence[str] = ("LocationCode",),
     valid_from: Mapping[int, str] | None = None,
     one_per_minute: bool = False,
+    stored: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) feature rows for training or serving rows.
 
-    Cleaned training rows are ``one_per_minute`` per site.
+    Cleaned training rows are ``one_per_minute`` per site. ``stored`` writes the
+    judged rows once, for callers that use both results.
     """
     with_weather = add_weather(
         rows, shared.weather, order, series=series, sequence=weather_sequence, one_per_minute=one_per_minute
     )
     started = start_cutoff(with_weather, valid_from or {})
     with_sun = add_sun_angles(started, shared.sun)
-    accepted, rejected = add_insolation(with_sun, shared.insolation_minutes)
+    accepted, rejected = add_insolation(with_sun, shared.insolation_minutes, stored)
     with_sites = add_site_attributes(accepted, shared.sites)
     return add_irradiance(with_sites, shared.irradiance_minutes), rejected

@@ -12,6 +12,7 @@ from sunledger.functions.temporal import slash_text
 from sunledger.operators.grid import MINUTE, TEN_MINUTES, complete_days, resample_linear, upsample_hold
 from sunledger.operators.joins import attach_by_time
 from sunledger.operators.quality import dedup_first, split_rejects
+from sunledger.session import materialise
 
 VALUE = "Solarinsolation"
 REQUIRED = ("Azimuth", "Elevation", VALUE)
@@ -54,6 +55,12 @@ def insolation_minutes(ten_minutes: DataFrame) -> DataFrame:
     return upsample_hold(ten_minutes, [VALUE], step=MINUTE)
 
 
-def add_insolation(df: DataFrame, minutes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected): rows lacking the sun angle or the insolation are rejected."""
-    return split_rejects(attach_by_time(df, minutes, [VALUE]), REQUIRED)
+def add_insolation(
+    df: DataFrame, minutes: DataFrame, stored: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected): rows lacking the sun angle or the insolation are rejected.
+
+    ``stored`` writes the joined rows once, for callers that use both results.
+    """
+    joined = attach_by_time(df, minutes, [VALUE])
+    return split_rejects(materialise(joined, "judged") if stored else joined, REQUIRED)

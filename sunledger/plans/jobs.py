@@ -49,9 +49,10 @@ class Workspace:
         """Site files to one row per site and minute; repeated minutes are reported."""
         main = files.read_site_files(self.spark, main_glob)
         extra = files.read_site_files(self.spark, extra_glob) if extra_glob else None
-        combined = power_plan.combine_power(main, extra)
+        # The text is parsed once; the next two steps read the combined table.
+        combined = self._store(power_plan.combine_power(main, extra), "power_combined")
         sinks.write_table(power_plan.minute_duplicates(combined), self.path("power_duplicates"))
-        sinks.write_by_site(power_plan.clean_power(main, extra), self.path("power"))
+        sinks.write_by_site(power_plan.dedup_minutes(combined), self.path("power"))
         return self.table("power")
 
     def prepare_weather(self, csv_path: str) -> DataFrame:
@@ -98,7 +99,7 @@ class Workspace:
         rows = self.table("power")
         cutoffs = feature_table.VALID_FROM if valid_from is None else valid_from
         built, rejected = feature_table.build_features(
-            rows, self._shared(), valid_from=cutoffs, one_per_minute=True
+            rows, self._shared(), valid_from=cutoffs, one_per_minute=True, stored=True
         )
         sinks.write_rejects(rejected, self.path("training_rejects"))
         return self._store(built, "training_features")
@@ -107,7 +108,7 @@ class Workspace:
         # Equal questions give equal rows, so one of each is enough.
         rows = self.table("question_minutes").dropDuplicates(list(KEYS))
         order = ["DateTime", "LocationCode"]
-        built, rejected = feature_table.build_features(rows, self._shared(), order, series=())
+        built, rejected = feature_table.build_features(rows, self._shared(), order, series=(), stored=True)
         sinks.write_rejects(rejected, self.path("serving_rejects"))
         return self._store(built, "serving_features")
 

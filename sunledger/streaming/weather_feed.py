@@ -31,7 +31,8 @@ def observations(payloads: DataFrame) -> DataFrame:
 
 def unreadable(payloads: DataFrame) -> DataFrame:
     """Payload files that are no JSON: (file, text)."""
-    bad = payloads.where(F.col(schemas.CORRUPT).isNotNull())
+    # Spark parses, and so finds bad text, only if a data column is used too.
+    bad = payloads.where(F.col(schemas.CORRUPT).isNotNull() & F.col("records").isNull())
     return bad.select(F.col("_metadata.file_name").alias("file"), F.col(schemas.CORRUPT).alias("text"))
 
 

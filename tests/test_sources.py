@@ -128,3 +128,15 @@ def test_feed_drops_repeats_and_survives_a_restart(spark, tmp_path):
     # Later than the watermark allows: dropped, so that state stays bounded.
     put(inbox / "8.json", json.dumps(weather("2024-01-01T00:07:00+08:00")))
     assert poll() == ["00:00", "00:05", "00:10", "02:00"]
+
+
+def test_unreadable_payloads_are_kept(spark, tmp_path):
+    inbox = tmp_path / "in"
+    put(inbox / "1.json", json.dumps(weather("2024-01-01T00:00:00+08:00")))
+    put(inbox / "2.json", "{broken")
+    put(inbox / "3.json", json.dumps(weather("soon")))
+    sink, state = str(tmp_path / "bad"), str(tmp_path / "state")
+    weather_feed.run_reject_feed(spark, str(inbox), sink, state, available_now=True).awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(sink).collect()] == [("2.json", "{broken")]
+    raw = files.read_payloads(spark, str(inbox), schemas.WEATHER_PAYLOAD)
+    assert weather_feed.untimed(raw).count() == 1
