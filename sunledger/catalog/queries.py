@@ -585,8 +585,12 @@ SMALL_BOOST = boosting.BoostParams(
 )
 
 
+def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(_features(spark, sf_dir)[0], "features")
+
+
 def _trained(spark: SparkSession, sf_dir: str, variant: str = "full") -> training.TrainingRun:
-    matrix, features = training.prepare_matrix(_features(spark, sf_dir)[0], variant)
+    matrix, features = training.prepare_matrix(_stored_features(spark, sf_dir), variant)
     return training.train(matrix, features, SMALL_BOOST)
 
 
@@ -604,7 +608,7 @@ def gbt_ensemble_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def gbt_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A saved run evaluated again from its stored models and folds: are the metrics the same?"""
-    table = materialise(_features(spark, sf_dir)[0], "features")
+    table = _stored_features(spark, sf_dir)
     matrix, features = training.prepare_matrix(table, "base", fold_count=3)
     run = training.train(matrix, features, SMALL_BOOST, fold_ids=range(3))
     path = new_shared_path(spark, "run")
@@ -620,6 +624,6 @@ def gbt_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def gbt_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sampled parameter sets over three folds: (trial, params, fold, metrics)."""
-    matrix, features = training.prepare_matrix(_features(spark, sf_dir)[0], "full", fold_count=3)
+    matrix, features = training.prepare_matrix(_stored_features(spark, sf_dir), "full", fold_count=3)
     candidates = boosting.sample_params(2, boosting.BoostParams(rounds=2, patience=2, max_bins=64))
     return boosting.sweep(matrix, features, candidates, training.KEYS, fold_ids=range(3))[1]

@@ -30,10 +30,10 @@ class SharedSeries:
     sites: DataFrame
 
     def stored(self) -> SharedSeries:
-        """Each series written once: they are as long as the calendar, not as the
-        site data, and every feature build joins them."""
+        """Each series written once: they are as long as the calendar or the weather
+        feed, not as the site data, and every feature build joins them."""
         return SharedSeries(
-            self.weather,
+            materialise(self.weather, "weather"),
             materialise(self.sun, "sun"),
             materialise(self.insolation_minutes, "insolation"),
             materialise(self.irradiance_minutes, "irradiance"),

@@ -44,7 +44,10 @@ def prepare_matrix(
     fold_count: int = folds.DEFAULT_FOLDS,
     balanced: bool = False,
 ) -> tuple[DataFrame, list[str]]:
-    """Model matrix with folds, written once because training reads it many times."""
+    """Model matrix with folds, written once because training reads it many times.
+
+    Without ``categories`` the table is read once more to find them: pass a stored one.
+    """
     categories = list(categories or fit_categories(table))
     matrix = training_matrix(table, variant, categories, KEYS, null_policy)
     assign = folds.assign_balanced_folds if balanced else folds.assign_folds
