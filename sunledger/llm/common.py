@@ -169,6 +169,33 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
+def held_out(doc_id: Column) -> Column:
+    """Documents whose labels are never learned from."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+
+
+def labelled_ids(labels: DataFrame, size: int):
+    """At most ``size`` rows (doc_id, quality 0 or 1) to learn from, as a pandas frame.
+
+    The first by a hash of doc_id, so the choice is the same on every run. Null labels and
+    held-out documents are left out; of several labels the mean is rounded.
+    """
+    return (
+        labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+        .groupBy("doc_id")
+        .agg((2 * F.avg("quality") >= 1).cast("int").alias("quality"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(size)
+        .toPandas()
+    )
+
+
+def of_ids(docs: DataFrame, chosen) -> DataFrame:
+    """(doc_id, text) of the rows of a bounded sample from ``labelled_ids``."""
+    ids = docs.sparkSession.createDataFrame(chosen[["doc_id"]], "doc_id long")
+    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished steps now.
 

@@ -2,18 +2,34 @@
 
 from __future__ import annotations
 
-from sunledger.llm import decontaminate, ngram_join, sentence_pieces
+from sunledger.llm import (
+    chat_format,
+    decontaminate,
+    license_scan,
+    ngram_join,
+    quality_gam,
+    quality_rules,
+    sentence_pieces,
+    url_filter,
+)
 
 REGISTRY = {
     f.__name__: f
     for f in (
         ngram_join.op1_ngram_jaccard_join,
+        license_scan.op2_license_scan,
+        quality_gam.op3_quality_classifier,
+        url_filter.op5_url_filter,
+        chat_format.op6_chat_format,
         decontaminate.op7_benchmark_decontamination,
         sentence_pieces.op8_sentencepiece,
+        quality_rules.op10_quality_rules,
     )
 }
 
 ORACLES = {
     "op1_ngram_jaccard_join": ngram_join.ORACLE,
+    "op5_url_filter": url_filter.ORACLE,
+    "op6_chat_format": chat_format.ORACLE,
     "op7_benchmark_decontamination": decontaminate.ORACLE,
 }
