@@ -9,6 +9,7 @@ from sunledger.llm import (
     ngram_join,
     quality_gam,
     quality_rules,
+    secret_scan,
     sentence_pieces,
     url_filter,
 )
@@ -19,6 +20,7 @@ REGISTRY = {
         ngram_join.op1_ngram_jaccard_join,
         license_scan.op2_license_scan,
         quality_gam.op3_quality_classifier,
+        secret_scan.op4_secret_scan,
         url_filter.op5_url_filter,
         chat_format.op6_chat_format,
         decontaminate.op7_benchmark_decontamination,
