@@ -7,6 +7,7 @@ from sunledger.llm import (
     decontaminate,
     license_scan,
     ngram_join,
+    pii,
     quality_gam,
     quality_rules,
     secret_scan,
@@ -25,6 +26,7 @@ REGISTRY = {
         chat_format.op6_chat_format,
         decontaminate.op7_benchmark_decontamination,
         sentence_pieces.op8_sentencepiece,
+        pii.op9_personal_data,
         quality_rules.op10_quality_rules,
     )
 }
