@@ -523,10 +523,10 @@ FROM events WHERE hour(ts) BETWEEN 5 AND 18 AND {K} % 11 <> 0""",
 FROM events WHERE hour(ts) BETWEEN 5 AND 18 AND {K} % 11 = 0""",
     "csv_sink_scan": _with(
         [POWER],
-        f"""SELECT event_id, LocationCode, date_trunc('second', DateTime) AS DateTime,
+        f"""SELECT event_id, LocationCode, DateTime,
   CAST(printf('%.1f', {LABEL}) AS DOUBLE) AS {LABEL} FROM power""",
     ),
-    "site_partition_sink": _with([POWER], "SELECT * FROM power WHERE LocationCode IN (3, 17)"),
+    "site_partition_sink": _with([POWER], "SELECT * FROM power"),
     "reject_json_sink": _with(
         INSOLATION_SPLIT, f"SELECT LocationCode, {DATETIME_TEXT} AS DateTime FROM judged WHERE {ANY_NULL}"
     ),

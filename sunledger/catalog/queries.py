@@ -501,7 +501,7 @@ def csv_sink_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def site_partition_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_shared_path(spark, "sites")
     sinks.write_by_site(views.power(spark, sf_dir), path)
-    return spark.read.parquet(path).where(F.col("LocationCode").isin(3, 17))
+    return spark.read.parquet(path)
 
 
 @register

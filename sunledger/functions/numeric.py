@@ -30,8 +30,13 @@ def fixed_text_or_raw(raw: Column, digits: int = 2) -> Column:
 
 
 def to_number(c: Column) -> Column:
-    """Text to double, null where it is no number (ANSI casts would raise)."""
-    return c.try_cast("double")
+    """Text to double, null where it is no finite number (ANSI casts would raise).
+
+    ``NaN`` counts as missing, as it does in the station exports; Spark sorts it last, so
+    one comparison excludes it together with infinity.
+    """
+    number = c.try_cast("double")
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def null_sentinel(c: Column, sentinel: float = SENTINEL) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunledger.functions.numeric import EXACT, clamp_zero, fixed_text, rint_round
+from sunledger.functions.numeric import EXACT, clamp_zero, fixed_text, rint_round, to_number
 from sunledger.functions.temporal import (
     epoch_seconds,
     floor_minute,
@@ -147,7 +147,7 @@ def slot_means(
     minute, split into those on the minute and those after it: at most two rows
     per site and minute enter the join, however many predictions there are.
     """
-    exact = F.col(value).cast(EXACT)
+    exact = to_number(F.col(value)).cast(EXACT)
     bins = (
         predictions.where(F.col(ts).isNotNull())
         .groupBy(
@@ -155,7 +155,7 @@ def slot_means(
             floor_minute(F.col(ts)).alias("_minute"),
             on_the_minute(F.col(ts)).alias("_on"),
         )
-        .agg(F.sum(exact).alias("_sum"), F.count(value).alias("_n"), F.count("*").alias("_rows"))
+        .agg(F.sum(exact).alias("_sum"), F.count(exact).alias("_n"), F.count("*").alias("_rows"))
     )
     slots = questions.select(F.col(site).alias("_site"), F.col(start).alias("_start")).dropna().distinct()
     last = F.col("_start") + seconds_interval(minutes * 60)
@@ -179,9 +179,10 @@ def slot_means_aligned(
     minutes: int = 10,
 ) -> DataFrame:
     """Mean per site and half-open tumbling slot, for slots that start on its multiples."""
+    exact = to_number(F.col(value)).cast(EXACT)
     return (
         predictions.groupBy(site, F.window(ts, f"{minutes} minutes").alias("_slot"))
-        .agg(F.sum(F.col(value).cast(EXACT)).alias("_sum"), F.count(value).alias("_n"))
+        .agg(F.sum(exact).alias("_sum"), F.count(exact).alias("_n"))
         .select(site, F.col("_slot.start").alias("slot_start"), _mean("_sum", "_n").alias("slot_mean"))
     )
 

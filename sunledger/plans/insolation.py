@@ -17,12 +17,15 @@ from sunledger.session import materialise
 VALUE = "Solarinsolation"
 REQUIRED = ("Azimuth", "Elevation", VALUE)
 
+# The season of the published series.
+START, END = "2024-01-01 00:00:00", "2024-10-30 23:59:59"
+
 
 def filter_station_hours(
     hourly: DataFrame,
     order: Sequence[str] = (VALUE,),
-    start: str = "2024-01-01 00:00:00",
-    end: str = "2024-10-30 23:59:59",
+    start: str = START,
+    end: str = END,
     keep_hours: tuple[int, int] = (6, 17),
     grid_hours: tuple[int, int] = (6, 19),
 ) -> DataFrame:

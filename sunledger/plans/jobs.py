@@ -47,10 +47,12 @@ class Workspace:
 
     def prepare_power(self, main_glob: str, extra_glob: str | None = None) -> DataFrame:
         """Site files to one row per site and minute; repeated minutes are reported."""
-        main = files.read_site_files(self.spark, main_glob)
-        extra = files.read_site_files(self.spark, extra_glob) if extra_glob else None
-        # The text is parsed once; the next two steps read the combined table.
-        combined = self._store(power_plan.combine_power(main, extra), "power_combined")
+        main = files.read_site_files(self.spark, main_glob, ordered=True)
+        extra = files.read_site_files(self.spark, extra_glob, ordered=True) if extra_glob else None
+        # The text is parsed once; the next two steps read the combined table. Of copies
+        # the first in the files stays.
+        firsts = power_plan.combine_power(main, extra, tie=[files.FILE_ORDER])
+        combined = self._store(firsts.drop(files.FILE_ORDER), "power_combined")
         sinks.write_table(power_plan.minute_duplicates(combined), self.path("power_duplicates"))
         sinks.write_by_site(power_plan.dedup_minutes(combined), self.path("power"))
         return self.table("power")
@@ -69,9 +71,14 @@ class Workspace:
         tens = self._store(irradiance.irradiance_ten_minutes(quarters), "irradiance_10min")
         return self._store(irradiance.irradiance_minutes(tens), "irradiance_1min")
 
-    def prepare_insolation(self, csv_path: str) -> DataFrame:
-        station = files.read_station_hourly(self.spark, csv_path).where(F.col("DateTime").isNotNull())
-        hours = self._store(insolation.filter_station_hours(station), "insolation_hourly")
+    def prepare_insolation(
+        self, csv_path: str, start: str = insolation.START, end: str = insolation.END
+    ) -> DataFrame:
+        """Station export to the 1-minute series; of repeated hours the first in the file stays."""
+        station = files.read_station_hourly(self.spark, csv_path, ordered=True)
+        timed = station.where(F.col("DateTime").isNotNull())
+        kept = insolation.filter_station_hours(timed, order=[files.FILE_ORDER], start=start, end=end)
+        hours = self._store(kept.drop(files.FILE_ORDER), "insolation_hourly")
         tens = self._store(insolation.insolation_ten_minutes(hours), "insolation_10min")
         return self._store(insolation.insolation_minutes(tens), "insolation_1min")
 

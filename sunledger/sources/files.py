@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunledger import schemas
+from sunledger.functions.numeric import to_number
 from sunledger.functions.temporal import as_datetime, slash_datetime
 
 
@@ -28,7 +29,19 @@ def read_text_columns(spark: SparkSession, path: str | Sequence[str], **options)
     return spark.read.options(header=True, inferSchema=False, **options).csv(paths)
 
 
-def read_site_files(spark: SparkSession, path_glob: str, pattern: str = r"^L(\d+)_") -> DataFrame:
+#: A row's place in its files: path, block, and row within the scan of the block.
+FILE_ORDER = "file_order"
+
+
+def _file_order() -> Column:
+    return F.struct(
+        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+    ).alias(FILE_ORDER)
+
+
+def read_site_files(
+    spark: SparkSession, path_glob: str, pattern: str = r"^L(\d+)_", ordered: bool = False
+) -> DataFrame:
     """Per-site power files as one table; ``site_file`` is the site number in the file name.
 
     Sites have different optional columns, so files are read by their own header
@@ -43,7 +56,7 @@ def read_site_files(spark: SparkSession, path_glob: str, pattern: str = r"^L(\d+
     for paths in by_header.values():
         raw = read_text_columns(spark, paths, ignoreMissingFiles=True)
         typed = [_SITE_TYPES.get(c, _as_is)(F.col(f"`{c}`")).alias(c) for c in raw.columns]
-        parts.append(raw.select(*typed, site.alias("site_file")))
+        parts.append(raw.select(*typed, site.alias("site_file"), *[_file_order()] * ordered))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -68,7 +81,7 @@ _SITE_TYPES = {
 }
 
 
-def read_station_hourly(spark: SparkSession, path: str) -> DataFrame:
+def read_station_hourly(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
     """Station export: malformed lines are skipped, blank text is null."""
     # Without column pruning the parser sees every field, and so the surplus ones.
     raw = read_text_columns(spark, path, mode="DROPMALFORMED", columnPruning=False)
@@ -76,7 +89,8 @@ def read_station_hourly(spark: SparkSession, path: str) -> DataFrame:
     cleaned = raw.withColumns(blank)
     return cleaned.select(
         as_datetime(F.col("DateTime")).alias("DateTime"),
-        F.col("Solarinsolation").try_cast("double").alias("Solarinsolation"),
+        to_number(F.col("Solarinsolation")).alias("Solarinsolation"),
+        *[_file_order()] * ordered,
     )
 
 

@@ -18,7 +18,7 @@ def write_csv(
     texts = {c: fixed_text(F.col(c), digits) for c, digits in (decimals or {}).items()}
     for name, kind in df.dtypes:
         if kind == "timestamp_ntz":
-            texts[name] = F.date_format(name, "yyyy-MM-dd HH:mm:ss")
+            texts[name] = F.col(name).cast("string")  # with the fraction of a second, if any
     df.withColumns(texts).write.mode(mode).option("header", True).csv(path)
 
 

@@ -61,9 +61,16 @@ def start_append(
 
 
 def run_weather_feed(
-    spark: SparkSession, payload_dir: str, sink: str, checkpoint: str, available_now: bool = False
+    spark: SparkSession,
+    payload_dir: str,
+    sink: str,
+    checkpoint: str,
+    available_now: bool = False,
+    watermark: str = WATERMARK,
 ) -> StreamingQuery:
-    feed = dedup_observations(observations(read_payload_stream(spark, payload_dir)))
+    """Deduplicated observations. Rows later than ``watermark`` are dropped; a longer one
+    keeps them, and keeps more state."""
+    feed = dedup_observations(observations(read_payload_stream(spark, payload_dir)), watermark=watermark)
     return start_append(feed, sink, checkpoint, available_now)
 
 

@@ -7,10 +7,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from sunledger.catalog.oracles import ORACLES
+from sunledger.catalog.queries import REGISTRY as QUERIES
 from tools import check
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,10 @@ def duck():
     return check.connect(SF_DIR)
 
 
+def test_entry_serves_the_catalog():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"gbt_oof_metrics", "gbt_ensemble_score", "gbt_sweep"}
