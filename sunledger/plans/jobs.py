@@ -63,10 +63,12 @@ class Workspace:
         return self._store(weather.repair_weather(raw, ["time", *weather.MEASURES]), "weather")
 
     def prepare_irradiance(self, payload_path: str) -> DataFrame:
-        """Payload files to the 1-minute series; incomplete intervals are kept as rejects."""
+        """Payload files to the 1-minute series; incomplete intervals and unusable
+        files are kept as rejects."""
         raw = files.read_payloads(self.spark, payload_path, schemas.IRRADIANCE_PAYLOAD)
         complete, incomplete = payloads.flatten_irradiance(raw)
         sinks.write_table(incomplete, self.path("irradiance_rejects"))
+        sinks.write_table(payloads.unreadable_irradiance(raw), self.path("irradiance_unreadable"))
         quarters = self._store(complete, "irradiance_15min")
         tens = self._store(irradiance.irradiance_ten_minutes(quarters), "irradiance_10min")
         return self._store(irradiance.irradiance_minutes(tens), "irradiance_1min")

@@ -51,3 +51,19 @@ def test_csv_keeps_fractions_of_a_second(spark, tmp_path):
     sinks.write_csv(df, str(tmp_path / "out"))
     back = files.read_csv(spark, str(tmp_path / "out"), "t timestamp_ntz").collect()
     assert sorted(r.t for r in back) == stamps
+
+
+def test_every_irradiance_interval_and_file_is_accounted_for(spark, tmp_path):
+    folder = tmp_path / "irradiance"
+    folder.mkdir()
+    sky = '"clear_sky": {"ghi": 1.0, "dni": 2.0, "dhi": 3.0}'
+    (folder / "a.json").write_text(
+        '{"date": "2024-01-01", "irradiance": {"intervals": [{"start": "06:00", %s}, {%s}, {"start": "06:15"}]}}' % (sky, sky)
+    )
+    (folder / "b.json").write_text("{broken")
+    (folder / "c.json").write_text('{"date": "2024-01-01", "irradiance": {"intervals": []}}')
+    ws = Workspace(spark, str(tmp_path / "ws"))
+    ws.prepare_irradiance(str(folder))
+    assert ws.table("irradiance_15min").count() == 1
+    assert ws.table("irradiance_rejects").count() == 2
+    assert sorted(r.file for r in ws.table("irradiance_unreadable").collect()) == ["b.json", "c.json"]
