@@ -35,7 +35,7 @@ it has a row for each).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from math import ceil, exp, sqrt
 
@@ -51,6 +51,8 @@ from sunledger.session import materialise
 GROUPS = 32
 _GROUP_BITS = 5
 _COORDS = [f"c{i}" for i in range(GROUPS)]
+#: Coordinates of the coarse boxes, each the sum of two.
+_COARSE = GROUPS // 2
 
 _EMPTY = common.salt(5)
 
@@ -59,12 +61,13 @@ _EMPTY = common.salt(5)
 def bands(percent: int, most: int = 1 << 31) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(smallest size, blocks, spare blocks) of each band.
 
-    A band ends where a set of its smallest size can still reach the threshold.
+    A band is at least as wide as a link: sets of a band link within it or with the next.
+    Wider bands cost blocks, narrower ones make more sets count in two bands.
     """
     lows, blocks, spares = [], [], []
     low = 1
     while low <= most:
-        high = low * 100 // percent
+        high = max(low * 100 // percent, low * 3 // 2)
         differ = (100 - percent) * (high + high * 100 // percent) // (100 + percent)
         spare = 0
         if differ:
@@ -95,8 +98,10 @@ def cells(own: np.ndarray, percent: int) -> np.ndarray:
     band = int(np.searchsorted(lows, len(own), "right")) - 1
     sums = np.zeros(len(own) + 1, np.uint64)
     np.cumsum(common.mix(own ^ common.salt(12)), out=sums[1:])
+    # Only sets that can reach into the band below count there too.
+    below = band > 0 and len(own) <= (int(lows[band]) - 1) * 100 // percent
     out = []
-    for tag in range(max(0, band - 1), band + 1):
+    for tag in range(band - below, band + 1):
         count = int(blocks[tag])
         step = (1 << 64) // count + 1
         borders = np.array([i * step for i in range(1, count)], np.uint64)
@@ -141,10 +146,10 @@ def _describe(width: int):
 
 
 def _cell_rows(width: int, percent: int):
-    """Rows (cell, sid, hub, inner, many): a slice's sets of one cell are merged at once.
+    """Rows (cell, sid, hub): a slice's sets of one cell are merged at once.
 
-    The smallest set of a slice's cell goes to the cell's task (``many``: others stand
-    behind it); the others already have it as their hub (``inner``).
+    The smallest set of a slice's cell goes to the cell's task; its hub is null, or itself
+    if others stand behind it. The others already have it as their hub.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,17 +169,13 @@ def _cell_rows(width: int, percent: int):
                 cell, sid = cell[order], sid[order]
                 at = _begins(cell)
                 sizes = np.diff(at, append=len(cell))
-                inner = np.ones(len(cell), bool)
-                inner[at] = False
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(cell),
                         pa.array(sid),
-                        pa.array(np.repeat(sid[at], sizes)),
-                        pa.array(inner),
-                        pa.array(np.repeat(sizes > 1, sizes)),
+                        pa.array(np.repeat(sid[at], sizes), mask=np.repeat(sizes == 1, sizes)),
                     ],
-                    ["cell", "sid", "hub", "inner", "many"],
+                    ["cell", "sid", "hub"],
                 )
 
     return run
@@ -186,15 +187,16 @@ def _begins(values: np.ndarray) -> np.ndarray:
 
 
 def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (inner, cell, sid): (cell, sid, hub) of cells with several sets.
+    """Of rows sorted by (merged, cell, sid): (cell, sid, hub) of cells with several sets.
 
     One row is held back at a time, so a hot cell streams through.
     """
     last = (None, None, True)  # cell, its hub, whether it is known to be shared
     for batch in batches:
-        cell, sid, hub = (batch.column(i).to_numpy() for i in range(3))
-        inner, many = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4))
-        outer = int(np.searchsorted(inner, True))  # False sorts first
+        cell, sid = (batch.column(i).to_numpy() for i in range(2))
+        many = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+        hub = batch.column(2).fill_null(0).to_numpy()
+        outer = int(np.searchsorted(many & (hub != sid), True))  # merged rows sort last
         out = [(cell[outer:], sid[outer:], hub[outer:])]
         if outer:
             cell, sid, many = cell[:outer], sid[:outer], many[:outer]
@@ -218,10 +220,10 @@ def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def _bound(a: str, b: str, percent: int):
+def _bound(a: str, b: str, percent: int, coords: Sequence[str] = tuple(_COORDS)):
     """Whether sets at the points ``a`` and ``b`` (or boxes over them) may link."""
     least = F.lit(0)
-    for c in _COORDS:
+    for c in coords:
         least = least + F.least(F.col(f"{a}.{c}"), F.col(f"{b}.{c}"))
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     # overlap / union >= t, with union = n + m - overlap
@@ -278,7 +280,6 @@ def components(links: DataFrame) -> DataFrame:
     Each round a node takes the least label of its neighbours, and then its label's label,
     so a chain halves; a round is written before the next reads it.
     """
-    spark = links.sparkSession
     both = links.union(links.select("b", "a")).toDF("a", "b").where("a <> b").distinct()
     both = materialise(both, "edges")
     labels = materialise(
@@ -297,7 +298,7 @@ def components(links: DataFrame) -> DataFrame:
             stepped.join(jump, "label").select("sid", "old", F.least("label", "far").alias("label")), "labels"
         )
         if new.where("old <> label").isEmpty():
-            return spark.read.parquet(*new.inputFiles()).select("sid", F.col("label").alias("component"))
+            return new.select("sid", F.col("label").alias("component"))
         labels = new.select("sid", "label")
 
 
@@ -313,15 +314,12 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     )
     flat = points.select("sid", "n", *[F.col("point")[i].alias(c) for i, c in enumerate(_COORDS)])
 
-    rows = texts.where("doc_id is not null").mapInArrow(
-        _cell_rows(width, percent), "cell long, sid long, hub long, inner boolean, many boolean"
-    )
+    rows = texts.where("doc_id is not null").mapInArrow(_cell_rows(width, percent), "cell long, sid long, hub long")
     # Rows that were merged already need not meet their cell: they are spread by set.
-    dealt = rows.withColumn("to", F.when(F.col("inner"), F.xxhash64("cell", "sid")).otherwise(F.col("cell")))
+    merged = F.coalesce(F.col("hub") != F.col("sid"), F.lit(False))
     shared = materialise(
-        dealt.repartition("to")
-        .sortWithinPartitions("inner", "cell", "sid")
-        .drop("to")
+        rows.repartition(F.when(merged, F.xxhash64("cell", "sid")).otherwise(F.col("cell")))
+        .sortWithinPartitions(merged, "cell", "sid")
         .mapInArrow(_shared_cells, "cell long, sid long, hub long"),
         "cells",
     )
@@ -352,8 +350,7 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     links = _links(first, sets, percent, "hub-links")
     leaves = components(links)
 
-    open_cells = _open_leaves(shared, leaves, flat)
-    second = _pairs(open_cells, percent)
+    second = _pairs(_open_leaves(shared, leaves), flat, percent)
     more = _links(second, sets, percent, "leaf-links")
     both = links.union(more)
     found = components(both)
@@ -367,40 +364,62 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     )
 
 
-def _open_leaves(shared: DataFrame, leaves: DataFrame, flat: DataFrame) -> DataFrame:
-    """The points of cells that hold several leaves, each with its leaf."""
-    members = shared.select("cell", "sid").distinct().join(leaves, "sid", "left")
-    members = members.withColumn("leaf", F.coalesce("component", "sid")).drop("component")
+def _open_leaves(shared: DataFrame, leaves: DataFrame) -> DataFrame:
+    """(cell, leaf, sid) of cells that hold several leaves."""
+    members = shared.select("cell", "sid").join(leaves, "sid", "left")
+    members = members.select("cell", "sid", F.coalesce("component", "sid").alias("leaf"))
     several = (
         members.groupBy("cell")
         .agg(F.min("leaf").alias("low"), F.max("leaf").alias("high"))
         .where("low <> high")
         .select("cell")
     )
-    return materialise(members.join(several, "cell").join(flat, "sid"), "open-cells")
+    return materialise(members.join(several, "cell").distinct(), "open-cells")
+
 
+def _pairs(members: DataFrame, flat: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of different leaves that the boxes and the points' counts allow.
 
-def _pairs(points: DataFrame, percent: int) -> DataFrame:
-    """Pairs of points of different leaves that the boxes and the points' counts allow."""
-    leaves = points.groupBy("cell", "leaf").agg(
-        F.min("n").alias("n"), F.max("n").alias("most"), *[F.max(c).alias(c) for c in _COORDS]
+    Leaves are paired once, however many cells they share, and so are points.
+    """
+    points = members.select("leaf", "sid").distinct().join(flat, "sid")
+    coarse = {f"g{i}": F.col(_COORDS[i]) + F.col(_COORDS[i + _COARSE]) for i in range(_COARSE)}
+    boxes = points.withColumns(coarse).groupBy("leaf").agg(
+        F.min("n").alias("n"), F.max("n").alias("most"), *[F.max(c).alias(c) for c in (*_COORDS, *coarse)]
     )
+    boxes = materialise(boxes, "boxes")
     near = (100 * F.col("x.most") >= percent * F.col("y.n")) & (100 * F.col("y.most") >= percent * F.col("x.n"))
-    opened = (
-        leaves.alias("x")
-        .join(leaves.alias("y"), F.col("x.cell") == F.col("y.cell"))
-        .where((F.col("x.leaf") < F.col("y.leaf")) & near & _bound("x", "y", percent))
-        .select(F.col("x.cell").alias("cell"), F.col("x.leaf").alias("leaf"), F.col("y.leaf").alias("other"))
+    # The join's condition looks at coarse boxes, so a cell that many leaves share, as those
+    # of a common passage, gives out only the pairs that may link.
+    cells = members.select("cell", "leaf").distinct().join(boxes.select("leaf", "n", "most", *coarse), "leaf")
+    met = cells.alias("x").join(
+        cells.alias("y"),
+        (F.col("x.cell") == F.col("y.cell"))
+        & (F.col("x.leaf") < F.col("y.leaf"))
+        & near
+        & _bound("x", "y", percent, list(coarse)),
     )
-    left = opened.join(points, ["cell", "leaf"]).select(
-        "cell", "other", F.struct("sid", "n", *_COORDS).alias("p")
+    met = met.select(F.col("x.leaf").alias("leaf"), F.col("y.leaf").alias("other")).distinct()
+    box = boxes.select("leaf", F.struct("n", *_COORDS).alias("box"))
+    opened = materialise(
+        met.join(box.withColumnRenamed("box", "x"), "leaf")
+        .join(box.select(F.col("leaf").alias("other"), F.col("box").alias("y")), "other")
+        .where(_bound("x", "y", percent))
+        .select("leaf", "other"),
+        "open-leaves",
     )
-    right = points.select("cell", F.col("leaf").alias("other"), F.struct("sid", "n", *_COORDS).alias("q"))
+    common.free_shuffles(members.sparkSession)
+    left = opened.join(members, "leaf").select("cell", "other", F.col("sid").alias("a"))
+    right = members.select("cell", F.col("leaf").alias("other"), F.col("sid").alias("b"))
+    point = points.select("sid", F.struct("n", *_COORDS).alias("p"))
     return (
         left.join(right, ["cell", "other"])
-        .where(_bound("p", "q", percent))
-        .select(F.col("p.sid").alias("a"), F.col("q.sid").alias("b"))
+        .select("a", "b")
         .distinct()
+        .join(point.select(F.col("sid").alias("a"), "p"), "a")
+        .join(point.select(F.col("sid").alias("b"), F.col("p").alias("q")), "b")
+        .where(_bound("p", "q", percent))
+        .select("a", "b")
     )
 
 
