@@ -16,10 +16,11 @@ Levels of the tree, from the root:
 3. leaves: within its cells each set is compared with the smallest set of the cell, its
    hub. The sets that links connect form a leaf. A hot cell of near copies is one leaf, and
    its members are never paired with each other: their component is known;
-4. leaf pairs: only cells with several leaves are left. A leaf's bounding box holds the
-   largest count of each coordinate and the smallest size; two leaves of a cell are opened
-   if the summed coordinate minima of their boxes allow a link, and two points if those of
-   the points do.
+4. nodes: only cells with several leaves are left. Their points are packed, by leaf, into
+   nodes of at most 64; a node's bounding box holds the largest count of each coordinate and
+   the smallest size. Nodes of a cell meet, not points. Two nodes are opened if the summed
+   coordinate minima of their boxes allow a link, and only pairs of points of different
+   leaves whose own minima allow one leave the task.
 
 Surviving pairs are verified on the shingles themselves. Every pair of different sets that
 reaches the threshold is verified or already joined by links, so no component is lost.
@@ -35,7 +36,7 @@ it has a row for each).
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from functools import lru_cache
 from math import ceil, exp, sqrt
 
@@ -48,11 +49,11 @@ from sunledger.llm import common
 from sunledger.session import materialise
 
 #: Coordinates of a point.
-GROUPS = 32
-_GROUP_BITS = 5
-_COORDS = [f"c{i}" for i in range(GROUPS)]
-#: Coordinates of the coarse boxes, each the sum of two.
-_COARSE = GROUPS // 2
+GROUPS = 64
+#: Points of a node.
+NODE = 64
+#: Tasks that pack the leaves of one cell side by side.
+_PACKERS = 16
 
 _EMPTY = common.salt(5)
 
@@ -123,6 +124,24 @@ def _sets(column: pa.Array, width: int):
         yield low, [shingles(hashes[a:b], width) for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
 
 
+def _packed(points: np.ndarray) -> bytes:
+    """Counts as bytes, in one byte each where all fit."""
+    return points.astype(np.uint8 if points.max(initial=0) < 256 else np.int32).tobytes()
+
+
+def _unpacked(data: np.ndarray, count: int = 1) -> np.ndarray:
+    kind = np.uint8 if len(data) == count * GROUPS else np.int32
+    return data.view(kind).reshape(count, GROUPS).astype(np.int32)
+
+
+def _points(column: pa.Array) -> np.ndarray:
+    """The packed points of a column, one per row."""
+    data, at = common.utf8(column)
+    if (np.diff(at) == GROUPS).all():
+        return _unpacked(data[at[0] : at[-1]], len(column))
+    return np.concatenate([_unpacked(data[a:b].copy()) for a, b in zip(at[:-1], at[1:], strict=True)])
+
+
 def _describe(width: int):
     """Per row: doc_id, n, set id, and the point as counts."""
 
@@ -137,7 +156,7 @@ def _describe(width: int):
                         batch.column(0).slice(low, len(sets)),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([int(set_id(s).view(np.int64)) if len(s) else None for s in sets], pa.int64()),
-                        pa.array(list(points), pa.list_(pa.int32())),
+                        pa.array([_packed(point) for point in points], pa.binary()),
                     ],
                     ["doc_id", "n", "sid", "point"],
                 )
@@ -220,14 +239,91 @@ def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def _bound(a: str, b: str, percent: int, coords: Sequence[str] = tuple(_COORDS)):
-    """Whether sets at the points ``a`` and ``b`` (or boxes over them) may link."""
-    least = F.lit(0)
-    for c in coords:
-        least = least + F.least(F.col(f"{a}.{c}"), F.col(f"{b}.{c}"))
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+def _allows(least: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of n and m shingles with at most ``least`` in common may link."""
     # overlap / union >= t, with union = n + m - overlap
-    return (100 + percent) * least >= percent * (n + m)
+    return (100 + percent) * least.astype(np.int64) >= percent * (n + m)
+
+
+def _near(percent: int):
+    """Pairs (a, b) whose points allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = np.minimum(_points(batch.column(2)), _points(batch.column(3))).sum(axis=1)
+            n, m = (batch.column(i).to_numpy() for i in (4, 5))
+            both = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"])
+            yield both.filter(pa.array(_allows(least, n, m, percent)))
+
+    return run
+
+
+_NODE = "cell long, node long, low long, high long, least long, most long, sids binary, leaves binary, sizes binary, points binary"
+
+
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (cell, leaf, sid, n, point) sorted by cell and leaf: nodes of at most ``NODE`` points.
+
+    Only the rows of an unfinished node are held back, so a hot cell streams through.
+    """
+    rest = None
+
+    def cut(columns, final):
+        cell, leaf, sid, n, points = columns
+        borders = [*_begins(cell), len(cell)] if len(cell) else [0]
+        out, done = [], 0
+        for begin, end in zip(borders[:-1], borders[1:], strict=True):
+            for low in range(begin, end, NODE):
+                high = min(low + NODE, end)
+                if high == len(cell) and not final:
+                    break
+                at, done = slice(low, high), high
+                out.append(
+                    (cell[low], sid[low], leaf[low], leaf[high - 1], n[at].min(), n[at].max(),
+                     sid[at].tobytes(), leaf[at].tobytes(), n[at].tobytes(), _packed(points[at]))
+                )
+        names = [field.split()[0] for field in _NODE.split(", ")]
+        kinds = [pa.int64()] * 6 + [pa.binary()] * 4
+        arrays = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays(arrays, names), [c[done:] for c in columns]
+
+    for batch in batches:
+        columns = [batch.column(i).to_numpy() for i in range(4)] + [_points(batch.column(4))]
+        if rest is not None:
+            columns = [np.concatenate(pair) for pair in zip(rest, columns, strict=True)]
+        nodes, rest = cut(columns, False)
+        yield nodes
+    if rest is not None:
+        yield cut(rest, True)[0]
+
+
+def _opened(percent: int):
+    """Of pairs of nodes: the pairs of sets of different leaves that boxes and points allow."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            same = batch.column(0).to_numpy(zero_copy_only=False)
+            raw = [batch.column(i) for i in range(1, 9)]
+            found = [np.zeros((2, 0), np.int64)]
+            for i in range(batch.num_rows):
+                cells = [np.frombuffer(c[i].as_buffer(), np.uint8) for c in raw]
+                sids, leaves, n, others, other_leaves, m = (cells[j].view(np.int64) for j in (0, 1, 2, 4, 5, 6))
+                p, q = _unpacked(cells[3], len(n)), _unpacked(cells[7], len(m))
+                box = np.minimum(p.max(axis=0), q.max(axis=0)).sum()
+                if not _allows(box, n.min(), m.min(), percent):
+                    continue
+                least = np.empty((len(n), len(m)), np.int64)
+                for j, point in enumerate(p):
+                    least[j] = np.minimum(point, q).sum(axis=1)
+                keep = _allows(least, n[:, None], m[None, :], percent) & (leaves[:, None] != other_leaves[None, :])
+                if same[i]:
+                    keep = np.triu(keep, 1)
+                a, b = np.nonzero(keep)
+                found.append(np.stack([np.minimum(sids[a], others[b]), np.maximum(sids[a], others[b])]))
+            a, b = np.concatenate(found, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return run
 
 
 def _verify(percent: int):
@@ -307,12 +403,14 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     described = materialise(
-        texts.mapInArrow(_describe(width), "doc_id long, n long, sid long, point array<int>"), "sets"
+        texts.mapInArrow(_describe(width), "doc_id long, n long, sid long, point binary"), "sets"
     )
-    points = described.where("sid is not null and doc_id is not null").groupBy("sid").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("point").alias("point")
+    points = materialise(
+        described.where("sid is not null and doc_id is not null")
+        .groupBy("sid")
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("point").alias("point")),
+        "points",
     )
-    flat = points.select("sid", "n", *[F.col("point")[i].alias(c) for i, c in enumerate(_COORDS)])
 
     rows = texts.where("doc_id is not null").mapInArrow(_cell_rows(width, percent), "cell long, sid long, hub long")
     # Rows that were merged already need not meet their cell: they are spread by set.
@@ -338,19 +436,17 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     )
     common.free_shuffles(spark)
 
-    box = F.struct("n", *_COORDS)
-    boxed = flat.select("sid", box.alias("p"))
     first = (
         hubs.where("hub <> sid")
-        .join(boxed.select("sid", F.col("p").alias("p")), "sid")
-        .join(boxed.select(F.col("sid").alias("hub"), F.col("p").alias("q")), "hub")
-        .where(_bound("p", "q", percent))
-        .select(F.col("sid").alias("a"), F.col("hub").alias("b"))
+        .join(points.select("sid", F.col("point").alias("p"), "n"), "sid")
+        .join(points.select(F.col("sid").alias("hub"), F.col("point").alias("q"), F.col("n").alias("m")), "hub")
+        .select(F.col("sid").alias("a"), F.col("hub").alias("b"), "p", "q", "n", "m")
+        .mapInArrow(_near(percent), "a long, b long")
     )
     links = _links(first, sets, percent, "hub-links")
     leaves = components(links)
 
-    second = _pairs(_open_leaves(shared, leaves), flat, percent)
+    second = _pairs(_open_leaves(shared, leaves), points, percent)
     more = _links(second, sets, percent, "leaf-links")
     both = links.union(more)
     found = components(both)
@@ -377,50 +473,26 @@ def _open_leaves(shared: DataFrame, leaves: DataFrame) -> DataFrame:
     return materialise(members.join(several, "cell").distinct(), "open-cells")
 
 
-def _pairs(members: DataFrame, flat: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different leaves that the boxes and the points' counts allow.
-
-    Leaves are paired once, however many cells they share, and so are points.
-    """
-    points = members.select("leaf", "sid").distinct().join(flat, "sid")
-    coarse = {f"g{i}": F.col(_COORDS[i]) + F.col(_COORDS[i + _COARSE]) for i in range(_COARSE)}
-    boxes = points.withColumns(coarse).groupBy("leaf").agg(
-        F.min("n").alias("n"), F.max("n").alias("most"), *[F.max(c).alias(c) for c in (*_COORDS, *coarse)]
-    )
-    boxes = materialise(boxes, "boxes")
-    near = (100 * F.col("x.most") >= percent * F.col("y.n")) & (100 * F.col("y.most") >= percent * F.col("x.n"))
-    # The join's condition looks at coarse boxes, so a cell that many leaves share, as those
-    # of a common passage, gives out only the pairs that may link.
-    cells = members.select("cell", "leaf").distinct().join(boxes.select("leaf", "n", "most", *coarse), "leaf")
-    met = cells.alias("x").join(
-        cells.alias("y"),
-        (F.col("x.cell") == F.col("y.cell"))
-        & (F.col("x.leaf") < F.col("y.leaf"))
-        & near
-        & _bound("x", "y", percent, list(coarse)),
-    )
-    met = met.select(F.col("x.leaf").alias("leaf"), F.col("y.leaf").alias("other")).distinct()
-    box = boxes.select("leaf", F.struct("n", *_COORDS).alias("box"))
-    opened = materialise(
-        met.join(box.withColumnRenamed("box", "x"), "leaf")
-        .join(box.select(F.col("leaf").alias("other"), F.col("box").alias("y")), "other")
-        .where(_bound("x", "y", percent))
-        .select("leaf", "other"),
-        "open-leaves",
+def _pairs(members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of different leaves that the boxes of nodes and the points allow."""
+    nodes = materialise(
+        members.join(points.select("sid", "n", "point"), "sid")
+        .select("cell", "leaf", "sid", "n", "point")
+        .repartition("cell", F.pmod("leaf", F.lit(_PACKERS)))
+        .sortWithinPartitions("cell", "leaf", "sid")
+        .mapInArrow(_nodes, _NODE),
+        "nodes",
     )
     common.free_shuffles(members.sparkSession)
-    left = opened.join(members, "leaf").select("cell", "other", F.col("sid").alias("a"))
-    right = members.select("cell", F.col("leaf").alias("other"), F.col("sid").alias("b"))
-    point = points.select("sid", F.struct("n", *_COORDS).alias("p"))
-    return (
-        left.join(right, ["cell", "other"])
-        .select("a", "b")
-        .distinct()
-        .join(point.select(F.col("sid").alias("a"), "p"), "a")
-        .join(point.select(F.col("sid").alias("b"), F.col("p").alias("q")), "b")
-        .where(_bound("p", "q", percent))
-        .select("a", "b")
+    x, y = nodes.alias("x"), nodes.alias("y")
+    one_leaf = (F.col("x.low") == F.col("y.high")) & (F.col("x.high") == F.col("y.low"))
+    near = (100 * F.col("x.most") >= percent * F.col("y.least")) & (100 * F.col("y.most") >= percent * F.col("x.least"))
+    met = x.join(
+        y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.node") <= F.col("y.node")) & near & ~one_leaf
     )
+    packed = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in ("sids", "leaves", "sizes", "points")]
+    opened = met.select((F.col("x.node") == F.col("y.node")).alias("same"), *packed)
+    return materialise(opened.mapInArrow(_opened(percent), "a long, b long").distinct(), "near-pairs")
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
