@@ -17,7 +17,9 @@ def _round(expr: str, digits: int = 2) -> str:
 
 
 def _mean(expr: str) -> str:
-    return f"(CAST(sum(CAST({expr} AS DECIMAL(28,9))) AS DOUBLE) / count({expr}))"
+    nine = f"CAST({expr} AS DECIMAL(28,9))"
+    total = f"CAST(sum({nine}) AS DOUBLE) + sum({expr} - CAST({nine} AS DOUBLE))"
+    return f"(({total}) / count({expr}))"
 
 
 def _with(ctes: Sequence[str], select: str) -> str:

@@ -11,7 +11,7 @@ from sunledger import schemas
 from sunledger.catalog import views
 from sunledger.functions.numeric import (
     clean_measure,
-    exact_sum,
+    exact_part,
     fixed_text,
     fixed_text_or_raw,
     rint_round,
@@ -405,7 +405,9 @@ def _left_out_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each row with the mean power of its site and hour over the other folds."""
     rows = folds.assign_folds(views.power(spark, sf_dir), ["event_id"]).withColumn("Hour", F.hour("DateTime"))
     group = ["LocationCode", "Hour"]
-    sums = rows.groupBy(*group, "fold").agg(exact_sum(F.col(LABEL)).alias("s"), F.count("*").alias("n"))
+    # The events' values have two decimals, so nothing is left of them.
+    exact = F.sum(exact_part(F.col(LABEL)))
+    sums = rows.groupBy(*group, "fold").agg(exact.alias("s"), F.count("*").alias("n"))
     cell = Window.partitionBy(*group)
     means = sums.select(
         *group,

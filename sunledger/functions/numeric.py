@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 SENTINEL = -99.0
 EXACT = "decimal(28,9)"
+EXACT_LIMIT = 1e18
 
 
 def rint_round(c: Column, digits: int) -> Column:
@@ -53,13 +54,26 @@ def clamp_zero(c: Column) -> Column:
     return F.when(c.isNotNull(), F.greatest(c, F.lit(0.0)))
 
 
+def exact_part(c: Column) -> Column:
+    """The value to nine decimals, 0 where that has no room for it."""
+    return F.when(F.abs(c) < F.lit(EXACT_LIMIT), c).otherwise(F.when(c.isNotNull(), F.lit(0.0))).cast(EXACT)
+
+
+def rest_part(c: Column) -> Column:
+    """What ``exact_part`` leaves of the value: nothing, for values of up to nine decimals."""
+    return c - exact_part(c).cast("double")
+
+
 def exact_sum(c: Column) -> Column:
-    """Order-independent sum: the same rows give the same bits on any partitioning."""
-    return F.sum(c.cast(EXACT))
+    """Sum whose nine decimals do not depend on the order of the rows.
+
+    Digits beyond them, and values beyond 1e18, are added as doubles; nothing is cut off.
+    """
+    return F.sum(exact_part(c)).cast("double") + F.sum(rest_part(c))
 
 
 def exact_mean(c: Column) -> Column:
-    return exact_sum(c).cast("double") / F.count(c)
+    return exact_sum(c) / F.count(c)
 
 
 def interaction(uvi: Column, temp: Column) -> Column:

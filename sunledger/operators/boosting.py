@@ -119,15 +119,20 @@ def fit_one(
     """Fit on assembled rows; with ``valid`` keep the rounds up to the best validation error.
 
     Trees are grown one after another from fixed seeds, so fitting again with
-    fewer rounds gives the first trees of the same model.
+    fewer rounds gives the first trees of the same model. With ``valid`` the first
+    fit has twice ``patience`` rounds, and twice as many each time patience has not
+    run out: a model that stops early never grows all ``params.rounds``.
     """
-    model = _estimator(params, params.rounds, len(features)).fit(train)
     if valid is None or params.rounds <= 1:
-        return model
-    keep = best_round(model.evaluateEachIteration(valid, "squared"), params.patience)
-    if keep < params.rounds:
-        model = _estimator(params, keep, len(features)).fit(train)
-    return model
+        return _estimator(params, params.rounds, len(features)).fit(train)
+    rounds = min(params.rounds, 2 * max(1, params.patience))
+    while True:
+        model = _estimator(params, rounds, len(features)).fit(train)
+        keep = best_round(model.evaluateEachIteration(valid, "squared"), params.patience)
+        if rounds == params.rounds or keep + params.patience <= rounds:
+            break
+        rounds = min(params.rounds, 2 * rounds)
+    return model if keep == rounds else _estimator(params, keep, len(features)).fit(train)
 
 
 def fit_folds(

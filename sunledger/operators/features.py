@@ -24,25 +24,19 @@ FEATURE_SETS: dict[str, tuple[str, ...]] = {
     "pseudo": _FULL,
 }
 
-MAX_CATEGORIES = 10_000
-
 
 def add_calendar(df: DataFrame, ts: str = "DateTime") -> DataFrame:
     return df.withColumns(calendar_parts(F.col(ts)))
 
 
 def fit_categories(df: DataFrame, column: str = "LocationCode") -> list[str]:
-    """The distinct values as text, in text order ("1", "10", ..., "17", "2")."""
-    found = (
-        df.select(F.col(column).cast("string").alias("value"))
-        .where(F.col("value").isNotNull())
-        .distinct()
-        .limit(MAX_CATEGORIES + 1)
-        .collect()
-    )
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} values; it is no category")
-    return sorted(row["value"] for row in found)
+    """The distinct values as text, in text order ("1", "10", ..., "17", "2").
+
+    They name the columns of a model and are stored with it, so the driver holds one
+    short text per category, however many rows there are.
+    """
+    found = df.select(F.col(column).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
+    return sorted(row["value"] for row in found.toLocalIterator())
 
 
 def one_hot(

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunledger.functions.numeric import EXACT, clamp_zero, fixed_text, rint_round, to_number
+from sunledger.functions.numeric import clamp_zero, exact_part, fixed_text, rest_part, rint_round, to_number
 from sunledger.functions.temporal import (
     epoch_seconds,
     floor_minute,
@@ -147,7 +147,7 @@ def slot_means(
     minute, split into those on the minute and those after it: at most two rows
     per site and minute enter the join, however many predictions there are.
     """
-    exact = to_number(F.col(value)).cast(EXACT)
+    number = to_number(F.col(value))
     bins = (
         predictions.where(F.col(ts).isNotNull())
         .groupBy(
@@ -155,7 +155,7 @@ def slot_means(
             floor_minute(F.col(ts)).alias("_minute"),
             on_the_minute(F.col(ts)).alias("_on"),
         )
-        .agg(F.sum(exact).alias("_sum"), F.count(exact).alias("_n"), F.count("*").alias("_rows"))
+        .agg(*_sums(number), F.count(number).alias("_n"))
     )
     slots = questions.select(F.col(site).alias("_site"), F.col(start).alias("_start")).dropna().distinct()
     last = F.col("_start") + seconds_interval(minutes * 60)
@@ -164,8 +164,8 @@ def slot_means(
         covered.join(bins, ["_site", "_minute"])
         .where(F.col("_on") | (F.col("_minute") < last))
         .groupBy("_site", "_start")
-        .agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"))
-        .select("_site", "_start", _mean("_sum", "_n").alias("slot_mean"))
+        .agg(F.sum("_sum").alias("_sum"), F.sum("_rest").alias("_rest"), F.sum("_n").alias("_n"))
+        .select("_site", "_start", _mean().alias("slot_mean"))
     )
     same = [questions[site] == means["_site"], questions[start] == means["_start"]]
     return questions.join(means, same, "left").drop("_site", "_start")
@@ -179,16 +179,20 @@ def slot_means_aligned(
     minutes: int = 10,
 ) -> DataFrame:
     """Mean per site and half-open tumbling slot, for slots that start on its multiples."""
-    exact = to_number(F.col(value)).cast(EXACT)
+    number = to_number(F.col(value))
     return (
         predictions.groupBy(site, F.window(ts, f"{minutes} minutes").alias("_slot"))
-        .agg(F.sum(exact).alias("_sum"), F.count(exact).alias("_n"))
-        .select(site, F.col("_slot.start").alias("slot_start"), _mean("_sum", "_n").alias("slot_mean"))
+        .agg(*_sums(number), F.count(number).alias("_n"))
+        .select(site, F.col("_slot.start").alias("slot_start"), _mean().alias("slot_mean"))
     )
 
 
-def _mean(total: str, n: str) -> Column:
-    return F.try_divide(F.col(total).cast("double"), F.col(n).cast("double"))
+def _sums(number: Column) -> list[Column]:
+    return [F.sum(exact_part(number)).alias("_sum"), F.sum(rest_part(number)).alias("_rest")]
+
+
+def _mean() -> Column:
+    return F.try_divide(F.col("_sum").cast("double") + F.col("_rest"), F.col("_n").cast("double"))
 
 
 def slot_answer(mean: Column) -> Column:

@@ -58,9 +58,10 @@ class Workspace:
         return self.table("power")
 
     def prepare_weather(self, csv_path: str) -> DataFrame:
-        raw = files.read_weather(self.spark, csv_path)
-        # The row order of the file is its time order; measures tell copies apart.
-        return self._store(weather.repair_weather(raw, ["time", *weather.MEASURES]), "weather")
+        """Repaired weather rows with their place in the file: of rows at one time the
+        last in the file is the one that matches."""
+        raw = files.read_weather(self.spark, csv_path, ordered=True)
+        return self._store(weather.repair_weather(raw, ["time", files.FILE_ORDER]), "weather")
 
     def prepare_irradiance(self, payload_path: str) -> DataFrame:
         """Payload files to the 1-minute series; incomplete intervals and unusable
@@ -108,7 +109,12 @@ class Workspace:
         rows = self.table("power")
         cutoffs = feature_table.VALID_FROM if valid_from is None else valid_from
         built, rejected = feature_table.build_features(
-            rows, self._shared(), valid_from=cutoffs, one_per_minute=True, stored=True
+            rows,
+            self._shared(),
+            weather_sequence=files.FILE_ORDER,
+            valid_from=cutoffs,
+            one_per_minute=True,
+            stored=True,
         )
         sinks.write_rejects(rejected, self.path("training_rejects"))
         return self._store(built, "training_features")
@@ -117,7 +123,9 @@ class Workspace:
         # Equal questions give equal rows, so one of each is enough.
         rows = self.table("question_minutes").dropDuplicates(list(KEYS))
         order = ["DateTime", "LocationCode"]
-        built, rejected = feature_table.build_features(rows, self._shared(), order, series=(), stored=True)
+        built, rejected = feature_table.build_features(
+            rows, self._shared(), order, weather_sequence=files.FILE_ORDER, series=(), stored=True
+        )
         sinks.write_rejects(rejected, self.path("serving_rejects"))
         return self._store(built, "serving_features")
 

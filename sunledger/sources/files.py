@@ -102,10 +102,10 @@ def read_slash_series(spark: SparkSession, path: str, value: str = "Solarinsolat
     )
 
 
-def read_weather(spark: SparkSession, path: str) -> DataFrame:
+def read_weather(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
     """Polled weather rows; measures stay text so that cleaning can judge them."""
     raw = read_text_columns(spark, path)
-    return raw.select(as_datetime(F.col("time")).alias("time"), "H_UVI", "TEMP")
+    return raw.select(as_datetime(F.col("time")).alias("time"), "H_UVI", "TEMP", *[_file_order()] * ordered)
 
 
 def read_questions(spark: SparkSession, path: str) -> DataFrame:

@@ -6,9 +6,10 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from sunledger.functions.numeric import to_number
+from sunledger.functions.numeric import exact_mean, to_number
 from sunledger.operators.joins import slot_means
 from sunledger.plans.jobs import Workspace
+from sunledger.plans.weather import match_weather
 from sunledger.sources import files, sinks
 
 
@@ -45,6 +46,26 @@ def test_slot_mean_counts_what_it_sums(spark):
     assert slot_means(asked, values, "v").collect()[0]["slot_mean"] == 20.0
 
 
+def test_means_keep_very_small_and_very_large_values(spark):
+    asked = spark.createDataFrame([(1, datetime(2024, 1, 1, 10))], "LocationCode int, slot_start timestamp_ntz")
+    for values, mean in (([4e-10, 4e-10], 4e-10), ([1e20, 3e20], 2e20), ([0.1, 0.3], 0.2)):
+        rows = [(1, datetime(2024, 1, 1, 10, m), v) for m, v in enumerate(values)]
+        df = spark.createDataFrame(rows, "LocationCode int, DateTime timestamp_ntz, v double")
+        assert slot_means(asked, df, "v").collect()[0]["slot_mean"] == mean
+        assert df.agg(exact_mean(F.col("v"))).first()[0] == mean
+
+
+def test_last_weather_row_of_a_time_is_the_one_that_matches(spark, tmp_path):
+    lines = ["time,H_UVI,TEMP", *[f"2024-02-01 10:00:00,1,{t}" for t in (35, 39, 37)]]
+    (tmp_path / "weather.csv").write_text("\n".join(lines))
+    ws = Workspace(spark, str(tmp_path / "ws"))
+    ws.prepare_weather(str(tmp_path / "weather.csv"))
+    rows = spark.createDataFrame([(1, datetime(2024, 2, 1, 10, 1))], "LocationCode int, DateTime timestamp_ntz")
+    for parts in (1, 3, 8):
+        stored = ws.table("weather").repartition(parts)
+        assert match_weather(rows, stored, files.FILE_ORDER).first()["TEMP"] == 37.0
+
+
 def test_csv_keeps_fractions_of_a_second(spark, tmp_path):
     stamps = [datetime(2024, 1, 1, 1, 1, 1, 500000), datetime(2024, 1, 1, 1, 1, 2)]
     df = spark.createDataFrame([(s,) for s in stamps], "t timestamp_ntz")

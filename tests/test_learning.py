@@ -37,10 +37,9 @@ def test_one_hot_order_and_unknown(spark):
     }
 
 
-def test_too_many_categories_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(features, "MAX_CATEGORIES", 3)
-    with pytest.raises(ValueError):
-        features.fit_categories(spark.range(4).withColumnRenamed("id", "LocationCode"))
+def test_categories_have_no_cap(spark):
+    known = features.fit_categories(spark.range(20_000).withColumnRenamed("id", "LocationCode"))
+    assert len(known) == 20_000 and known == sorted(known)
 
 
 def test_feature_set_sizes():
@@ -99,6 +98,20 @@ def test_fewer_rounds_are_a_prefix_of_more(table):
     ]
 
 
+def test_early_stopping_grows_fewer_trees(table, monkeypatch):
+    matrix, names = training.prepare_matrix(table, "full", fold_count=3)
+    rows = boosting.assemble(matrix, names)
+    # The label of the rows to judge by is noise, so that no round helps for long.
+    noise = rows.withColumn(LABEL, F.hash("DateTime").cast("double"))
+    grown, make = [], boosting._estimator
+    monkeypatch.setattr(boosting, "_estimator", lambda p, n, k: grown.append(n) or make(p, n, k))
+    params = BoostParams(learning_rate=0.5, max_depth=2, rounds=200, patience=2, max_bins=16)
+    kept = boosting.fit_one(rows.where("fold <> 0"), noise.where("fold = 0"), names, params).getNumTrees
+    assert kept < 100 and sum(grown) < 200 + kept
+    errors = make(params, 60, len(names)).fit(rows.where("fold <> 0")).evaluateEachIteration(noise.where("fold = 0"), "squared")
+    assert kept == boosting.best_round(errors, 2)
+
+
 def test_train_save_replay_and_score(spark, table, tmp_path):
     matrix, names = training.prepare_matrix(table, "full", fold_count=3)
     run = training.train(matrix, names, PARAMS, fold_ids=range(3))
