@@ -13,8 +13,8 @@ Levels of the tree, from the root:
    equal contents in one block at least (blocks that are empty are left out as far as the
    number of blocks allows it). A block and its content name a cell. Points in equal cells
    are found by one shuffle of (cell, set), in which a task first merges its own rows;
-3. leaves: within its cells each set is compared with the smallest set of the cell, its
-   hub. The sets that links connect form a leaf. A hot cell of near copies is one leaf, and
+3. leaves: the smallest set of a cell is its hub, and each set is compared with up to three
+   hubs of its cells. The sets that links connect form a leaf. A hot cell of near copies is one leaf, and
    its members are never paired with each other: their component is known;
 4. nodes: only cells with several leaves are left. Their points are packed, by leaf, into
    nodes of at most 64; a node's bounding box holds the largest count of each coordinate and
@@ -49,7 +49,7 @@ from sunledger.llm import common
 from sunledger.session import materialise
 
 #: Coordinates of a point.
-GROUPS = 64
+GROUPS = 128
 #: Points of a node.
 NODE = 64
 #: Tasks that pack the leaves of one cell side by side.
@@ -298,13 +298,14 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _opened(percent: int):
-    """Of pairs of nodes: the pairs of sets of different leaves that boxes and points allow."""
+    """Of pairs of nodes: the pairs of sets of different leaves that boxes and points allow,
+    with their leaves (the smaller first) and the bound on what they share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             same = batch.column(0).to_numpy(zero_copy_only=False)
             raw = [batch.column(i) for i in range(1, 9)]
-            found = [np.zeros((2, 0), np.int64)]
+            found = [np.zeros((5, 0), np.int64)]
             for i in range(batch.num_rows):
                 cells = [np.frombuffer(c[i].as_buffer(), np.uint8) for c in raw]
                 sids, leaves, n, others, other_leaves, m = (cells[j].view(np.int64) for j in (0, 1, 2, 4, 5, 6))
@@ -319,32 +320,54 @@ def _opened(percent: int):
                 if same[i]:
                     keep = np.triu(keep, 1)
                 a, b = np.nonzero(keep)
-                found.append(np.stack([np.minimum(sids[a], others[b]), np.maximum(sids[a], others[b])]))
-            a, b = np.concatenate(found, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                ends = np.stack([sids[a], others[b], leaves[a], other_leaves[b], least[a, b]])
+                swap = ends[2] > ends[3]
+                ends[:4, swap] = ends[[1, 0, 3, 2]][:, swap]
+                found.append(ends)
+            rows = np.concatenate(found, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["a", "b", "la", "lb", "least"])
 
     return run
 
 
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
+    """The components of some links as one link per member to its least: the same
+    components from fewer links, in the groups where every set links with every other."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        x, y = root(x), root(y)
+        parent[max(x, y)] = min(x, y)
+    ends = [(x, top) for x in parent if (top := root(x)) != x]
+    return [x for x, _ in ends], [top for _, top in ends]
+
+
 def _verify(percent: int):
+    """Of a batch of pairs (a, b) with their shingles: the stars of the true links."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column(2), batch.column(3)
-            keep = []
+            keep = np.zeros(batch.num_rows, bool)
             for i in range(batch.num_rows):
                 a = np.frombuffer(left[i].as_buffer(), np.uint64)
                 b = np.frombuffer(right[i].as_buffer(), np.uint64)
                 both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1)], ["a", "b"]
-            ).filter(pa.array(keep, pa.bool_()))
+                keep[i] = 100 * both >= percent * (len(a) + len(b) - both)
+            ends = _stars(*(batch.column(i).to_numpy()[keep] for i in range(2)))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ends], ["a", "b"])
 
     return run
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int, label: str) -> DataFrame:
-    """The pairs (a, b) that reach the threshold."""
+    """Links (a, b) with the components of the pairs that reach the threshold."""
     left = sets.select(F.col("sid").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("sid").alias("b"), F.col("shingles").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
@@ -423,10 +446,11 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     )
     common.free_shuffles(spark)
 
-    hubs = materialise(
-        shared.groupBy("sid").agg(F.min("hub").alias("hub")), "hubs"
-    )
-    wanted = hubs.select("sid").join(points.select("sid", "doc_id"), "sid")
+    # Up to three hubs of a set's cells: what one misses another may link.
+    other = F.min_by("hub", F.xxhash64("hub", "sid"))
+    picked = F.array_distinct(F.array(F.min("hub"), F.max("hub"), other))
+    hubs = materialise(shared.groupBy("sid").agg(F.explode(picked).alias("hub")), "hubs")
+    wanted = hubs.select("sid").distinct().join(points.select("sid", "doc_id"), "sid")
     sets = materialise(
         texts.join(wanted, "doc_id")
         .select("sid", "text")
@@ -447,9 +471,23 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     leaves = components(links)
 
     second = _pairs(_open_leaves(shared, leaves), points, percent)
-    more = _links(second, sets, percent, "leaf-links")
-    both = links.union(more)
-    found = components(both)
+    # The likeliest pair of two leaves comes first: if it links them, or others do, the
+    # other pairs of these leaves add nothing. All that remain are verified.
+    likely = materialise(
+        second.groupBy("la", "lb").agg(F.max_by(F.struct("a", "b"), F.struct("least", "a", "b")).alias("p")),
+        "likely-pairs",
+    )
+    links = links.union(_links(likely.select("p.a", "p.b"), sets, percent, "leaf-links"))
+    joined = components(links)
+    merged = (
+        likely.select("la", "lb")
+        .join(joined.select(F.col("sid").alias("la"), F.col("component").alias("x")), "la")
+        .join(joined.select(F.col("sid").alias("lb"), F.col("component").alias("y")), "lb")
+        .where("x = y")
+        .select("la", "lb")
+    )
+    rest = second.join(merged, ["la", "lb"], "left_anti").select("a", "b")
+    found = components(links.union(_links(rest, sets, percent, "rest-links")))
 
     named = described.join(found, "sid", "left").withColumn("group", F.coalesce("component", "sid"))
     least = named.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("least"))
@@ -492,7 +530,7 @@ def _pairs(members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     )
     packed = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in ("sids", "leaves", "sizes", "points")]
     opened = met.select((F.col("x.node") == F.col("y.node")).alias("same"), *packed)
-    return materialise(opened.mapInArrow(_opened(percent), "a long, b long").distinct(), "near-pairs")
+    return materialise(opened.mapInArrow(_opened(percent), "a long, b long, la long, lb long, least long").distinct(), "near-pairs")
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
