@@ -7,14 +7,18 @@ place is read off the gaps between matches. Patterns begin where a run of their
 begins or the last match ended, and their repetitions are possessive, so that a long run is
 passed once.
 
-Loose candidates are described by small whole numbers of format and context. Those that
-meet a checked base span teach the model what personal data looks like without the checks
-themselves being features; one aggregation over all documents counts each description, so
-training data are as many rows as there are descriptions, whatever the corpus
-(``DESCRIPTIONS`` at most). Gradient boosting fits trees of two levels on half of the
-candidates; on the other half the lowest threshold is chosen that keeps the precision.
-Trees become nested conditional expressions, and loose candidates above the threshold that
-overlap no base span are added.
+Loose candidates are described by small whole numbers of format and context; what the base
+rules go by (a leading ``+``, the sign for "at") is no feature. Only candidates that meet no
+base span can be added, so the thresholds are set on those alone, and their target is not a
+base match but ``evidence``: for a number, the length of a phone number, no date, and a word
+for phones as the nearest word of a topic before it (an order number has its own words); for
+a handle, a written-out "at" and a host name. Candidates that meet a base span are examples
+too, as evident ones; their format shows what phones and addresses look like. One
+aggregation over all documents counts each description, so training data are as many rows as
+there are descriptions, whatever the corpus (``DESCRIPTIONS`` at most). Gradient boosting
+fits trees of two levels on half of the candidates; on the other half the lowest threshold
+is chosen that keeps the precision among the open ones. Trees become nested conditional
+expressions, and loose candidates above the threshold that overlap no base span are added.
 
 Defined cases: null text counts as empty; a text without candidates has no spans; without
 any candidates the model adds nothing; spans are code points with an exclusive end.
@@ -48,10 +52,26 @@ _NEEDS = {"email": "@", "handle": "@|[(\\[](at|AT)[)\\]]", "phone": "\\+[0-9]",
 _SPANS = "array<struct<kind:string, start:int, stop:int, value:string>>"
 
 #: Features (name, number of values) and words of context.
-FEATURES = {"kind": 2, "digits": 7, "dots": 4, "plus": 2, "spaced": 2, "dashed": 2, "joined": 2, "topic": 5}
+FEATURES = {
+    "kind": 2, "digits": 7, "dots": 4, "zero": 2, "dated": 2, "spaced": 2, "dashed": 2, "written": 2, "joined": 2, "topic": 6
+}
 DESCRIPTIONS = prod(FEATURES.values())
 CONTEXT = 24
-TOPICS = ("tel|phone|call|mobil|fax", "card|visa|credit|iban|account", "mail|contact|write", "host|server|addr|ip")
+#: Words of topics; the nearest before a candidate is its topic.
+TOPICS = (
+    "tel|telefon|telephone|phones?|call|called|calling|mobile?|handy|fax|telefax|dial|sms|whatsapp|cell",
+    "card|visa|credit|iban|account",
+    "e-?mail|mail|contact|write",
+    "host|server|addr|address|ip",
+    "orders?|ordered|invoice|ticket|ref|reference|id|item|part|sku|serial|case|article|isbn|issn|doi|version|date|code|tracking",
+)
+PHONE = 1
+_TOPIC_WORDS = [rf"(?:{words})" for words in TOPICS]
+_NEAREST = r"(?s).*(?<![a-z0-9])(" + "|".join(_TOPIC_WORDS) + r")(?![a-z])"
+#: A written-out "at", and the name of a host.
+_AT = r"[(\[](?:at|AT)[)\]]"
+_HOST = r"\.[A-Za-z]{2,}$"
+_DATE = r"^\(?(?:(?:19|20)[0-9]{2}[-.][0-9]{1,2}[-.][0-9]{1,2}|[0-9]{1,2}[-.][0-9]{1,2}[-.](?:19|20)[0-9]{2})(?![0-9])"
 
 ROUNDS, STEP, RIDGE = 20, 0.3, 1.0
 PRECISION = 0.95
@@ -113,30 +133,41 @@ def _meets(span: Column, others: Column) -> Column:
     return F.exists(others, lambda o: (o["start"] < span["stop"]) & (span["start"] < o["stop"]))
 
 
-def _described(span: Column, before: Column, digits: Column) -> Column:
+def _described(span: Column, before: Column, digits: Column, near: Column) -> Column:
     """The features of a loose candidate, as small whole numbers."""
     value = span["value"]
+    handle = span["kind"] == "handle"
     topic = F.lit(0)
-    for i, words in reversed(list(enumerate(TOPICS, start=1))):
-        topic = F.when(before.rlike(words), i).otherwise(topic)
+    for i, words in reversed(list(enumerate(_TOPIC_WORDS, start=1))):
+        topic = F.when(near.rlike(f"^{words}$"), i).otherwise(topic)
     size = F.lit(0)
     for i, least in enumerate((7, 8, 10, 13, 16, 17), start=1):
         size = F.when(digits >= least, i).otherwise(size)
+    host = F.when(handle, F.regexp_replace(value, rf"^.*(?:@|{_AT})", "")).otherwise(value)
     return F.struct(
-        (span["kind"] == "handle").cast("int").alias("kind"),
+        handle.cast("int").alias("kind"),
         size.alias("digits"),
-        F.least(F.regexp_count(value, F.lit(r"\.")), F.lit(3)).alias("dots"),
-        value.startswith("+").cast("int").alias("plus"),
-        value.contains(" ").cast("int").alias("spaced"),
+        F.least(F.regexp_count(host, F.lit(r"\.")), F.lit(3)).alias("dots"),
+        value.rlike(r"^\(?0").cast("int").alias("zero"),
+        value.rlike(_DATE).cast("int").alias("dated"),
+        (~handle & value.contains(" ")).cast("int").alias("spaced"),
         value.contains("-").cast("int").alias("dashed"),
+        (handle & value.rlike(_HOST)).cast("int").alias("written"),
         before.rlike("[a-z0-9]$").cast("int").alias("joined"),
         topic.alias("topic"),
     )
 
 
+def _evident(span: Column, x: Column, digits: Column) -> Column:
+    """Whether a candidate that meets no base span is personal data by form and context."""
+    phone = digits.between(7, 15) & (x["dated"] == 0) & (x["joined"] == 0) & (x["topic"] == PHONE)
+    address = (x["written"] == 1) & span["value"].rlike(_AT)
+    return F.when(span["kind"] == "handle", address).otherwise(phone)
+
+
 def candidates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """key, text, base (checked spans) and loose (spans with features and ``sure``: whether
-    they meet a base span) of every row."""
+    """key, text, base (checked spans) and loose (spans with features, ``sure``: whether
+    they meet a base span, and ``evident``) of every row."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col(key), text.alias("text"))
 
@@ -151,8 +182,15 @@ def candidates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         before = F.substring(text, F.greatest(span["start"] - CONTEXT + 1, F.lit(1)), F.least(span["start"], F.lit(CONTEXT)))
         digits = F.length(F.regexp_replace(span["value"], "[^0-9]", ""))
         known = F.struct(F.lower(before).alias("before"), digits.alias("digits"))
-        x = _let(known, lambda k: _described(span, k["before"], k["digits"]))
-        return F.struct(span.alias("span"), _meets(span, base).alias("sure"), x.alias("x"))
+
+        def judged(k):
+            near = F.regexp_extract(k["before"], _NEAREST, 1)
+            x = _let(near, lambda word: _described(span, k["before"], k["digits"], word))
+            sure = _meets(span, base)
+            evident = lambda x: sure | _evident(span, x, k["digits"])
+            return _let(x, lambda x: F.struct(span.alias("span"), sure.alias("sure"), evident(x).alias("evident"), x.alias("x")))
+
+        return _let(known, judged)
 
     whole = F.struct(F.col("text").alias("t"), F.col("base").alias("b"), loose.alias("l"))
     described = _let(whole, lambda w: F.transform(w["l"], lambda span: describe(w["t"], w["b"], span)))
@@ -227,13 +265,14 @@ class Model:
         return out
 
 
-def train(counts: list[tuple[dict[str, int], int, int, int]]) -> Model:
-    """Fit on descriptions (x, fold, positives, negatives)."""
-    fit = [c for c in counts if c[1] == 0]
+def train(counts: list[tuple[dict[str, int], int, int, int, int]]) -> Model:
+    """Fit on descriptions (x, fold, sure, evident, others): candidates that meet a base span,
+    and of those that do not, the ones with evidence and the others."""
+    fit = [(x, f, s + p, n) for x, f, s, p, n in counts if f == 0]
     good, bad = sum(c[2] for c in fit), sum(c[3] for c in fit)
-    if not good or not bad:
+    if not good:
         return Model(0.0, [], {})
-    model = Model(log(good / bad), [], {})
+    model = Model(log((good + RIDGE) / (bad + RIDGE)), [], {})
     raw = [model.start] * len(fit)
     for _ in range(ROUNDS):
         rows = []
@@ -244,7 +283,8 @@ def train(counts: list[tuple[dict[str, int], int, int, int]]) -> Model:
         model.trees.append(tree)
         raw = [r + _value(tree, c[0]) for r, c in zip(raw, fit, strict=True)]
     for kind in range(FEATURES["kind"]):
-        ranked = sorted(((model.raw(x), p, n) for x, f, p, n in counts if f == 1 and x["kind"] == kind), key=lambda c: -c[0])
+        open_ = [(model.raw(x), p, n) for x, f, _, p, n in counts if f == 1 and x["kind"] == kind and p + n]
+        ranked = sorted(open_, key=lambda c: -c[0])
         good = bad = 0
         for i, (score, p, n) in enumerate(ranked):
             good, bad = good + p, bad + n
@@ -257,15 +297,19 @@ def train(counts: list[tuple[dict[str, int], int, int, int]]) -> Model:
 def fit(docs: DataFrame) -> Model:
     found = candidates(docs.select("text").withColumn("_key", F.lit(0)), "_key")
     each = found.select(F.explode("loose").alias("c")).select(
-        "c.x.*", "c.sure", (F.pmod(F.xxhash64("c.span.value"), F.lit(2))).cast("int").alias("fold")
+        "c.x.*", "c.sure", "c.evident", (F.pmod(F.xxhash64("c.span.value"), F.lit(2))).cast("int").alias("fold")
     )
     rows = (
         each.groupBy(*FEATURES, "fold")
-        .agg(F.count_if("sure").alias("p"), F.count_if(~F.col("sure")).alias("n"))
+        .agg(
+            F.count_if("sure").alias("s"),
+            F.count_if(F.col("evident") & ~F.col("sure")).alias("p"),
+            F.count_if(~F.col("evident")).alias("n"),
+        )
         .orderBy(*FEATURES, "fold")
         .collect()  # DESCRIPTIONS * 2 rows at most
     )
-    return train([({k: r[k] for k in FEATURES}, r["fold"], r["p"], r["n"]) for r in rows])
+    return train([({k: r[k] for k in FEATURES}, r["fold"], r["s"], r["p"], r["n"]) for r in rows])
 
 
 # ---- operator ---------------------------------------------------------------------

@@ -435,6 +435,28 @@ def test_personal_data(spark):
         assert (row.text is None) == (row.doc_id == 9000)
 
 
+def test_personal_data_adds_formats_the_base_rules_miss(spark):
+    """With many and with few base spans: national phones and written-out addresses are
+    added, order numbers and dates are not."""
+    rng = random.Random(9)
+
+    def digits(n):
+        return "".join(rng.choice("0123456789") for _ in range(n))
+
+    for plain in (20, 400):
+        rows = [f"call +49 30 {digits(7)} or mail a{i}@b.org" for i in range(plain)]
+        rows += [f"please call 030 {digits(7)}" for _ in range(80)] + [f"phone number: 0{digits(9)}." for _ in range(80)]
+        rows += [f"write to name{i} (at) host{i}.org" for i in range(80)] + [f"met{i} user{i}@local" for i in range(80)]
+        rows += [f"order 1{digits(9)}" for _ in range(150)] + [f"call us about order number 030 {digits(7)}" for _ in range(80)]
+        rows += [f"call 2024-0{1 + i % 9}-1{i % 10} noon" for i in range(60)] + [f"total {digits(8)} units" for _ in range(150)]
+        df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+        clean = [r.text for r in pii.redact(df, pii.fit(df)).orderBy("doc_id").collect()]
+        for old, new in zip(rows, clean, strict=True):
+            hidden = "[" in new
+            assert hidden == old.startswith(("call +", "please", "phone", "write")), (plain, old, new)
+            assert new == old or not re.search("[0-9]{5}|host", new), (plain, old, new)
+
+
 def test_personal_data_runs_no_python(spark):
     plan = REGISTRY["op9_personal_data"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     plan += REGISTRY["op5_url_filter"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
