@@ -22,8 +22,11 @@ Levels of the tree, from the root:
    coordinate minima of their boxes allow a link, and only pairs of points of different
    leaves whose own minima allow one leave the task.
 
-Surviving pairs are verified on the shingles themselves. Every pair of different sets that
-reaches the threshold is verified or already joined by links, so no component is lost.
+Surviving pairs are verified on the shingles themselves. For components (``join``) every pair
+of different sets that reaches the threshold is verified or already joined by links, so no
+component is lost; most links inside a group are not looked at. ``similarity_join`` returns
+all links: in its cells every set is a leaf of its own, so every pair of different sets that
+the points allow is verified. A group of k texts that all link has k (k - 1) / 2 of them.
 
 Hash equality stands for equality of shingles: within a pair that is a matter of 2**-64.
 
@@ -52,6 +55,8 @@ from sunledger.session import materialise
 GROUPS = 128
 #: Points of a node.
 NODE = 64
+#: Pairs of sets that a task holds before it passes them on.
+_HELD = 1 << 18
 #: Tasks that pack the leaves of one cell side by side.
 _PACKERS = 16
 
@@ -305,7 +310,7 @@ def _opened(percent: int):
         for batch in batches:
             same = batch.column(0).to_numpy(zero_copy_only=False)
             raw = [batch.column(i) for i in range(1, 9)]
-            found = [np.zeros((5, 0), np.int64)]
+            found, held = [np.zeros((5, 0), np.int64)], 0
             for i in range(batch.num_rows):
                 cells = [np.frombuffer(c[i].as_buffer(), np.uint8) for c in raw]
                 sids, leaves, n, others, other_leaves, m = (cells[j].view(np.int64) for j in (0, 1, 2, 4, 5, 6))
@@ -324,8 +329,15 @@ def _opened(percent: int):
                 swap = ends[2] > ends[3]
                 ends[:4, swap] = ends[[1, 0, 3, 2]][:, swap]
                 found.append(ends)
-            rows = np.concatenate(found, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["a", "b", "la", "lb", "least"])
+                held += len(a)
+                if held > _HELD:
+                    yield rows(found)
+                    found, held = found[:1], 0
+            yield rows(found)
+
+    def rows(found):
+        arrays = [pa.array(x) for x in np.concatenate(found, axis=1)]
+        return pa.RecordBatch.from_arrays(arrays, ["a", "b", "la", "lb", "least"])
 
     return run
 
@@ -348,29 +360,40 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
     return [x for x, _ in ends], [top for _, top in ends]
 
 
-def _verify(percent: int):
-    """Of a batch of pairs (a, b) with their shingles: the stars of the true links."""
+def _verify(percent: int, stars: bool = True):
+    """Of a batch of pairs (a, b) with their shingles: the stars of the true links, or the
+    true links themselves with the shingles in both sets and in either."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column(2), batch.column(3)
-            keep = np.zeros(batch.num_rows, bool)
+            common_, either = np.zeros((2, batch.num_rows), np.int64)
             for i in range(batch.num_rows):
                 a = np.frombuffer(left[i].as_buffer(), np.uint64)
                 b = np.frombuffer(right[i].as_buffer(), np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep[i] = 100 * both >= percent * (len(a) + len(b) - both)
-            ends = _stars(*(batch.column(i).to_numpy()[keep] for i in range(2)))
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ends], ["a", "b"])
+                common_[i] = len(np.intersect1d(a, b, assume_unique=True))
+                either[i] = len(a) + len(b) - common_[i]
+            keep = 100 * common_ >= percent * either
+            ends = [batch.column(i).to_numpy()[keep] for i in range(2)]
+            names = ["a", "b"]
+            if stars:
+                ends = _stars(*ends)
+            else:
+                ends, names = [*ends, common_[keep], either[keep]], [*names, "n_common", "n_either"]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ends], names)
 
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int, label: str) -> DataFrame:
-    """Links (a, b) with the components of the pairs that reach the threshold."""
+def _with_shingles(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("sid").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("sid").alias("b"), F.col("shingles").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+
+
+def _links(pairs: DataFrame, sets: DataFrame, percent: int, label: str) -> DataFrame:
+    """Links (a, b) with the components of the pairs that reach the threshold."""
+    both = _with_shingles(pairs, sets)
     return materialise(both.mapInArrow(_verify(percent), "a long, b long"), label)
 
 
@@ -421,8 +444,9 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("sid", "label")
 
 
-def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs``."""
+def _indexed(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, ...]:
+    """The rows with their sets, the points, the shared cells, the hubs, and the shingles of
+    sets that share a cell."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     described = materialise(
@@ -459,7 +483,12 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         "shingles",
     )
     common.free_shuffles(spark)
+    return described, points, shared, hubs, sets
+
 
+def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs``."""
+    described, points, shared, hubs, sets = _indexed(docs, width, percent)
     first = (
         hubs.where("hub <> sid")
         .join(points.select("sid", F.col("point").alias("p"), "n"), "sid")
@@ -470,6 +499,7 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     links = _links(first, sets, percent, "hub-links")
     leaves = components(links)
 
+    # Only pairs of different leaves are met: the links inside a leaf join nothing new.
     second = _pairs(_open_leaves(shared, leaves), points, percent)
     # The likeliest pair of two leaves comes first: if it links them, or others do, the
     # other pairs of these leaves add nothing. All that remain are verified.
@@ -489,9 +519,47 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     rest = second.join(merged, ["la", "lb"], "left_anti").select("a", "b")
     found = components(links.union(_links(rest, sets, percent, "rest-links")))
 
+    return _named(described, found).drop("sid")
+
+
+def similarity_join(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """(members, links): the columns of ``join`` with set_id and n_links, and all links.
+
+    A link is a pair of different sets that reach the threshold: left_set, right_set, the
+    smallest doc_id of each (left_id, right_id), and the shingles in both (n_common) and in
+    either (n_either). n_links of a row counts the links of its set. Rows of equal sets are
+    found by set_id.
+    """
+    described, points, shared, _, sets = _indexed(docs, width, percent)
+    members = shared.select("cell", F.col("sid").alias("leaf"), "sid").distinct()
+    pairs = _pairs(members, points, percent).select("a", "b")
+    verified = _verify(percent, stars=False)
+    both = _with_shingles(pairs, sets).mapInArrow(verified, "a long, b long, n_common long, n_either long")
+    links = materialise(both, "links")
+    ends = links.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("n_links"))
+    rows = _named(described, components(links.select("a", "b"))).join(ends, "sid", "left")
+    least = points.select("sid", "doc_id")
+    named = links.join(least.toDF("a", "left_id"), "a").join(least.toDF("b", "right_id"), "b")
+    return (
+        rows.select(
+            "doc_id",
+            "n_shingles",
+            "component_id",
+            F.col("sid").alias("set_id"),
+            F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).alias("n_links"),
+        ),
+        named.select(
+            "left_id", "right_id", F.col("a").alias("left_set"), F.col("b").alias("right_set"), "n_common", "n_either"
+        ),
+    )
+
+
+def _named(described: DataFrame, found: DataFrame) -> DataFrame:
+    """sid, doc_id, n_shingles and component_id of every row."""
     named = described.join(found, "sid", "left").withColumn("group", F.coalesce("component", "sid"))
     least = named.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("least"))
     return named.join(least, "group", "left").select(
+        "sid",
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"),

@@ -116,6 +116,47 @@ def test_join_across_tasks_without_merging(spark, monkeypatch):
     assert got == {k: c for k, (_, c) in brute_components(rows, 4, 85).items()}
 
 
+@pytest.mark.parametrize("held", [1 << 18, 5])
+def test_similarity_join_returns_every_link(spark, monkeypatch, held):
+    """All pairs inside a group of edited copies too, with the number of links of each row."""
+    monkeypatch.setattr(ngram_join, "_HELD", held)
+    rng = random.Random(8)
+    long = [f"v{i}" for i in range(200)]
+    rows = near_copies(11, 150)
+    for key in range(200, 260):
+        text = list(long)
+        text[rng.randrange(200)] = f"x{key}"
+        rows.append((key, " ".join(text)))
+    rows += [(300, rows[-1][1].upper()), (None, rows[-1][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    members, links = ngram_join.similarity_join(df, 5, 80)
+    named = [(k, s) for k, s in shingle_sets(rows, 5) if k is not None]
+    first = {}
+    for key, own in sorted(named, key=lambda x: x[0]):
+        if own:
+            first.setdefault(frozenset(own), key)
+    want, times = {}, Counter()
+    sets = list(first.items())
+    for i, (x, a) in enumerate(sets):
+        for y, b in sets[:i]:
+            if 100 * len(x & y) >= 80 * len(x | y):
+                want[frozenset((a, b))] = (len(x & y), len(x | y))
+                times.update((a, b))
+    found = links.collect()
+    assert len(found) == len(want) > 60 * 59 // 2
+    assert {frozenset((r.left_id, r.right_id)): (r.n_common, r.n_either) for r in found} == want
+    brute = brute_components([(k, t) for k, t in rows if k is not None], 5, 80)
+    got = members.collect()
+    assert len(got) == len(rows)
+    for row in got:
+        if row.doc_id is None:
+            assert (row.component_id, row.n_links) == (None, 0)
+        else:
+            own = frozenset(dict(named)[row.doc_id])
+            assert (row.n_shingles, row.component_id) == brute[row.doc_id]
+            assert row.n_links == times[first.get(own)]
+
+
 def test_linked_sets_share_a_cell():
     rng = np.random.default_rng(1)
     for size in [1, 2, 5, 6, 7, 12, 13, 40, 100, 333, 1000]:
