@@ -32,9 +32,10 @@ Hash equality stands for equality of shingles: within a pair that is a matter of
 
 Defined cases: null or wordless text has an empty set and links with nothing; a text of
 fewer words than the width is one shingle; equal sets link; rows with a null doc_id form
-no links and have a null component; rows that repeat a doc_id are the same document if
-their texts are equal, and otherwise all its texts count as it (its links are theirs, and
-it has a row for each).
+no links and have a null component. A set goes by the smallest doc_id that has it, and sets
+that go by one doc_id are one node, as in the SQL: their links are united. So a doc_id with
+several texts has a row for each, and the rows differ in component if one text is a copy of
+a document with a smaller doc_id. ``keep_one`` goes by texts and not by documents.
 """
 
 from __future__ import annotations
@@ -47,6 +48,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from sunledger.llm import common
 from sunledger.session import materialise
@@ -488,6 +490,12 @@ def _indexed(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, ...]
 
 def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``."""
+    described, points, links = _spanning(docs, width, percent)
+    return _named(described, components(links.union(_same_name(points)))).drop("sid")
+
+
+def _spanning(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with their sets, the points, and links (a, b) that span every component."""
     described, points, shared, hubs, sets = _indexed(docs, width, percent)
     first = (
         hubs.where("hub <> sid")
@@ -517,9 +525,13 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         .select("la", "lb")
     )
     rest = second.join(merged, ["la", "lb"], "left_anti").select("a", "b")
-    found = components(links.union(_links(rest, sets, percent, "rest-links")))
+    return described, points, links.union(_links(rest, sets, percent, "rest-links"))
+
 
-    return _named(described, found).drop("sid")
+def _same_name(points: DataFrame) -> DataFrame:
+    """Sets that go by one doc_id, as links (a, b) to the least of them."""
+    least = points.groupBy("doc_id").agg(F.min("sid").alias("a"), F.max("sid").alias("high")).where("a <> high")
+    return points.join(least, "doc_id").where("sid <> a").select("a", F.col("sid").alias("b"))
 
 
 def similarity_join(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -537,7 +549,7 @@ def similarity_join(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple
     both = _with_shingles(pairs, sets).mapInArrow(verified, "a long, b long, n_common long, n_either long")
     links = materialise(both, "links")
     ends = links.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("n_links"))
-    rows = _named(described, components(links.select("a", "b"))).join(ends, "sid", "left")
+    rows = _named(described, components(links.select("a", "b").union(_same_name(points)))).join(ends, "sid", "left")
     least = points.select("sid", "doc_id")
     named = links.join(least.toDF("a", "left_id"), "a").join(least.toDF("b", "right_id"), "b")
     return (
@@ -605,16 +617,48 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(common.table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def _row_sets(width: int):
+    """Rows with their set id behind the text, which is the last column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, sets in _sets(batch.column(batch.num_columns - 1), width):
+                ids = pa.array([int(set_id(s).view(np.int64)) if len(s) else None for s in sets], pa.int64())
+                rows = batch.slice(low, len(sets))
+                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], ids], [*rows.schema.names[:-1], "_sid"])
+
+    return run
+
+
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each component: the document with the smallest doc_id.
+    """``docs`` with one row of each group of texts that links connect.
 
-    Rows without a doc_id link with nothing and stay; of rows that repeat a kept doc_id
-    one stays.
+    The row with the smallest doc_id stays, of several the one with the smallest set id, then
+    text. A doc_id with texts of several groups can keep a row for each. Rows without a
+    doc_id link with nothing and stay; so does a row for each doc_id with an empty text.
     """
-    joined = join(docs, width, percent)
-    kept = joined.where("doc_id = component_id").select("doc_id").distinct()
-    single = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return docs.where("doc_id is null").unionByName(single).select(*docs.columns)
+    described, _, links = _spanning(docs, width, percent)
+    rows = described.where("doc_id is not null").select("doc_id", "sid")
+    group = F.coalesce("component", "sid")
+    first = F.min(F.struct("doc_id", "sid")).alias("first")
+    led = rows.where("sid is not null").join(components(links), "sid", "left").groupBy(group).agg(first)
+    kept = materialise(led.select("first.*").union(rows.where("sid is null").distinct()), "kept")
+    # Only a doc_id with several texts needs the sets of its rows again.
+    mixed = (F.min("sid") < F.max("sid")) | ((F.count("sid") > 0) & (F.count("sid") < F.count("*")))
+    several = materialise(rows.groupBy("doc_id").agg(mixed.alias("mixed")).where("mixed").select("doc_id"), "several")
+
+    def chosen(rows, *keys):
+        least = F.min_by(F.struct(*docs.columns), F.struct("text", F.xxhash64(*docs.columns)))
+        return rows.groupBy(*keys).agg(least.alias("_row")).select("_row.*")
+
+    plain = docs.join(kept.join(several, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_semi")
+    known = StructType([*docs.schema.fields, StructField("_sid", LongType())])
+    odd = docs.join(several, "doc_id", "left_semi").withColumn("_text", F.col("text").cast("string"))
+    odd = odd.select(*docs.columns, "_text").mapInArrow(_row_sets(width), known)
+    wanted = kept.join(several, "doc_id", "left_semi").toDF("_kept", "_kept_sid")
+    of_kept = (F.col("doc_id") == F.col("_kept")) & F.col("_sid").eqNullSafe(F.col("_kept_sid"))
+    odd = chosen(odd.join(wanted, of_kept, "left_semi"), "doc_id", "_sid")
+    return docs.where("doc_id is null").unionByName(chosen(plain, "doc_id")).unionByName(odd).select(*docs.columns)
 
 
 ORACLE = """

@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -185,6 +186,31 @@ def test_join_defined_cases(spark):
     assert ngram_join.join(df.limit(0)).count() == 0
 
 
+def test_texts_that_share_a_doc_id(spark):
+    """A doc_id with several texts: components as in the SQL, and one row of each group stays."""
+    rng = random.Random(2)
+
+    def text():
+        return " ".join(f"w{rng.randrange(500)}" for _ in range(60))
+
+    a, b, c, d, e, f = (text() for _ in range(6))
+    rows = [(3, a), (5, a), (5, b), (9, b + " z"), (7, c), (7, d), (8, d), (2, e), (6, e + " z"), (6, f), (4, f + " z"), (4, "")]
+    rows += [(1, a + " z"), (7, c.upper()), (None, b)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [r for r in rows if r[0] is not None])
+    want = Counter(con.execute(ngram_join.ORACLE).fetchall())
+    kept = set()
+    for parts in (1, 3, 8):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        joined = [tuple(r) for r in ngram_join.join(df, 4, 85).collect()]
+        assert Counter(r for r in joined if r[0] is not None) == want
+        assert sum(r[0] is None and r[2] is None for r in joined) == 1
+        kept.add(tuple(sorted(map(tuple, ngram_join.keep_one(df, 4, 85).collect()), key=str)))
+    stay = [(1, a + " z"), (5, b), (7, c.upper()), (7, d), (2, e), (4, f + " z"), (4, ""), (None, b)]
+    assert kept == {tuple(sorted(stay, key=str))}
+
+
 # ---- op2 --------------------------------------------------------------------------
 
 
