@@ -525,10 +525,10 @@ def feed_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = views.weather_payload_text(stream).select(
         F.from_json("payload", schemas.WEATHER_PAYLOAD).alias("p")
     )
-    feed = weather_feed.dedup_observations(weather_feed.observations(parsed.select("p.*")))
-    sink, checkpoint = new_shared_path(spark, "feed"), new_shared_path(spark, "feed-state")
-    weather_feed.start_append(feed, sink, checkpoint, available_now=True).awaitTermination()
-    return spark.read.schema(feed.schema).parquet(sink).select(
+    rows = weather_feed.all_observations(parsed.select("p.*"))
+    sink, checkpoint, rejects = (new_shared_path(spark, f"feed{x}") for x in ("", "-state", "-rejects"))
+    weather_feed.start_feed(rows, sink, rejects, checkpoint, available_now=True).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(sink).select(
         "StationId", F.col("time").cast("timestamp_ntz").alias("time")
     )
 

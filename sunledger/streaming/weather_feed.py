@@ -1,4 +1,8 @@
-"""Live weather feed: payload files land in a folder and become deduplicated observations."""
+"""Live weather feed: payload files land in a folder and become deduplicated observations.
+
+Every observation is accepted, a repeat of an accepted one, or rejected with a reason: it
+has no usable time, or came later than the watermark and its key was never accepted.
+"""
 
 from __future__ import annotations
 
@@ -23,10 +27,14 @@ def read_payload_stream(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def all_observations(payloads: DataFrame) -> DataFrame:
+    """Flat observations; event time is TIMESTAMP, as watermarks need it, or null."""
+    return flatten_weather(payloads).withColumn("time", F.col("time").cast("timestamp"))
+
+
 def observations(payloads: DataFrame) -> DataFrame:
-    """Flat observations; event time is TIMESTAMP, as watermarks need it."""
-    flat = flatten_weather(payloads)
-    return flat.withColumn("time", F.col("time").cast("timestamp")).where(F.col("time").isNotNull())
+    """Flat observations with a usable time."""
+    return all_observations(payloads).where(F.col("time").isNotNull())
 
 
 def unreadable(payloads: DataFrame) -> DataFrame:
@@ -60,6 +68,68 @@ def start_append(
     return writer.trigger(**trigger).start(sink)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def start_feed(
+    rows: DataFrame,
+    sink: str,
+    rejects: str,
+    checkpoint: str,
+    available_now: bool = False,
+    every: str = EVERY_MINUTE,
+    watermark: str = WATERMARK,
+    keys: tuple[str, ...] = ("StationId", "time"),
+) -> StreamingQuery:
+    """Append accepted rows to ``sink`` and the others, with a reason, to ``rejects``.
+
+    A micro-batch holds its rows twice, as they came and deduplicated. A row that came with
+    a time and whose key is neither accepted in this batch nor in the sink is late. A batch
+    that is repeated after a failure writes nothing twice: accepted rows that the sink has
+    are left out, and rejects are a folder per batch.
+    """
+    spark = rows.sparkSession
+    if _exists(spark, f"{sink}/_spark_metadata"):
+        raise ValueError(f"{sink} was written by a file stream, whose readers see no other files; use a new sink")
+    schema = rows.schema
+    fresh = dedup_observations(rows.where(F.col("time").isNotNull()), keys, watermark=watermark)
+    both = fresh.withColumn("_accepted", F.lit(True)).unionByName(rows.withColumn("_accepted", F.lit(False)))
+
+    def same(left: DataFrame, right: DataFrame):
+        out = F.lit(True)
+        for key in keys:
+            out = out & left[key].eqNullSafe(right[key])
+        return out
+
+    def split(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            if _exists(spark, sink) and batch.isEmpty():
+                return  # it only moves the watermark on
+            came = batch.where("not _accepted").drop("_accepted")
+            accepted = batch.where("_accepted").drop("_accepted")
+            low, high = came.agg(F.min("time"), F.max("time")).first()
+            known = accepted.select(*keys)
+            if _exists(spark, sink):
+                stored = batch.sparkSession.read.schema(schema).parquet(sink)
+                stored = stored.where(F.col("time").between(F.lit(low), F.lit(high))).select(*keys)
+                known = known.union(stored)
+                accepted = accepted.join(stored, same(accepted, stored), "left_anti")
+            timed = came.where(F.col("time").isNotNull())
+            late = timed.join(known, same(timed, known), "left_anti").withColumn("reason", F.lit("late"))
+            untimed_ = came.where(F.col("time").isNull()).withColumn("reason", F.lit("untimed"))
+            late.unionByName(untimed_).write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+            accepted.write.mode("append").parquet(sink)
+        finally:
+            batch.unpersist()
+
+    writer = both.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(split)
+    trigger = {"availableNow": True} if available_now else {"processingTime": every}
+    return writer.trigger(**trigger).start()
+
+
 def run_weather_feed(
     spark: SparkSession,
     payload_dir: str,
@@ -67,11 +137,13 @@ def run_weather_feed(
     checkpoint: str,
     available_now: bool = False,
     watermark: str = WATERMARK,
+    rejects: str | None = None,
 ) -> StreamingQuery:
-    """Deduplicated observations. Rows later than ``watermark`` are dropped; a longer one
-    keeps them, and keeps more state."""
-    feed = dedup_observations(observations(read_payload_stream(spark, payload_dir)), watermark=watermark)
-    return start_append(feed, sink, checkpoint, available_now)
+    """Deduplicated observations. Rows later than ``watermark`` and rows without a usable time
+    go to ``rejects`` (the sink's name and ``_rejects`` unless given)."""
+    rows = all_observations(read_payload_stream(spark, payload_dir))
+    rejects = rejects or f"{sink.rstrip('/')}_rejects"
+    return start_feed(rows, sink, rejects, checkpoint, available_now, watermark=watermark)
 
 
 def run_reject_feed(

@@ -130,6 +130,32 @@ def test_feed_drops_repeats_and_survives_a_restart(spark, tmp_path):
     assert poll() == ["00:00", "00:05", "00:10", "02:00"]
 
 
+def test_feed_rejects_what_it_does_not_accept(spark, tmp_path):
+    """Accepted, rejected and repeated rows add up to the input, also when a batch is repeated."""
+    inbox, sink, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    at = "2024-01-01T{}:00+08:00"
+
+    def poll(*times):
+        for time in times:
+            put(inbox / f"{len(list(inbox.glob('*'))) if inbox.exists() else 0}.json", json.dumps(weather(time)))
+        weather_feed.run_weather_feed(spark, str(inbox), sink, state, available_now=True).awaitTermination()
+        accepted = sorted(r["time"].strftime("%H:%M") for r in spark.read.parquet(sink).collect())
+        rejected = spark.read.parquet(f"{sink}_rejects").collect()
+        return accepted, sorted((r["reason"], r["time"] and r["time"].strftime("%H:%M")) for r in rejected)
+
+    assert poll(at.format("00:00"), at.format("00:00"), "soon") == (["00:00"], [("untimed", None)])
+    poll(at.format("02:00"))
+    late = [("late", "00:07"), ("late", "00:08"), ("untimed", None)]
+    # The second 00:00 and 02:00 are repeats; the backfill of 00:07 and 00:08 is late.
+    want = (["00:00", "02:00"], late)
+    assert poll(*[at.format(t) for t in ("00:00", "00:07", "00:08", "02:00")]) == want
+    # The last batch again, as after a failure before its commit.
+    last = max((p for p in (tmp_path / "state" / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    assert poll() == want
+
+
 def test_unreadable_payloads_are_kept(spark, tmp_path):
     inbox = tmp_path / "in"
     put(inbox / "1.json", json.dumps(weather("2024-01-01T00:00:00+08:00")))
