@@ -3,8 +3,9 @@
 ``statistics`` counts words, symbols, repeated lines and repeated phrases of whole texts.
 ``learn`` runs sequential covering on labelled statistics: a rule is grown condition by
 condition (``statistic <= x`` or ``> x``) by information gain on two thirds of the rows,
-pruned from its end on the last third, and kept while it is right more often than not on
-that third; the rows it covers then leave. The rules are few, bounded and readable, and
+pruned from its end on the last third, and kept if it is right on at least nine tenths of the
+rows of that third that it covers; these rows then leave. The rows of a rule that is not kept
+are set aside, and rules are grown on the others (``TRIES`` in all). The rules are few, bounded and readable, and
 ``expression`` turns them into one ordered conditional expression that Spark evaluates.
 
 The list is fitted on a bounded sample of labelled rows (``SAMPLE``), chosen by a hash of
@@ -31,6 +32,8 @@ from sunledger.llm import common
 SAMPLE = 20_000
 #: Rules of a list and conditions of a rule, at most; cut points tried per statistic.
 RULES, CONDITIONS, CUTS = 12, 3, 64
+#: Rules grown for a list, at most, with those that are not kept.
+TRIES = 8 * RULES
 
 SYMBOLS = "#*$%&|<>"
 
@@ -224,13 +227,17 @@ def learn(x: dict[str, np.ndarray], quality: np.ndarray, fold: np.ndarray, least
     """Rules that reject low quality, in order; whatever none covers is kept.
 
     ``fold`` deals the rows: 0 and 1 grow, 2 prunes. A rule must be right on
-    ``least_right`` of the pruning rows that it covers.
+    ``least_right`` of the pruning rows that it covers and no earlier rule does. Rows set
+    aside take no part in growing, but they count in pruning.
     """
     rules: list[Rule] = []
     left = np.ones(len(quality), dtype=bool)
+    aside = np.zeros(len(quality), dtype=bool)
     bad = quality == 0
-    while len(rules) < RULES:
-        grow, prune = left & (fold < 2), left & (fold == 2)
+    for _ in range(TRIES):
+        grow, prune = left & ~aside & (fold < 2), left & (fold == 2)
+        if len(rules) == RULES:
+            break
         if not (bad & grow).any():
             break
         grown = _grow({k: v[grow] for k, v in x.items()}, bad[grow])
@@ -238,7 +245,8 @@ def learn(x: dict[str, np.ndarray], quality: np.ndarray, fold: np.ndarray, least
             break
         conditions, right = _prune(grown, {k: v[prune] for k, v in x.items()}, bad[prune])
         if not conditions or right < least_right:
-            break
+            aside |= Rule(tuple(grown), 0).covers(x)
+            continue
         rules.append(Rule(conditions, 0))
         left &= ~rules[-1].covers(x)
     return rules

@@ -292,6 +292,20 @@ def test_rules_are_learned_and_ordered():
     assert len(rules) >= 2 and (covered == (quality == 0)).mean() > 0.95
 
 
+def test_rules_go_on_after_one_that_is_not_kept():
+    """A large junk kind that is right on 75 % only does not hide a clean one."""
+    rng = np.random.default_rng(1)
+    x = {f: rng.random(6000) for f in quality_rules.FEATURES}
+    noisy = (x["symbols_per_word"] > 0.6) & (rng.random(6000) < 0.75)
+    clean = (x["symbols_per_word"] <= 0.6) & (x["word_length"] <= 0.05)
+    rules = quality_rules.learn(x, (~(noisy | clean)).astype(int), np.arange(6000) % 3)
+    covered = np.zeros(6000, bool)
+    for rule in rules:
+        covered |= rule.covers(x)
+    assert covered[clean].mean() > 0.8
+    assert (noisy | clean)[covered].mean() > 0.85
+
+
 def test_rules_defined_cases(spark):
     rows = [(1, None, 1), (2, "", 1), (3, "a b c d " * 20, 1), (None, "\n\n x", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_words int")
