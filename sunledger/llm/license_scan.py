@@ -8,6 +8,11 @@ once; the automaton starts at every word that can begin a template and follows i
 longest accepted wording. So mandatory words must match exactly and in order, and words
 only: punctuation and letter case do not count.
 
+Templates of MIT, BSD and ISC come twice: whole, from the grant to the end of the disclaimer,
+and as the opening clause alone, whose label ends in ``:partial``. A place where a whole
+licence holds has no partial label of it; a licence that is cut off or changed after its
+opening has only that one.
+
 The base phrases are templates without regions; their places are counted.
 
 Defined cases: null text counts as empty; a text without words has no labels and the
@@ -34,15 +39,69 @@ BASE = (
     ("cc-by-nc", "cc by nc"),
 )
 
+_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of "
+    '<<var;words=1-4>> and associated documentation <<beginOptional>>files (the "Software")<<endOptional>>, '
+    "to deal in the <<var;words=1-2>> without restriction, including without limitation the rights to "
+    "use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the <<var;words=1-2>>"
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+    "that the following conditions are met"
+)
+_BSD_CONDITIONS = (
+    "<<beginOptional>>1<<endOptional>> Redistributions of source code must retain the above copyright notice, "
+    "this list of conditions and the following disclaimer. <<beginOptional>>2<<endOptional>> Redistributions in "
+    "binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+    "in the documentation and/or other materials provided with the distribution."
+)
+_BSD_NAMES = (
+    "<<beginOptional>>3<<endOptional>> Neither the name of <<var;words=1-10>> nor the names of "
+    "<<var;words=1-3>> may be used to endorse or promote products derived from this software without specific "
+    "prior written permission."
+)
+_BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY <<var;words=1-10>> AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT "
+    "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL <<var;words=1-10>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY "
+    "WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE"
+)
+_ISC = (
+    "Permission to use, copy, modify, <<beginOptional>>and/or<<endOptional>> distribute this software for any "
+    "purpose with or without fee is hereby granted"
+)
+PARTIAL = ":partial"
+
 #: Label and wording of the method's own templates.
 TEMPLATES = (
     (
         "mit",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of "
-        '<<var;words=1-4>> and associated documentation <<beginOptional>>files (the "Software")<<endOptional>>, '
-        "to deal in the <<var;words=1-2>> without restriction, including without limitation the rights to "
-        "use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the <<var;words=1-2>>",
+        f"{_MIT}, and to permit persons to whom the <<var;words=1-2>> is furnished to do so, subject to the "
+        "following conditions: The above copyright notice and this permission notice <<beginOptional>>(including "
+        "the next paragraph)<<endOptional>> shall be included in all copies or substantial portions of the "
+        "<<var;words=1-2>>. THE <<var;words=1-2>> IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR "
+        "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
+        "AND NONINFRINGEMENT. IN NO EVENT SHALL <<var;words=1-10>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH "
+        "THE <<var;words=1-2>> OR THE USE OR OTHER DEALINGS IN THE <<var;words=1-2>>",
+    ),
+    ("mit" + PARTIAL, _MIT),
+    ("bsd-2", f"{_BSD} {_BSD_CONDITIONS} {_BSD_DISCLAIMER}"),
+    ("bsd-3", f"{_BSD} {_BSD_CONDITIONS} {_BSD_NAMES} {_BSD_DISCLAIMER}"),
+    ("bsd" + PARTIAL, _BSD),
+    (
+        "isc",
+        f"{_ISC}, provided that the above copyright notice and this permission notice appear in all copies. THE "
+        "SOFTWARE IS PROVIDED AS IS AND <<var;words=1-4>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<var;words=1-4>> BE "
+        "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM "
+        "LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, "
+        "ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE",
     ),
+    ("isc" + PARTIAL, _ISC),
     ("mit", "<<beginOptional>>released or<<endOptional>> licensed under the <<beginOptional>>terms of the<<endOptional>> MIT license"),
     (
         "apache-2",
@@ -64,16 +123,6 @@ TEMPLATES = (
     ("cc-by-sa", "Creative Commons Attribution-ShareAlike <<var;words=0-2>> <<beginOptional>>International<<endOptional>> License"),
     ("cc-by-sa", "licensed under CC BY-SA"),
     ("cc-by", "Creative Commons Attribution <<var;words=0-2>> <<beginOptional>>International<<endOptional>> License"),
-    (
-        "bsd",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met",
-    ),
-    (
-        "isc",
-        "Permission to use, copy, modify, <<beginOptional>>and/or<<endOptional>> distribute this software for any "
-        "purpose with or without fee is hereby granted",
-    ),
     ("mpl-2", "<<beginOptional>>subject to the terms of the<<endOptional>> Mozilla Public License, <<beginOptional>>v.<<endOptional>> <<beginOptional>>version<<endOptional>> 2.0"),
 )
 
@@ -180,6 +229,18 @@ def scan(automaton: Automaton, words: list[bytes]) -> list[tuple[int, int, tuple
     return found
 
 
+def labels_of(found: list[tuple[int, int, tuple[int, ...]]], names: list[str]) -> set[str]:
+    """The labels of accepted wordings; a whole licence has no partial label of its own place."""
+    at: dict[int, set[str]] = {}
+    for start, _, accepted in found:
+        at.setdefault(start, set()).update(names[t] for t in accepted)
+    out = set()
+    for own in at.values():
+        whole = {label.split("-")[0] for label in own if not label.endswith(PARTIAL)}
+        out |= {label for label in own if not label.endswith(PARTIAL) or label.removesuffix(PARTIAL) not in whole}
+    return out
+
+
 def _scan_rows(automaton: Automaton):
     labels = [label for label, _ in (*BASE, *TEMPLATES)]
 
@@ -200,7 +261,7 @@ def _scan_rows(automaton: Automaton):
                         min(starts, default=None),
                         max(starts, default=None),
                         ",".join(sorted({labels[t] for _, t in base})),
-                        ",".join(sorted({labels[t] for _, _, accepted in found for t in accepted})),
+                        ",".join(sorted(labels_of(found, labels))),
                         float(1 - np.exp2(-longest / 3)),
                     )
                 )

@@ -242,6 +242,21 @@ def test_license_regions():
     assert accepted("x q y; x q r y; x y; x 1 2 3 y") == [(0, 3), (3, 4)]
 
 
+def test_license_whole_or_partial(spark):
+    """A licence that is changed after its opening is no whole one."""
+    mit, bsd2, bsd3, isc = (
+        re.sub(r"<<var;words=[^>]*>>", "Software", re.sub("<<(begin|end)Optional>>", "", wording))
+        for label, wording in license_scan.TEMPLATES if label in ("mit", "bsd-2", "bsd-3", "isc") and len(wording) > 500
+    )
+    evil = mit.replace("THE Software IS", "The Software shall be used for Good, not Evil. THE Software IS")
+    bsd4 = bsd3.replace("3 Neither", "3 All advertising materials must display an acknowledgement. 4 Neither")
+    rows = [(mit, "mit"), (evil, "mit:partial"), (mit + " " + evil, "mit,mit:partial"), (bsd2, "bsd-2"), (bsd3, "bsd-3")]
+    rows += [(bsd4, "bsd:partial"), (isc, "isc"), (isc[:200], "isc:partial"), (mit[:700], "mit:partial")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = license_scan.licenses(df).orderBy("doc_id").collect()
+    assert [r.labels for r in got] == [label for _, label in rows]
+
+
 # ---- op3, op10 --------------------------------------------------------------------
 
 
