@@ -12,6 +12,8 @@ from sunledger.llm import (
     quality_rules,
     secret_scan,
     sentence_pieces,
+    token_counts,
+    turn_repair,
     url_filter,
 )
 
@@ -28,6 +30,8 @@ REGISTRY = {
         sentence_pieces.op8_sentencepiece,
         pii.op9_personal_data,
         quality_rules.op10_quality_rules,
+        turn_repair.op11_turn_repair,
+        token_counts.op13_token_counts,
     )
 }
 
