@@ -15,6 +15,7 @@ from sunledger.llm import (
     token_counts,
     turn_repair,
     url_filter,
+    word_runs,
 )
 
 REGISTRY = {
@@ -31,6 +32,7 @@ REGISTRY = {
         pii.op9_personal_data,
         quality_rules.op10_quality_rules,
         turn_repair.op11_turn_repair,
+        word_runs.op12_word_runs,
         token_counts.op13_token_counts,
     )
 }
