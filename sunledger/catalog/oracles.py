@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from sunledger.catalog import boosting_sql
+from sunledger.catalog.boosting_sql import SQL_BOOST
 from sunledger.functions import solar
-from sunledger.operators.features import SITE_ATTRIBUTES
+from sunledger.operators.features import FEATURE_SETS, SITE_ATTRIBUTES
 
 LABEL = '"Power(mW)"'
 PREDICTION = '"Predicted_Power(mW)"'
@@ -333,6 +335,53 @@ LEFT_OUT = [
   1 - avg((y - p) * (y - p)) / var_pop(y) AS r2 FROM scored GROUP BY fold)""",
 ]
 METRICS = ["rmse", "mse", "mae", "r2"]
+CALENDAR = ["Hour", "Minute", "Month"]
+ROUNDED_METRICS = "fold, rows, " + ", ".join(f"{_round(c, 4)} AS {c}" for c in METRICS)
+
+
+def _numeric(variant: str) -> list[str]:
+    return [*FEATURE_SETS[variant], *CALENDAR]
+
+
+def _model_rows(name: str, variant: str, parts: Sequence[str], more: str, condition: str) -> str:
+    """A CTE of feature rows with calendar parts, as doubles."""
+    measures = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in FEATURE_SETS[variant])
+    calendar = ", ".join(f'CAST({c.lower()}(DateTime) AS DOUBLE) AS "{c}"' for c in CALENDAR)
+    inner = _with(parts, f"SELECT LocationCode, DateTime, {measures}, {calendar}{more} FROM feature_rows WHERE {condition}")
+    return f"{name} AS MATERIALIZED ({inner})"
+
+
+def _boosted(variant: str, folds: int) -> list[str]:
+    """CTEs of a fit on the training features."""
+    key = "CAST(LocationCode AS VARCHAR) || '|' || CAST(DateTime AS VARCHAR)"
+    more = f", {LABEL} AS label, CAST({_fold_of(key)} % {folds} AS INTEGER) AS fold"
+    there = " AND ".join(f'"{c}" IS NOT NULL' for c in FEATURE_SETS[variant])
+    rows = _model_rows("train_rows", variant, [*TRAINING_PARTS, *FEATURE_TAIL], more, f"{LABEL} IS NOT NULL AND {there}")
+    fit = boosting_sql.boosting("train_rows", _numeric(variant), folds, len(ALL_SITES), SQL_BOOST)
+    return [rows, *fit]
+
+
+def _fold_scores(columns: str) -> str:
+    return f"""SELECT {columns} FROM (SELECT fold, count(*) AS rows,
+  sqrt(avg((label - margin) * (label - margin))) AS rmse, avg((label - margin) * (label - margin)) AS mse,
+  avg(abs(label - margin)) AS mae, 1 - avg((label - margin) * (label - margin)) / var_pop(label) AS r2
+  FROM m JOIN fitted g ON m.id = g.id AND m.fold = g.model GROUP BY fold)"""
+
+
+def _boosted_serving(variant: str) -> str:
+    parts = [
+        QUESTIONS,
+        SERVING,
+        *_feature_parts("serving", "", "DateTime, LocationCode, event_id", "true"),
+        *FEATURE_TAIL,
+    ]
+    serve = _model_rows("serve_rows", variant, parts, "", "true")
+    scores = boosting_sql.scores("serve_rows", _numeric(variant), 10, SQL_BOOST)
+    return _with(
+        [*_boosted(variant, 10), serve, *scores],
+        f"SELECT LocationCode, DateTime, {_round('score', 6)} AS {PREDICTION} FROM scored",
+    )
+
 
 ORACLES: dict[str, str] = {
     "slot_mean_answer": _with(
@@ -538,12 +587,19 @@ FROM events WHERE hour(ts) BETWEEN 5 AND 18 AND {K} % 11 = 0""",
     "training_feature_rejects": _with(
         TRAINING_PARTS, f"SELECT LocationCode, {DATETIME_TEXT} AS DateTime FROM judged WHERE {ANY_NULL}"
     ),
+    "gbt_oof_metrics": _with(
+        _boosted("full", 10), _fold_scores(ROUNDED_METRICS)
+    ),
+    "gbt_node_table": _with(
+        _boosted("full", 10),
+        f"SELECT * REPLACE ({_round('value', 9)} AS value) FROM ({boosting_sql.node_rows(_numeric('full'), SQL_BOOST, 'LocationCode')})",
+    ),
     "gbt_replay": _with(
-        [*TRAINING_PARTS, *FEATURE_TAIL],
-        f"""SELECT CAST({_fold_of("CAST(LocationCode AS VARCHAR) || '|' || CAST(DateTime AS VARCHAR)")} % 3 AS INTEGER) AS fold,
-  count(*) AS rows, true AS same FROM feature_rows
-WHERE H_UVI_TEMP_interaction IS NOT NULL AND GHI IS NOT NULL GROUP BY 1""",
+        _boosted("base", 3),
+        f"SELECT *, unnest(['retrain', 'rescore']) AS mode FROM ({_fold_scores(ROUNDED_METRICS)})",
     ),
+    "gbt_ensemble_score": _boosted_serving("angle"),
+    "gbt_table_score": _boosted_serving("angle"),
     "serving_feature_table": _with(
         [
             QUESTIONS,

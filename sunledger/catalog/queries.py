@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sunledger import schemas
 from sunledger.catalog import views
+from sunledger.catalog.boosting_sql import SQL_BOOST
 from sunledger.functions.numeric import (
     clean_measure,
     exact_part,
@@ -17,7 +18,7 @@ from sunledger.functions.numeric import (
     rint_round,
 )
 from sunledger.functions.temporal import floor_minute, iso_wall_clock, slash_text
-from sunledger.operators import boosting, folds, joins, quality, statistics
+from sunledger.operators import boosting, folds, joins, quality, search, statistics
 from sunledger.operators.features import (
     LABEL,
     PREDICTION,
@@ -582,8 +583,9 @@ def serving_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )[0]
 
 
-SMALL_BOOST = boosting.BoostParams(
-    learning_rate=0.3, max_depth=4, subsample=0.9, colsample=0.8, rounds=4, patience=2, max_bins=64
+#: Up to 900 rounds; patience ends each fold's model.
+STOPPED_BOOST = boosting.BoostParams(
+    learning_rate=0.3, max_depth=4, subsample=0.9, colsample=0.8, patience=5, max_bins=64, reg_lambda=2.0
 )
 
 
@@ -591,41 +593,74 @@ def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(_features(spark, sf_dir)[0], "features")
 
 
-def _trained(spark: SparkSession, sf_dir: str, variant: str = "full") -> training.TrainingRun:
+def _trained(
+    spark: SparkSession, sf_dir: str, variant: str, params: boosting.BoostParams
+) -> training.TrainingRun:
     matrix, features = training.prepare_matrix(_stored_features(spark, sf_dir), variant)
-    return training.train(matrix, features, SMALL_BOOST)
+    return training.train(matrix, features, params)
 
 
 @register
 def gbt_oof_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _trained(spark, sf_dir).fold_metrics
+    table = _trained(spark, sf_dir, "full", SQL_BOOST).fold_metrics
+    return table.withColumns({c: rint_round(F.col(c), 4) for c in _METRICS})
+
+
+@register
+def gbt_node_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trees of all folds as a table."""
+    nodes = _trained(spark, sf_dir, "full", SQL_BOOST).models.nodes
+    return nodes.select(
+        "model", "tree", "node", "feature", "cut", "category", rint_round(F.col("value"), 9).alias("value")
+    )
 
 
 @register
 def gbt_ensemble_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _trained(spark, sf_dir, "angle")
-    return training.score_table(serving_feature_table(spark, sf_dir), run.models)
+    run = _trained(spark, sf_dir, "angle", SQL_BOOST)
+    scored = training.score_table(serving_feature_table(spark, sf_dir), run.models)
+    return scored.withColumn(PREDICTION, rint_round(F.col(PREDICTION), 6))
+
+
+@register
+def gbt_table_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Serving rows scored by joins with the stored node table, a level per join."""
+    run = _trained(spark, sf_dir, "angle", SQL_BOOST)
+    path = new_shared_path(spark, "run")
+    run.models.save(path)
+    rows = add_calendar(serving_feature_table(spark, sf_dir)).withColumn("_row", F.expr("uuid()"))
+    filled = materialise(rows, "serving").fillna(0.0, run.models.features)
+    scored = boosting.score_by_joins(filled, boosting.FoldModels.load(path), training.KEYS, ["_row"])
+    return scored.withColumn(PREDICTION, rint_round(F.col(PREDICTION), 6))
+
+
+@register
+def gbt_early_stopping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 900 rounds, ended by patience: rounds kept and metrics of each fold."""
+    run = _trained(spark, sf_dir, "full", STOPPED_BOOST)
+    kept = spark.createDataFrame(list(run.models.rounds.items()), "fold int, rounds int")
+    return run.fold_metrics.join(F.broadcast(kept), "fold")
 
 
 @register
 def gbt_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A saved run evaluated again from its stored models and folds: are the metrics the same?"""
+    """A saved run trained again from its stored parameters and folds: rows and rounded metrics."""
     table = _stored_features(spark, sf_dir)
     matrix, features = training.prepare_matrix(table, "base", fold_count=3)
-    run = training.train(matrix, features, SMALL_BOOST, fold_ids=range(3))
+    run = training.train(matrix, features, SQL_BOOST, fold_ids=range(3))
     path = new_shared_path(spark, "run")
     training.save_run(run, path)
-    again = training.replay(table, "base", path, mode="rescore").fold_metrics
-    first = spark.read.parquet(f"{path}/fold_metrics")
-    close = [F.abs(first[c] - again[c]) <= F.abs(first[c]) * 1e-9 for c in _METRICS]
-    return first.join(again, "fold").select(
-        "fold", first["rows"], (close[0] & close[1] & close[2] & close[3]).alias("same")
-    )
+    again = training.replay(table, "base", path, mode="retrain").fold_metrics
+    scored = training.replay(table, "base", path, mode="rescore").fold_metrics
+    named = [t.withColumn("mode", F.lit(m)) for t, m in ((again, "retrain"), (scored, "rescore"))]
+    return named[0].unionByName(named[1]).withColumns({c: rint_round(F.col(c), 4) for c in _METRICS})
 
 
 @register
 def gbt_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two sampled parameter sets over three folds: (trial, params, fold, metrics)."""
+    """A study of four trials over three folds: (trial, params, fold, metrics, rounds)."""
     matrix, features = training.prepare_matrix(_stored_features(spark, sf_dir), "full", fold_count=3)
-    candidates = boosting.sample_params(2, boosting.BoostParams(rounds=2, patience=2, max_bins=64))
-    return boosting.sweep(matrix, features, candidates, training.KEYS, fold_ids=range(3))[1]
+    base = boosting.BoostParams(rounds=2, patience=2, max_bins=64)
+    study = search.Study(spark, new_shared_path(spark, "trials"), base)
+    study.run(matrix, features, training.SITE, training.KEYS, range(3), trials=4, at_once=4)
+    return study.fold_table()

@@ -115,6 +115,38 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None
     return both.select(name[F.col("p.x")].alias("x"), name[F.col("p.y")].alias("y"), "r")
 
 
+def category_correlations(
+    df: DataFrame, columns: Sequence[str], category: str, prefix: str, digits: int | None = 2
+) -> DataFrame:
+    """Long (x, y, r): correlation of every column with the 0/1 column of every category.
+
+    The 0/1 columns are not made: one aggregation per category gives the sums. Pairs of 0/1
+    columns are left out, as their correlation follows from the numbers of rows alone:
+    -sqrt(p q / ((1 - p) (1 - q))) for shares p and q.
+    """
+    names = F.array(*[F.lit(c) for c in columns])
+    pairs = F.arrays_zip(names.alias("x"), F.array(*[F.col(f"`{c}`").cast("double") for c in columns]).alias("v"))
+    long = df.select(F.col(f"`{category}`").cast("string").alias("k"), F.inline(pairs)).toDF("k", "x", "v")
+    per = long.where("v IS NOT NULL AND NOT isnan(v)").groupBy("x", "k").agg(
+        F.count("*").cast("double").alias("n"), F.avg("v").alias("m"), (F.var_pop("v") * F.count("*")).alias("s")
+    )
+    # One row per column and category from here on.
+    whole = Window.partitionBy("x")
+    rows = F.sum("n").over(whole)
+    mean = F.sum(F.col("n") * F.col("m")).over(whole) / rows
+    shifted = per.withColumns({"rows": rows, "mean": mean})
+    between = F.col("n") * (F.col("m") - F.col("mean")) * (F.col("m") - F.col("mean"))
+    total = shifted.withColumn("spread", F.sum(F.col("s") + between).over(whole))
+    varies = (F.col("spread") > F.col("rows") * F.col("mean") * F.col("mean") * _CONSTANT) & (F.col("n") < F.col("rows"))
+    share = F.col("n") * (F.col("rows") - F.col("n")) / F.col("rows")
+    r = F.when(varies, F.col("n") * (F.col("m") - F.col("mean")) / (F.sqrt("spread") * F.sqrt(share)))
+    r = F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0))
+    one = F.concat(F.lit(prefix), F.col("k"))
+    found = total.where("k IS NOT NULL").select("x", one.alias("y"), (r if digits is None else rint_round(r, digits)).alias("r"))
+    both = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
+    return found.select(F.inline(both), "r").select("x", "y", "r")
+
+
 def regression_metrics(
     df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()
 ) -> DataFrame:

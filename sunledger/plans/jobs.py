@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunledger import schemas
-from sunledger.operators import boosting
+from sunledger.operators import search
 from sunledger.operators.boosting import TUNED, BoostParams, FoldModels
 from sunledger.operators.features import site_dimension
 from sunledger.operators.grid import date_list
@@ -136,20 +136,31 @@ class Workspace:
         trials: int = 0,
         folds: int = 10,
         source: str = "training_features",
+        seconds: float | None = None,
+        null_policy: str = "drop",
     ) -> training.TrainingRun:
-        """Fit a variant and store its run; with ``trials`` search the parameters first."""
-        matrix, names = training.prepare_matrix(self.table(source), variant, fold_count=folds, balanced=True)
+        """Fit a variant and store its run; with ``trials`` search the parameters first.
+
+        The search keeps its trials in a table and goes on from them if it is started again;
+        after ``seconds`` it starts no further trials.
+        """
+        matrix, names = training.prepare_matrix(self.table(source), variant, null_policy, folds, balanced=True)
         params = params or TUNED[variant]
         if trials:
-            candidates = boosting.sample_params(trials, params)
-            params, results = boosting.sweep(matrix, names, candidates, KEYS, range(folds))
-            sinks.write_table(results, self.path(f"runs/{variant}/sweep"))
+            study = search.Study(self.spark, self.path(f"runs/{variant}/trials"), params)
+            params = study.run(matrix, names, training.SITE, KEYS, range(folds), trials, seconds)
         run = training.train(matrix, names, params, range(folds))
         training.save_run(run, self.path(f"runs/{variant}"))
         return run
 
-    def replay(self, variant: str = "full", mode: str = "retrain", source: str = "training_features"):
-        run = training.replay(self.table(source), variant, self.path(f"runs/{variant}"), mode)
+    def replay(
+        self,
+        variant: str = "full",
+        mode: str = "retrain",
+        source: str = "training_features",
+        null_policy: str = "drop",
+    ):
+        run = training.replay(self.table(source), variant, self.path(f"runs/{variant}"), mode, null_policy)
         training.save_run(run, self.path(f"replays/{variant}"))
         return run
 

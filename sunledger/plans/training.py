@@ -9,22 +9,15 @@ from pyspark.sql import DataFrame
 
 from sunledger.operators import boosting, folds
 from sunledger.operators.boosting import BoostParams, FoldModels
-from sunledger.operators.features import (
-    LABEL,
-    ONE_HOT_PREFIX,
-    add_calendar,
-    feature_names,
-    fit_categories,
-    one_hot,
-    training_matrix,
-)
+from sunledger.operators.features import LABEL, ONE_HOT_PREFIX, add_calendar, feature_names, training_matrix
 from sunledger.operators.quality import null_counts
-from sunledger.operators.statistics import correlation_matrix
+from sunledger.operators.statistics import category_correlations, correlation_matrix
 from sunledger.plans.feedback import pseudo_label
 from sunledger.session import materialise
 from sunledger.sources.sinks import write_table
 
 KEYS = ("LocationCode", "DateTime")
+SITE = "LocationCode"
 
 
 @dataclass
@@ -39,30 +32,28 @@ class TrainingRun:
 def prepare_matrix(
     table: DataFrame,
     variant: str,
-    categories: Sequence[str] | None = None,
     null_policy: str = "drop",
     fold_count: int = folds.DEFAULT_FOLDS,
     balanced: bool = False,
 ) -> tuple[DataFrame, list[str]]:
     """Model matrix with folds, written once because training reads it many times.
 
-    Without ``categories`` the table is read once more to find them: pass a stored one.
+    The site stays one column, ``SITE``; each of its values counts as a 0/1 feature.
     """
-    categories = list(categories or fit_categories(table))
-    matrix = training_matrix(table, variant, categories, KEYS, null_policy)
+    matrix = training_matrix(table, variant, (), KEYS, null_policy)
     assign = folds.assign_balanced_folds if balanced else folds.assign_folds
-    return materialise(assign(matrix, KEYS, fold_count), "matrix"), feature_names(variant, categories)
+    return materialise(assign(matrix, KEYS, fold_count), "matrix"), feature_names(variant, ())
 
 
 def train(
     matrix: DataFrame, features: Sequence[str], params: BoostParams, fold_ids: Iterable[int] = range(10)
 ) -> TrainingRun:
-    models = boosting.fit_folds(matrix, features, params, fold_ids)
+    models = boosting.fit_folds(matrix, features, params, fold_ids, KEYS, SITE)
     return _evaluated(models, matrix)
 
 
 def _evaluated(models: FoldModels, matrix: DataFrame) -> TrainingRun:
-    oof = boosting.out_of_fold(matrix, models, KEYS)
+    oof = materialise(boosting.out_of_fold(matrix, models, KEYS), "oof")
     return TrainingRun(models, matrix, oof, boosting.fold_metrics(oof), boosting.cv_metrics(oof))
 
 
@@ -70,7 +61,11 @@ def save_run(run: TrainingRun, path: str) -> None:
     """Models and the tables that describe the run."""
     run.models.save(f"{path}/models")
     features = run.models.features
-    write_table(correlation_matrix(run.matrix, [*features, LABEL]), f"{path}/feature_correlations")
+    numeric = [*features, LABEL]
+    correlations = correlation_matrix(run.matrix, numeric).unionByName(
+        category_correlations(run.matrix, numeric, SITE, ONE_HOT_PREFIX)
+    )
+    write_table(correlations, f"{path}/feature_correlations")
     write_table(null_counts(run.matrix, features), f"{path}/null_counts")
     write_table(run.fold_metrics, f"{path}/fold_metrics")
     write_table(run.cv_metrics, f"{path}/cv_metrics")
@@ -88,28 +83,25 @@ def replay(
     """Repeat a saved run on its saved folds and parameters.
 
     ``mode="retrain"`` fits new models, ``mode="rescore"`` evaluates the saved ones.
-    Rescoring gives the same metrics; retraining adds up in another row order, so
-    near-ties between splits may fall differently.
+    Both give the same metrics: sums over rows are of whole numbers, so a model does not
+    depend on the order or partitioning of its rows.
     """
     spark = table.sparkSession
     saved = FoldModels.load(f"{path}/models")
     stored = spark.read.parquet(f"{path}/fold_assignment")
-    # Folds are joined first: a join above the one-hot columns, which all derive
-    # from a join key, makes the optimizer try every combination of them.
     folded = folds.replay_folds(table, stored, KEYS)
-    matrix = training_matrix(folded, variant, _categories(saved.features), [*KEYS, "fold"], null_policy)
-    matrix = materialise(matrix, "replay")
+    matrix = materialise(training_matrix(folded, variant, (), [*KEYS, "fold"], null_policy), "replay")
     if mode == "rescore":
         return _evaluated(saved, matrix)
     if mode == "retrain":
-        models = boosting.fit_folds(matrix, saved.features, saved.params, sorted(saved.models))
-        return _evaluated(models, matrix)
+        data = boosting.prepare(matrix, saved.features, SITE, KEYS, saved.params.max_bins, saved.index)
+        return _evaluated(boosting.fit_prepared(data, saved.params, saved.models), matrix)
     raise ValueError(f"unknown mode {mode!r}")
 
 
 def score_table(table: DataFrame, models: FoldModels) -> DataFrame:
     """Ensemble predictions for serving rows; absent or null features count as 0."""
-    return boosting.score(one_hot(add_calendar(table), _categories(models.features)), models, KEYS)
+    return boosting.score(add_calendar(table), models, KEYS)
 
 
 def save_scores(table: DataFrame, models: FoldModels, path: str) -> DataFrame:
@@ -120,10 +112,6 @@ def save_scores(table: DataFrame, models: FoldModels, path: str) -> DataFrame:
     return table.sparkSession.read.parquet(f"{path}/predictions")
 
 
-def _categories(names: Sequence[str]) -> list[str]:
-    return [n.removeprefix(ONE_HOT_PREFIX) for n in names if n.startswith(ONE_HOT_PREFIX)]
-
-
 def pseudo_label_round(
     training: DataFrame, serving: DataFrame, models: FoldModels
 ) -> DataFrame:
