@@ -25,6 +25,7 @@ from sunledger.functions.temporal import (
 
 MINUTE = 60
 TEN_MINUTES = 600
+DAYS_A_YEAR = 366
 
 
 def time_grid(spark: SparkSession, start: str, end: str, step: int, ts: str = "DateTime") -> DataFrame:
@@ -126,7 +127,7 @@ def resample_linear(
 
     first_tick = F.when(F.col("_is_first"), F.col("_lo")).otherwise(F.col(ts))
     last_tick = F.coalesce(F.col("_next_ts") - seconds_interval(step), F.col("_hi"))
-    ticks = spans.withColumn("_tick", F.explode(F.sequence(first_tick, last_tick, _step(step))))
+    ticks = _with_ticks(spans, first_tick, last_tick, step, by)
 
     def at_tick(c: str) -> Column:
         before, after = F.col(f"_prev_{c}"), F.col(f"_next_{c}")
@@ -170,9 +171,7 @@ def upsample_hold(
         F.col("_hi"),
     )
     first_tick = F.when(F.col("_is_first"), F.col("_lo")).otherwise(own_tick)
-    ticks = spans.where(first_tick <= last_tick).withColumn(
-        "_tick", F.explode(F.sequence(first_tick, last_tick, _step(step)))
-    )
+    ticks = _with_ticks(spans, first_tick, last_tick, step, by)
     held = [F.when(F.col("_tick") >= F.col(ts), F.col(c)).alias(c) for c in values]
     return ticks.select(*by, F.col("_tick").alias(ts), *held)
 
@@ -214,6 +213,29 @@ def _step(seconds: int) -> Column:
     return seconds_interval(seconds)
 
 
+def _with_ticks(spans: DataFrame, first: Column, last: Column, step: int, by: Sequence[str]) -> DataFrame:
+    """A row per tick of each span, as ``_tick``; a span that ends before it starts has none.
+
+    A span is cut into years, these into days, and the days are dealt out over all tasks
+    before their ticks are made: a gap of decades is neither one array nor one task's work.
+    """
+    per_day = max(1, DAY_SECONDS // step)
+    sizes = (per_day * DAYS_A_YEAR, per_day)
+    pieces = spans.withColumns({"_tick": first, "_last_tick": last}).where(F.col("_tick") <= F.col("_last_tick"))
+    for size in sizes:
+        reach = F.floor((epoch_seconds(F.col("_last_tick")) - epoch_seconds(F.col("_tick"))) / F.lit(step * size))
+        numbered = pieces.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), reach.cast("bigint"))))
+        start = F.col("_tick") + seconds_interval(F.col("_piece") * (step * size))
+        pieces = numbered.withColumns(
+            {"_tick": start, "_last_tick": F.least("_last_tick", start + seconds_interval(step * (size - 1)))}
+        ).where(F.col("_tick") <= F.col("_last_tick"))
+    # A stated number: rows are few and small here, so AQE would join them in one task.
+    tasks = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pieces.repartition(tasks, *by, "_tick")
+    ticks = F.explode(F.sequence("_tick", "_last_tick", _step(step)))
+    return dealt.withColumn("_tick", ticks).drop("_last_tick", "_piece")
+
+
 def _with_start(rows: DataFrame, ts: str, by: Sequence[str]) -> DataFrame:
     """Add the first timestamp of each row's series, found over one row per day."""
     daily = rows.withColumn("_day", F.to_date(ts))

@@ -142,3 +142,26 @@ def test_hold_last_equals_the_ordered_fill(spark, small_chunks):
     held = grid.hold_last(df, ["v"], ["LocationCode"])
     want = forward_fill(df, ["v"], ["DateTime"], by=["LocationCode"])
     assert sorted(map(str, held.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("operator", [grid.resample_linear, grid.upsample_hold])
+def test_a_gap_of_decades_spreads_over_all_tasks(spark, operator):
+    """54 years at one minute between two rows: the ticks are made by all tasks, by the day."""
+    rows = [(dt.datetime(1970, 1, 1), 0.0), (dt.datetime(2024, 1, 1), 54.0)]
+    got = operator(spark.createDataFrame(rows, SCHEMA), ["v"], step=60)
+    per_task = got.groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count("*").alias("n"), F.countDistinct("DateTime").alias("ticks")
+    ).collect()
+    total = (dt.datetime(2024, 1, 1) - dt.datetime(1970, 1, 1)).days * 1440 + 1
+    assert sum(r["n"] for r in per_task) == sum(r["ticks"] for r in per_task) == total
+    assert len(per_task) == 8 and max(r["n"] for r in per_task) < total / 6
+
+
+@pytest.mark.parametrize("step", [7, 600, 86_400, 100_000])
+def test_ticks_of_long_gaps_are_those_of_one_sequence(spark, step):
+    first = dt.datetime(2023, 2, 27, 23, 59, 53)
+    rows = [(first, 1.0), (first + dt.timedelta(seconds=step * 3), None), (first + dt.timedelta(days=3, seconds=11), 5.0)]
+    df = spark.createDataFrame(sorted(rows, key=lambda r: r[0]), SCHEMA)
+    got = listed(grid.resample_linear(df, ["v"], step=step, origin="min"))
+    reach = int((max(r[0] for r in rows) - first).total_seconds()) // step
+    assert [t for t, _ in got] == [first + dt.timedelta(seconds=step * i) for i in range(reach + 1)]
