@@ -582,7 +582,10 @@ FROM events WHERE hour(ts) BETWEEN 5 AND 18 AND {K} % 11 = 0""",
         INSOLATION_SPLIT, f"SELECT LocationCode, {DATETIME_TEXT} AS DateTime FROM judged WHERE {ANY_NULL}"
     ),
     "feed_dedup_stream": f"""SELECT DISTINCT s.name || CAST({SITE} AS VARCHAR) AS StationId,
-  date_trunc('minute', ts) AS time FROM events CROSS JOIN (VALUES ('A'), ('B')) s(name)""",
+  date_trunc('minute', ts) AS time, 'accepted' AS outcome FROM events CROSS JOIN (VALUES ('A'), ('B')) s(name)
+WHERE event_id % 50 <> 7
+UNION ALL SELECT s.name || CAST({SITE} AS VARCHAR), NULL, 'untimed'
+FROM events CROSS JOIN (VALUES ('A'), ('B')) s(name) WHERE event_id % 50 = 7""",
     "training_feature_table": _with([*TRAINING_PARTS, *FEATURE_TAIL], "SELECT * FROM feature_rows"),
     "training_feature_rejects": _with(
         TRAINING_PARTS, f"SELECT LocationCode, {DATETIME_TEXT} AS DateTime FROM judged WHERE {ANY_NULL}"

@@ -521,7 +521,8 @@ def feed_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         # The pattern lets the table be one file as well as a folder of files.
         spark.readStream.schema(source.schema)
         .parquet(f"{sf_dir}/event[s].parquet")
-        .withColumn("ts", floor_minute(F.col("ts")))
+        # One event in fifty comes without a time.
+        .withColumn("ts", F.when(F.col("event_id") % 50 != 7, floor_minute(F.col("ts"))))
     )
     parsed = views.weather_payload_text(stream).select(
         F.from_json("payload", schemas.WEATHER_PAYLOAD).alias("p")
@@ -529,9 +530,10 @@ def feed_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = weather_feed.all_observations(parsed.select("p.*"))
     sink, checkpoint, rejects = (new_shared_path(spark, f"feed{x}") for x in ("", "-state", "-rejects"))
     weather_feed.start_feed(rows, sink, rejects, checkpoint, available_now=True).awaitTermination()
-    return spark.read.schema(rows.schema).parquet(sink).select(
-        "StationId", F.col("time").cast("timestamp_ntz").alias("time")
-    )
+    time = F.col("time").cast("timestamp_ntz").alias("time")
+    accepted = spark.read.schema(rows.schema).parquet(sink).select("StationId", time, F.lit("accepted").alias("outcome"))
+    rejected = spark.read.parquet(rejects).select("StationId", time, F.col("reason").alias("outcome"))
+    return accepted.unionByName(rejected)
 
 
 # --- the whole feature build, training and scoring -------------------------

@@ -16,8 +16,13 @@ def flatten_weather(payloads: DataFrame) -> DataFrame:
     A missing element is "0.0"; text that is no number is kept as it is. The
     wall clock of the observation is kept, its offset dropped.
     """
-    stations = payloads.select(F.explode("records.Station").alias("s"))
+    return station_columns(payloads.select(F.explode("records.Station").alias("s")))
+
+
+def station_columns(stations: DataFrame, *keep: str) -> DataFrame:
+    """The flat columns of one station struct ``s`` per row, after the ones to keep."""
     return stations.select(
+        *keep,
         F.col("s.StationId").alias("StationId"),
         iso_wall_clock(F.col("s.ObsTime.DateTime")).alias("time"),
         _element("s.WeatherElement.UVIndex").alias("H_UVI"),

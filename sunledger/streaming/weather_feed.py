@@ -2,18 +2,31 @@
 
 Every observation is accepted, a repeat of an accepted one, or rejected with a reason: it
 has no usable time, or came later than the watermark and its key was never accepted.
+
+The sink is partitioned by date. A micro-batch reads its source once, and of the sink only the
+keys of those dates that its own rows have: today's, and for a row of last year that one day.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, StructField, StructType
 
 from sunledger import schemas
+from sunledger.sources import payloads as payload_columns
 from sunledger.sources.payloads import flatten_weather
 
 WATERMARK = "30 minutes"
+#: The sink's partition column, and the column that says why a row has no time.
+DATE = "date"
+ERROR = "error"
+_MARK = "batch long, high timestamp"
 EVERY_MINUTE = "1 minute"
 
 
@@ -27,6 +40,12 @@ def read_payload_stream(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def station_columns(stations: DataFrame, *keep: str) -> DataFrame:
+    """Flat observations of one station struct ``s`` per row; time is TIMESTAMP or null."""
+    flat = payload_columns.station_columns(stations, *keep)
+    return flat.withColumn("time", F.col("time").cast("timestamp"))
+
+
 def all_observations(payloads: DataFrame) -> DataFrame:
     """Flat observations; event time is TIMESTAMP, as watermarks need it, or null."""
     return flatten_weather(payloads).withColumn("time", F.col("time").cast("timestamp"))
@@ -69,8 +88,47 @@ def start_append(
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+def _highest(spark: SparkSession, marks: str, number: int):
+    """The latest time of all batches before this one."""
+    if number == 0:
+        return None
+    return spark.read.schema(_MARK).parquet(f"{marks}/{(number - 1) % 2}").where(F.col("batch") == number - 1).first()["high"]
+
+
+def _mark(spark: SparkSession, marks: str, number: int, high) -> None:
+    """Kept in turn in two folders, so that a batch that is repeated still finds the one before."""
+    row = spark.createDataFrame([(number, high)], _MARK)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{marks}/{number % 2}")
+
+
+def split_batch(batch: DataFrame, stored: DataFrame | None, bound, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) rows of a batch, given the keys in the sink and the watermark.
+
+    Of rows with one key the least by its other columns is accepted, so that a batch that is
+    repeated accepts the same. Repeats of accepted rows are in neither table.
+    """
+    columns = [c for c in batch.columns if c != ERROR]
+    error = F.col(ERROR) if ERROR in batch.columns else F.lit(None).cast("string")
+    untimed_ = batch.where(F.col("time").isNull()).select(*columns, F.coalesce(error, F.lit("untimed")).alias("reason"))
+    timed = batch.where(F.col("time").isNotNull()).select(*columns)
+    if stored is not None:
+        new = [timed[k].eqNullSafe(stored[k]) for k in keys]
+        timed = timed.join(stored, reduce(lambda a, b: a & b, new), "left_anti")
+    late = F.lit(False) if bound is None else F.col("time") < F.lit(bound)
+    others = [c for c in columns if c not in keys]
+    # Copies of a key are merged before the shuffle.
+    first = timed.where(~late).groupBy(*keys).agg(F.min(F.struct(*others) if others else F.lit(1)).alias("_first"))
+    accepted = first.select(*[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in columns])
+    return accepted, timed.where(late).withColumn("reason", F.lit("late")).unionByName(untimed_)
 
 
 def start_feed(
@@ -83,49 +141,44 @@ def start_feed(
     watermark: str = WATERMARK,
     keys: tuple[str, ...] = ("StationId", "time"),
 ) -> StreamingQuery:
-    """Append accepted rows to ``sink`` and the others, with a reason, to ``rejects``.
+    """Append accepted rows to ``sink``, by date, and the others, with a reason, to ``rejects``.
 
-    A micro-batch holds its rows twice, as they came and deduplicated. A row that came with
-    a time and whose key is neither accepted in this batch nor in the sink is late. A batch
-    that is repeated after a failure writes nothing twice: accepted rows that the sink has
-    are left out, and rejects are a folder per batch.
+    A row is late if its time is further behind the latest time of earlier batches than
+    ``watermark``. A column ``error`` gives the reason of a row without a time. A batch that is
+    repeated after a failure writes nothing twice: the sink's keys leave out what it has
+    accepted, and rejects are a folder per batch.
     """
     spark = rows.sparkSession
     if _exists(spark, f"{sink}/_spark_metadata"):
         raise ValueError(f"{sink} was written by a file stream, whose readers see no other files; use a new sink")
-    schema = rows.schema
-    fresh = dedup_observations(rows.where(F.col("time").isNotNull()), keys, watermark=watermark)
-    both = fresh.withColumn("_accepted", F.lit(True)).unionByName(rows.withColumn("_accepted", F.lit(False)))
-
-    def same(left: DataFrame, right: DataFrame):
-        out = F.lit(True)
-        for key in keys:
-            out = out & left[key].eqNullSafe(right[key])
-        return out
+    marks = f"{checkpoint.rstrip('/')}-marks"
+    kept = [f for f in rows.schema if f.name != ERROR]
+    schema = StructType([*kept, StructField(DATE, DateType())])
 
     def split(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        high = _highest(session, marks, number)
         batch = batch.persist()
         try:
-            if _exists(spark, sink) and batch.isEmpty():
-                return  # it only moves the watermark on
-            came = batch.where("not _accepted").drop("_accepted")
-            accepted = batch.where("_accepted").drop("_accepted")
-            low, high = came.agg(F.min("time"), F.max("time")).first()
-            known = accepted.select(*keys)
-            if _exists(spark, sink):
-                stored = batch.sparkSession.read.schema(schema).parquet(sink)
-                stored = stored.where(F.col("time").between(F.lit(low), F.lit(high))).select(*keys)
-                known = known.union(stored)
-                accepted = accepted.join(stored, same(accepted, stored), "left_anti")
-            timed = came.where(F.col("time").isNotNull())
-            late = timed.join(known, same(timed, known), "left_anti").withColumn("reason", F.lit("late"))
-            untimed_ = came.where(F.col("time").isNull()).withColumn("reason", F.lit("untimed"))
-            late.unionByName(untimed_).write.mode("overwrite").parquet(f"{rejects}/batch={number}")
-            accepted.write.mode("append").parquet(sink)
+            bound = None
+            if high is not None:
+                bound = session.range(1).select(F.lit(high) - F.expr(f"INTERVAL {watermark}")).first()[0]
+            # A row per date of the batch.
+            dates = [r[0] for r in batch.select(F.to_date("time")).where("time IS NOT NULL").distinct().collect()]
+            stored = None
+            if dates and _exists(session, sink):
+                stored = session.read.schema(schema).parquet(sink).where(F.col(DATE).isin(dates)).select(*keys)
+            accepted, rejected = split_batch(batch, stored, bound, keys)
+            if number == 0 or not rejected.isEmpty():
+                rejected.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+            dated = accepted.withColumn(DATE, F.to_date("time"))
+            dated.write.mode("append").partitionBy(DATE).parquet(sink)
+            newest = batch.agg(F.max("time")).first()[0]
+            _mark(session, marks, number, max((t for t in (high, newest) if t is not None), default=None))
         finally:
             batch.unpersist()
 
-    writer = both.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(split)
+    writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(split)
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     return writer.trigger(**trigger).start()
 
