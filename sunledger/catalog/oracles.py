@@ -157,6 +157,7 @@ def _sun() -> str:
         "longitude": solar.SITE_LONGITUDE,
         "pressure": solar.PRESSURE_HPA,
         "temperature": solar.TEMPERATURE_C,
+        "altitude": 0.0,
     }
     constants = ", ".join(f"{value!r}::DOUBLE AS {name}" for name, value in place.items())
     inner = (
