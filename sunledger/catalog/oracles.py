@@ -398,6 +398,16 @@ FROM (SELECT q.event_id, q.serial, CASE WHEN count(p.DateTime) > 0 THEN {_mean('
   FROM questions q LEFT JOIN predicted p ON p.LocationCode = q.LocationCode
     AND p.DateTime BETWEEN q.slot_start AND q.slot_start + INTERVAL 9 MINUTE
   GROUP BY q.event_id, q.serial)""",
+    ),
+    "interval_means": _with(
+        [PREDICTED],
+        f"""SELECT q.event_id, q.LocationCode, q.start, q."end", count(p.DateTime) AS interval_rows,
+  {_round('CASE WHEN count(p.DateTime) > 0 THEN ' + _mean('p.' + PREDICTION) + ' END', 6)} AS interval_mean
+FROM (SELECT event_id, {SITE} AS LocationCode, date_trunc('second', ts) AS start,
+    date_trunc('second', ts) + INTERVAL (event_id * 7919 % 100000) SECOND AS "end"
+  FROM events WHERE event_type = 'signup') q
+LEFT JOIN predicted p ON p.LocationCode = q.LocationCode AND p.DateTime BETWEEN q.start AND q."end"
+GROUP BY ALL""",
     ),
     "slot_expand": _with(
         [MIXED],

@@ -17,7 +17,7 @@ from sunledger.functions.numeric import (
     fixed_text_or_raw,
     rint_round,
 )
-from sunledger.functions.temporal import floor_minute, iso_wall_clock, slash_text
+from sunledger.functions.temporal import floor_minute, iso_wall_clock, seconds_interval, slash_text
 from sunledger.operators import boosting, folds, joins, quality, search, statistics
 from sunledger.operators.features import (
     LABEL,
@@ -71,6 +71,20 @@ def slot_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.answer_questions(views.questions(spark, sf_dir), views.predictions(spark, sf_dir))
 
 
+@register
+def interval_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean prediction from each sign-up's own second on, for up to 28 hours."""
+    start = F.date_trunc("second", "ts").cast("timestamp_ntz")
+    asked = views.events(spark, sf_dir).where(F.col("event_type") == "signup").select(
+        "event_id",
+        views.site(),
+        start.alias("start"),
+        (start + seconds_interval(F.col("event_id") * 7919 % 100_000)).alias("end"),
+    )
+    found = joins.interval_means(asked, views.predictions(spark, sf_dir), PREDICTION)
+    return found.withColumn("interval_mean", rint_round(F.col("interval_mean"), 6))
+
+
 @register
 def slot_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.expand_questions(views.mixed_serials(spark, sf_dir))

@@ -60,6 +60,43 @@ def add_positions(df: DataFrame, order: Sequence[str], name: str = "position") -
     return with_position(number_rows(df, order), name).drop(ROW)
 
 
+def running_sums(numbered: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Replace number columns by their sums over all rows up to and with each row; null counts as 0.
+
+    Decimals are added exactly. Sums run inside chunks; those of earlier chunks and of earlier
+    range partitions are added from two small tables.
+    """
+    kinds = {f.name: f.dataType for f in numbered.schema}
+
+    def total(c: str, window=None) -> Column:
+        whole = F.sum(F.coalesce(F.col(c), F.lit(0).cast(kinds[c])))
+        whole = whole if window is None else whole.over(window)
+        # Room for two more additions without losing a digit.
+        return whole.cast("decimal(36,9)") if kinds[c].typeName() == "decimal" else whole
+
+    def sums(window, name: str) -> list[Column]:
+        return [total(c, window).alias(f"{name}{c}") for c in columns]
+
+    keyed = numbered.withColumn("_chunk", F.shiftright(F.col(ROW), CHUNK_BITS))
+    inside = Window.partitionBy("_chunk").orderBy(ROW).rowsBetween(Window.unboundedPreceding, 0)
+    rows = keyed.select("*", *sums(inside, "_in_"))
+    chunks = keyed.groupBy("_chunk").agg(*[total(c).alias(c) for c in columns])
+    chunks = chunks.withColumn("_part", F.shiftright(F.col("_chunk"), PARTITION_BITS - CHUNK_BITS))
+    parts = chunks.groupBy("_part").agg(*[total(c).alias(c) for c in columns])
+    earlier = Window.partitionBy("_part").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    near = chunks.select("_chunk", "_part", *sums(earlier, "_near_"))
+    # One row per range partition.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    far = parts.select("_part", *sums(before, "_far_"))
+    carried = near.join(F.broadcast(far), "_part")
+    zero = F.lit(0)
+    run = {
+        c: F.col(f"_in_{c}") + F.coalesce(F.col(f"_near_{c}"), zero) + F.coalesce(F.col(f"_far_{c}"), zero)
+        for c in columns
+    }
+    return rows.join(carried, "_chunk").withColumns(run).select(*numbered.columns)
+
+
 def forward_fill(
     df: DataFrame, columns: Sequence[str], order: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:

@@ -149,3 +149,55 @@ def test_question_expansion_and_rejects(spark):
     assert rows.where("LocationCode = 1 AND `Power(mW)` IS NULL").count() == 10
     rejected = questions.split_serials(quest)[1]
     assert sorted(r["reason"] for r in rejected.collect()) == ["blank", "blank", "datetime", "site"]
+
+
+INTERVALS = "q int, LocationCode int, start timestamp_ntz, end timestamp_ntz"
+
+
+@pytest.mark.parametrize("closed", ["both", "left", "right", "neither"])
+def test_interval_means_equal_a_plain_search(spark, small_chunks, closed):
+    """Any bounds, ties with samples, one site with most rows, over many chunk borders."""
+    r = random.Random(closed)
+    zero = dt.datetime(2024, 1, 1)
+
+    def moment():
+        return zero + dt.timedelta(seconds=r.randrange(0, 400), microseconds=r.choice((0, 0, 500_000)))
+
+    rows = [(r.choice((1, 1, 1, 2)), moment(), r.choice((None, 0.1, 1.25, -3.0, 1e6 + 0.3))) for _ in range(300)]
+    asked = [(i, r.choice((1, 2, 3)), moment(), moment()) for i in range(80)]
+    asked += [(90, 1, zero, None), (91, None, zero, zero), (92, 1, rows[0][1], rows[0][1])]
+    samples = spark.createDataFrame(rows, "LocationCode int, DateTime timestamp_ntz, v double").repartition(5)
+    got = joins.interval_means(spark.createDataFrame(asked, INTERVALS), samples, "v", closed=closed).collect()
+    assert len(got) == len(asked)
+    for g in got:
+        lo, hi = g["start"], g["end"]
+        inside = []
+        if None not in (lo, hi, g["LocationCode"]):
+            for site, at, v in rows:
+                left = at >= lo if closed in ("both", "left") else at > lo
+                right = at <= hi if closed in ("both", "right") else at < hi
+                if site == g["LocationCode"] and v is not None and left and right and lo <= hi:
+                    inside.append(v)
+        assert g["interval_rows"] == len(inside)
+        assert g["interval_mean"] == (pytest.approx(sum(inside) / len(inside), rel=1e-12) if inside else None)
+
+
+def test_interval_means_enumerate_no_minutes(spark):
+    """An interval of 500 years is two points; repeated intervals keep their rows."""
+    asked = [(i, 1, dt.datetime(1700, 1, 1), dt.datetime(2200, 1, 1)) for i in range(3)]
+    samples = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), 2.0)], "LocationCode int, DateTime timestamp_ntz, v double")
+    got = joins.interval_means(spark.createDataFrame(asked, INTERVALS), samples, "v")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    assert [(r["interval_rows"], r["interval_mean"]) for r in got.collect()] == [(1, 2.0)] * 3
+
+
+def test_running_sums_over_chunks(spark, small_chunks):
+    from sunledger.operators import ordering
+
+    df = spark.range(200).selectExpr("id", "CAST(id * 0.1 AS DECIMAL(28,9)) AS d", "CASE WHEN id % 3 = 0 THEN id END AS n")
+    got = ordering.running_sums(ordering.number_rows(df.repartition(6), ["id"]), ["d", "n"]).orderBy("id").collect()
+    d = n = 0
+    for i, row in enumerate(got):
+        d, n = d + i, n + (i if i % 3 == 0 else 0)
+        assert float(row["d"]) == pytest.approx(d / 10, abs=1e-9) and row["n"] == n
