@@ -587,6 +587,18 @@ FROM events WHERE hour(ts) BETWEEN 5 AND 18 AND {K} % 11 = 0""",
         [POWER],
         f"""SELECT event_id, LocationCode, DateTime,
   CAST(printf('%.1f', {LABEL}) AS DOUBLE) AS {LABEL} FROM power""",
+    ),
+    "station_line_accounting": """WITH judged AS (SELECT date_trunc('hour', ts) AS h, CASE
+    WHEN event_id % 10 IN (3, 4) THEN 'malformed' WHEN event_id % 10 = 5 THEN 'untimed'
+    WHEN ts < TIMESTAMP '2024-01-05' OR ts >= TIMESTAMP '2024-01-26' THEN 'outside'
+    WHEN hour(ts) NOT BETWEEN 6 AND 17 THEN 'hours' ELSE 'kept' END AS outcome FROM events)
+SELECT outcome, count(*) AS lines FROM judged WHERE outcome <> 'kept' GROUP BY 1
+UNION ALL SELECT 'accepted', count(DISTINCT h) FROM judged WHERE outcome = 'kept'
+UNION ALL SELECT 'repeat', count(*) - count(DISTINCT h) FROM judged WHERE outcome = 'kept'""",
+    "site_file_scan": _with(
+        [POWER],
+        f"""SELECT event_id, LocationCode, DateTime, {LABEL},
+  CASE WHEN LocationCode % 2 = 1 THEN event_id / 4.0::DOUBLE END AS "Humidity(%)" FROM power""",
     ),
     "site_partition_sink": _with([POWER], "SELECT * FROM power"),
     "reject_json_sink": _with(

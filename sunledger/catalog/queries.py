@@ -514,6 +514,39 @@ def csv_sink_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, path, schema)
 
 
+@register
+def station_line_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A station export with spoilt lines, read back: what became of every line."""
+    path = new_shared_path(spark, "station")
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:00:00")
+    value = fixed_text(F.col("value"))
+    kind = F.col("event_id") % 10
+    line = (
+        F.when(kind == 3, F.concat_ws(",", stamp, value, F.lit("note"), F.lit("one more")))
+        .when(kind == 4, stamp)
+        .when(kind == 5, F.concat_ws(",", F.lit("soon"), value, F.lit("")))
+        .otherwise(F.concat_ws(",", stamp, value, F.lit("note")))
+    )
+    views.events(spark, sf_dir).select(line.alias("value")).write.text(path)
+    lines = files.read_station_lines(spark, path, columns=["DateTime", "Solarinsolation", "Note"])
+    return insolation.line_accounting(
+        insolation.judge_station_hours(lines, "2024-01-05 00:00:00", "2024-01-25 23:59:59")
+    )
+
+
+@register
+def site_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Site files with two kinds of header, written and read back as one table."""
+    path = new_shared_path(spark, "site-files")
+    rows = views.power(spark, sf_dir)
+    even = F.col("LocationCode") % 2 == 0
+    sinks.write_csv(rows.where(even).select(LABEL, "DateTime", "LocationCode", "event_id"), path)
+    dry = rows.where(~even).withColumn("Humidity(%)", F.col("event_id") / 4)
+    sinks.write_csv(dry.select("event_id", "LocationCode", "Humidity(%)", "DateTime", LABEL), path, mode="append")
+    read = files.read_site_files(spark, f"{path}/*.csv", pattern=r"^part-(\d+)")
+    return read.select(F.col("event_id").cast("long").alias("event_id"), "LocationCode", "DateTime", LABEL, "Humidity(%)")
+
+
 @register
 def site_partition_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_shared_path(spark, "sites")

@@ -77,11 +77,17 @@ class Workspace:
     def prepare_insolation(
         self, csv_path: str, start: str = insolation.START, end: str = insolation.END
     ) -> DataFrame:
-        """Station export to the 1-minute series; of repeated hours the first in the file stays."""
-        station = files.read_station_hourly(self.spark, csv_path, ordered=True)
-        timed = station.where(F.col("DateTime").isNotNull())
-        kept = insolation.filter_station_hours(timed, order=[files.FILE_ORDER], start=start, end=end)
-        hours = self._store(kept.drop(files.FILE_ORDER), "insolation_hourly")
+        """Station export to the 1-minute series; of repeated hours the first in the file stays.
+
+        Lines that are malformed, have no usable time, or lie outside the dates or the
+        daytime are kept as rejects, and what became of all lines is counted.
+        """
+        lines = files.read_station_lines(self.spark, csv_path, ordered=True)
+        judged = insolation.judge_station_hours(lines, start, end)
+        sinks.write_table(judged.where("reason IS NOT NULL").drop(files.FILE_ORDER), self.path("insolation_rejects"))
+        sinks.write_table(insolation.line_accounting(judged), self.path("insolation_lines"))
+        kept = insolation.filter_station_hours(lines.drop("text"), order=[files.FILE_ORDER], start=start, end=end)
+        hours = self._store(kept, "insolation_hourly")
         tens = self._store(insolation.insolation_ten_minutes(hours), "insolation_10min")
         return self._store(insolation.insolation_minutes(tens), "insolation_1min")
 

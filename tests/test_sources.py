@@ -35,6 +35,52 @@ def test_no_site_file_is_an_error(spark, tmp_path):
         files.read_site_files(spark, str(tmp_path / "L*_Train.csv"))
 
 
+def test_site_files_are_read_in_a_constant_plan(spark, tmp_path):
+    """A thousand files with five kinds of header: two scans, and every row by its own header."""
+    kinds = [
+        ["LocationCode", "DateTime", LABEL],
+        [LABEL, "LocationCode", "DateTime"],
+        ["LocationCode", "WindSpeed(m/s)", "DateTime", LABEL],
+        ["DateTime", "Note", LABEL, "LocationCode"],
+        ["LocationCode", "DateTime", "Humidity(%)", "Note", LABEL],
+    ]
+    for i in range(1000):
+        value = {"LocationCode": i, "DateTime": "2024-01-01 00:00:00", LABEL: i / 4, "WindSpeed(m/s)": i, "Humidity(%)": i, "Note": f'"a,{i}"'}
+        head = kinds[i % 5]
+        lines = [",".join(head), ",".join(str(value[c]) for c in head), "", ",".join(str(value[c]) for c in head)]
+        put(tmp_path / f"L{i}_Train.csv", "\r\n".join(lines))
+    got = files.read_site_files(spark, str(tmp_path / "L*_Train.csv"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 2
+    few = files.read_site_files(spark, str(tmp_path / "L1[0-4]_Train.csv"))
+    assert len(few._jdf.queryExecution().optimizedPlan().toString().splitlines()) == len(
+        got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    )
+    rows = got.collect()
+    assert len(rows) == 2000
+    for r in rows:
+        i, head = r["site_file"], kinds[r["site_file"] % 5]
+        assert (r["LocationCode"], r[LABEL], r["DateTime"]) == (i, i / 4, DAY)
+        assert r["WindSpeed(m/s)"] == (i if "WindSpeed(m/s)" in head else None)
+        assert r["Note"] == (f"a,{i}" if "Note" in head else None)
+
+
+def test_station_lines_are_all_accounted_for(spark, tmp_path):
+    from sunledger.plans import insolation
+
+    path = put(
+        tmp_path / "station.csv",
+        "DateTime,Solarinsolation,Other\n2024-01-01 06:00:00,1.5,a\n2024-01-01 06:00:00,2.5,a\n"
+        "2024-01-01 08:00:00,2,c,too,many\nfew\nsoon,3,d\n2023-01-01 09:00:00,,e\n2024-01-01 03:00:00,1,f\n",
+    )
+    judged = insolation.judge_station_hours(files.read_station_lines(spark, path))
+    counted = {r["outcome"]: r["lines"] for r in insolation.line_accounting(judged).collect()}
+    assert counted == {"accepted": 1, "repeat": 1, "malformed": 2, "untimed": 1, "outside": 1, "hours": 1}
+    assert {r["text"] for r in judged.where("reason = 'malformed'").collect()} == {"2024-01-01 08:00:00,2,c,too,many", "few"}
+    none = insolation.line_accounting(judged.limit(0))
+    assert sorted(map(tuple, none.collect())) == [("accepted", 0), ("repeat", 0)]
+
+
 def test_station_export_is_read_tolerantly(spark, tmp_path):
     path = put(
         tmp_path / "station.csv",
