@@ -6,6 +6,7 @@ jobs before it stored, so any of them can be run again on its own.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -21,11 +22,23 @@ from sunledger.plans import feature_table, insolation, irradiance, questions, tr
 from sunledger.plans import power as power_plan
 from sunledger.plans.feedback import pseudo_label
 from sunledger.plans.sun import sun_table
+from sunledger.session import table_scope
 from sunledger.sources import files, payloads, sinks
 
 KEYS = ("LocationCode", "DateTime")
 
 
+def _frees_its_tables(job):
+    """A job whose results are stored under the root keeps nothing in the shared folder."""
+
+    @functools.wraps(job)
+    def scoped(self, *args, **kwargs):
+        with table_scope(self.spark):
+            return job(self, *args, **kwargs)
+
+    return scoped
+
+
 @dataclass
 class Workspace:
     """Jobs that share ``root``; pass a folder that all executors can reach."""
@@ -45,6 +58,7 @@ class Workspace:
 
     # --- inputs to series --------------------------------------------------
 
+    @_frees_its_tables
     def prepare_power(self, main_glob: str, extra_glob: str | None = None) -> DataFrame:
         """Site files to one row per site and minute; repeated minutes are reported."""
         main = files.read_site_files(self.spark, main_glob, ordered=True)
@@ -57,12 +71,14 @@ class Workspace:
         sinks.write_by_site(power_plan.dedup_minutes(combined), self.path("power"))
         return self.table("power")
 
+    @_frees_its_tables
     def prepare_weather(self, csv_path: str) -> DataFrame:
         """Repaired weather rows with their place in the file: of rows at one time the
         last in the file is the one that matches."""
         raw = files.read_weather(self.spark, csv_path, ordered=True)
         return self._store(weather.repair_weather(raw, ["time", files.FILE_ORDER]), "weather")
 
+    @_frees_its_tables
     def prepare_irradiance(self, payload_path: str) -> DataFrame:
         """Payload files to the 1-minute series; incomplete intervals and unusable
         files are kept as rejects."""
@@ -74,6 +90,7 @@ class Workspace:
         tens = self._store(irradiance.irradiance_ten_minutes(quarters), "irradiance_10min")
         return self._store(irradiance.irradiance_minutes(tens), "irradiance_1min")
 
+    @_frees_its_tables
     def prepare_insolation(
         self, csv_path: str, start: str = insolation.START, end: str = insolation.END
     ) -> DataFrame:
@@ -91,9 +108,11 @@ class Workspace:
         tens = self._store(insolation.insolation_ten_minutes(hours), "insolation_10min")
         return self._store(insolation.insolation_minutes(tens), "insolation_1min")
 
+    @_frees_its_tables
     def prepare_sun(self, start: str = "2024-01-01", end: str = "2024-10-31", **place) -> DataFrame:
         return self._store(sun_table(date_list(self.spark, start, end, "day"), **place), "sun")
 
+    @_frees_its_tables
     def prepare_questions(self, csv_path: str) -> DataFrame:
         """Slot questions to minute rows; serials that do not parse are kept as rejects."""
         asked = files.read_questions(self.spark, csv_path)
@@ -111,6 +130,7 @@ class Workspace:
             sites=site_dimension(self.spark),
         )
 
+    @_frees_its_tables
     def build_training(self, valid_from: Mapping[int, str] | None = None) -> DataFrame:
         rows = self.table("power")
         cutoffs = feature_table.VALID_FROM if valid_from is None else valid_from
@@ -125,6 +145,7 @@ class Workspace:
         sinks.write_rejects(rejected, self.path("training_rejects"))
         return self._store(built, "training_features")
 
+    @_frees_its_tables
     def build_serving(self) -> DataFrame:
         # Equal questions give equal rows, so one of each is enough.
         rows = self.table("question_minutes").dropDuplicates(list(KEYS))
@@ -135,6 +156,7 @@ class Workspace:
         sinks.write_rejects(rejected, self.path("serving_rejects"))
         return self._store(built, "serving_features")
 
+    @_frees_its_tables
     def train(
         self,
         variant: str = "full",
@@ -157,8 +179,9 @@ class Workspace:
             params = study.run(matrix, names, training.SITE, KEYS, range(folds), trials, seconds)
         run = training.train(matrix, names, params, range(folds))
         training.save_run(run, self.path(f"runs/{variant}"))
-        return run
+        return training.load_run(self.spark, self.path(f"runs/{variant}"))
 
+    @_frees_its_tables
     def replay(
         self,
         variant: str = "full",
@@ -168,8 +191,9 @@ class Workspace:
     ):
         run = training.replay(self.table(source), variant, self.path(f"runs/{variant}"), mode, null_policy)
         training.save_run(run, self.path(f"replays/{variant}"))
-        return run
+        return training.load_run(self.spark, self.path(f"replays/{variant}"))
 
+    @_frees_its_tables
     def score(self, variant: str = "full", replayed: bool = False) -> DataFrame:
         kind = "replays" if replayed else "runs"
         models = FoldModels.load(self.path(f"{kind}/{variant}/models"))
@@ -186,6 +210,7 @@ class Workspace:
         sinks.write_csv(answered, self.path(f"{kind}/{variant}/answers"))
         return answered
 
+    @_frees_its_tables
     def add_pseudo_labels(self, variant: str = "full") -> DataFrame:
         """Training rows for the ``pseudo`` variant: measured ones and scored serving ones."""
         scores = self.path(f"runs/{variant}/scores")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from sunledger.operators import boosting, folds
 from sunledger.operators.boosting import BoostParams, FoldModels
@@ -22,8 +22,10 @@ SITE = "LocationCode"
 
 @dataclass
 class TrainingRun:
+    """A run's models and tables; a run that was loaded has no matrix."""
+
     models: FoldModels
-    matrix: DataFrame
+    matrix: DataFrame | None
     out_of_fold: DataFrame
     fold_metrics: DataFrame
     cv_metrics: DataFrame
@@ -73,6 +75,12 @@ def save_run(run: TrainingRun, path: str) -> None:
     write_table(folds.fold_table(run.matrix, KEYS), f"{path}/fold_assignment")
 
 
+def load_run(spark: SparkSession, path: str) -> TrainingRun:
+    """A saved run, read from its own tables alone."""
+    tables = [spark.read.parquet(f"{path}/{name}") for name in ("oof_predictions", "fold_metrics", "cv_metrics")]
+    return TrainingRun(FoldModels.load(f"{path}/models"), None, *tables)
+
+
 def replay(
     table: DataFrame,
     variant: str,

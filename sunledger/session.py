@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,8 +69,31 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+#: Folders of the scopes that are open, the innermost last.
+_scopes: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
+
+
 def new_shared_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    name = f"{label}-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    return f"{_scopes.get()[-1] if _scopes.get() else shared_dir(spark)}/{name}"
+
+
+@contextmanager
+def table_scope(spark: SparkSession) -> Iterator[None]:
+    """Owns the tables written to the shared folder inside it, and deletes them at its end.
+
+    What is to outlive the scope has to be stored elsewhere, or read, before it ends. Scopes
+    nest: a phase of a job can free its tables before the next one writes its own. Tables
+    written outside any scope stay.
+    """
+    folder = new_shared_path(spark, "scope")
+    token = _scopes.set((*_scopes.get(), folder))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        # Overwriting the folder deletes all that is in it, on any file system Spark can write.
+        spark.range(0).coalesce(1).write.mode("overwrite").parquet(folder)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
