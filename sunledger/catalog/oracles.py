@@ -264,6 +264,7 @@ TRAINING_PARTS = [
     CLEAN_POWER,
     *_feature_parts("clean", "PARTITION BY LocationCode", "DateTime", CUTOFF),
 ]
+SILENT = "(SELECT * FROM insolation WHERE DateTime < TIMESTAMP '2024-01-20')"
 MINUTES = f"""minutes AS (
   SELECT event_id, LocationCode, DateTime, {LABEL} FROM (
     SELECT *, ts_exact FROM (SELECT event_id, {SITE} AS LocationCode, date_trunc('minute', ts) AS DateTime,
@@ -579,10 +580,12 @@ FROM events""",
 FROM events CROSS JOIN (VALUES ('A'), ('B')) s(name)""",
     "irradiance_json_flatten": f"""SELECT date_trunc('minute', ts) AS DateTime, value AS GHI,
   value * 0.5::DOUBLE AS DNI, value * 0.25::DOUBLE AS DHI
-FROM events WHERE hour(ts) BETWEEN 5 AND 18 AND {K} % 11 <> 0""",
+FROM events WHERE hour(ts) BETWEEN 5 AND 18 AND {K} % 11 <> 0 AND {K} % 13 <> 5""",
     "irradiance_json_rejects": f"""SELECT date_trunc('minute', ts) AS DateTime, value AS GHI,
   value * 0.5::DOUBLE AS DNI, CAST(NULL AS DOUBLE) AS DHI
-FROM events WHERE hour(ts) BETWEEN 5 AND 18 AND {K} % 11 = 0""",
+FROM events WHERE hour(ts) BETWEEN 5 AND 18 AND {K} % 11 = 0 AND {K} % 13 <> 5
+UNION ALL SELECT NULL, value, value * 0.5::DOUBLE, CASE WHEN {K} % 11 <> 0 THEN value * 0.25::DOUBLE END
+FROM events WHERE {K} % 13 = 5""",
     "csv_sink_scan": _with(
         [POWER],
         f"""SELECT event_id, LocationCode, DateTime,
@@ -595,6 +598,19 @@ FROM events WHERE hour(ts) BETWEEN 5 AND 18 AND {K} % 11 = 0""",
 SELECT outcome, count(*) AS lines FROM judged WHERE outcome <> 'kept' GROUP BY 1
 UNION ALL SELECT 'accepted', count(DISTINCT h) FROM judged WHERE outcome = 'kept'
 UNION ALL SELECT 'repeat', count(*) - count(DISTINCT h) FROM judged WHERE outcome = 'kept'""",
+    "question_file_scan": _with([QUESTIONS], "SELECT serial FROM questions"),
+    "slash_series_scan": _with([HOURLY, COMPLETE, STORED], "SELECT * FROM stored"),
+    "timestamp_coercion": """SELECT event_id, CASE WHEN event_id % 5 = 0 THEN date_trunc('day', ts)
+  ELSE date_trunc('second', ts) END AS DateTime FROM events WHERE event_id % 5 IN (0, 1, 2)""",
+    "conditional_drop": _with([POWER], "SELECT * FROM power"),
+    "station_first_rows": _with(
+        [
+            """hourly AS (SELECT date_trunc('hour', ts) AS DateTime, value AS Solarinsolation FROM events
+  WHERE event_type = 'purchase' QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', ts) ORDER BY event_id) = 1)""",
+            COMPLETE,
+        ],
+        "SELECT * FROM complete",
+    ),
     "site_file_scan": _with(
         [POWER],
         f"""SELECT event_id, LocationCode, DateTime, {LABEL},
@@ -611,7 +627,7 @@ UNION ALL SELECT s.name || CAST({SITE} AS VARCHAR), NULL, 'untimed'
 FROM events CROSS JOIN (VALUES ('A'), ('B')) s(name) WHERE event_id % 50 = 7""",
     "training_feature_table": _with([*TRAINING_PARTS, *FEATURE_TAIL], "SELECT * FROM feature_rows"),
     "training_feature_rejects": _with(
-        TRAINING_PARTS, f"SELECT LocationCode, {DATETIME_TEXT} AS DateTime FROM judged WHERE {ANY_NULL}"
+        [p.replace("LEFT JOIN insolation i", f"LEFT JOIN {SILENT} i") for p in TRAINING_PARTS], f"SELECT LocationCode, {DATETIME_TEXT} AS DateTime FROM judged WHERE {ANY_NULL}"
     ),
     "gbt_oof_metrics": _with(
         _boosted("full", 10), _fold_scores(ROUNDED_METRICS)

@@ -17,7 +17,14 @@ from sunledger.functions.numeric import (
     fixed_text_or_raw,
     rint_round,
 )
-from sunledger.functions.temporal import floor_minute, iso_wall_clock, seconds_interval, slash_text
+from sunledger.functions.temporal import (
+    as_datetime,
+    floor_minute,
+    floor_seconds,
+    iso_wall_clock,
+    seconds_interval,
+    slash_text,
+)
 from sunledger.operators import boosting, folds, joins, quality, search, statistics
 from sunledger.operators.features import (
     LABEL,
@@ -534,6 +541,56 @@ def station_line_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def question_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions as a file with the asked-for header, read back with the serial as text."""
+    path = new_shared_path(spark, "questions")
+    asked = views.questions(spark, sf_dir).select(
+        F.col("serial").alias(schemas.SERIAL), F.lit(None).cast("string").alias(schemas.ANSWER)
+    )
+    sinks.write_csv(asked, path)
+    return files.read_questions(spark, path)
+
+
+@register
+def slash_series_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The station's stored hours, read back from their slashed timestamps."""
+    path = new_shared_path(spark, "slashes")
+    sinks.write_csv(complete_day_grid(spark, sf_dir), path)
+    return files.read_slash_series(spark, path)
+
+
+@register
+def timestamp_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timestamps as text in five forms, two of them unusable; unusable ones are dropped."""
+    kind = F.col("event_id") % 5
+    text = (
+        F.when(kind == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+        .when(kind == 2, F.concat(F.lit("  "), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" ")))
+        .when(kind == 3, F.date_format("ts", "yyyy-31-dd HH:mm:ss"))
+        .when(kind == 4, F.lit("soon"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    )
+    read = views.events(spark, sf_dir).select("event_id", as_datetime(text).alias("DateTime"))
+    return read.dropna(subset=["DateTime"])
+
+
+@register
+def conditional_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensor columns are dropped where the table has them; absent ones are no error."""
+    rows = views.power(spark, sf_dir).withColumn("Humidity(%)", F.lit(50.0))
+    return quality.drop_if_present(rows, schemas.STATION_SENSORS)
+
+
+@register
+def station_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of several station rows for one hour the first stays; days are then completed."""
+    rows = views.events(spark, sf_dir).where(F.col("event_type") == "purchase").select(
+        "event_id", floor_seconds(F.col("ts"), views.HOUR).alias("DateTime"), F.col("value").alias("Solarinsolation")
+    )
+    return insolation.filter_station_hours(rows, order=["event_id"])
+
+
 @register
 def site_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Site files with two kinds of header, written and read back as one table."""
@@ -586,23 +643,30 @@ def feed_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the whole feature build, training and scoring -------------------------
 
 
-def _shared_series(spark: SparkSession, sf_dir: str) -> feature_table.SharedSeries:
+def _shared_series(
+    spark: SparkSession, sf_dir: str, silent_from: str | None = None
+) -> feature_table.SharedSeries:
+    minutes = _insolation_minutes(spark, sf_dir)
+    if silent_from:
+        minutes = minutes.where(F.col("DateTime") < F.lit(silent_from).cast("timestamp_ntz"))
     return feature_table.SharedSeries(
         weather=weather.repair_weather(views.weather_raw(spark, sf_dir), ["time", "event_id"]),
         sun=_sun_table(spark, sf_dir),
-        insolation_minutes=_insolation_minutes(spark, sf_dir),
+        insolation_minutes=minutes,
         irradiance_minutes=_irradiance_minutes(spark, sf_dir),
         sites=site_dimension(spark),
     ).stored()
 
 
-def _features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _features(
+    spark: SparkSession, sf_dir: str, silent_from: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     main, extra = views.power_sources(spark, sf_dir)
     # The cleaned table is a stage of its own: at most a row per site and minute.
     rows = materialise(power_plan.clean_power(main, extra, tie=["event_id"]), "power")
     return feature_table.build_features(
         rows,
-        _shared_series(spark, sf_dir),
+        _shared_series(spark, sf_dir, silent_from),
         weather_sequence="event_id",
         valid_from=feature_table.VALID_FROM,
         one_per_minute=True,
@@ -616,7 +680,8 @@ def training_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def training_feature_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejected = _features(spark, sf_dir)[1]
+    """Power rows that have a sun angle but, with a station that fell silent, no insolation."""
+    rejected = _features(spark, sf_dir, silent_from="2024-01-20 00:00:00")[1]
     return quality.reject_records(rejected, ["LocationCode", "DateTime"], "DateTime")
 
 

@@ -163,14 +163,17 @@ def weather_payload_text(source: DataFrame) -> DataFrame:
 
 
 def irradiance_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A JSON irradiance payload per event: its own interval, and one that starts too late."""
+    """A JSON irradiance payload per event: its own interval, and one that starts too late.
+
+    Some own intervals lack a value, and some their start.
+    """
     k = reading().try_cast("int")
 
     def interval(start: F.Column, dhi: F.Column) -> F.Column:
         sky = F.struct(F.col("value").alias("ghi"), (F.col("value") * 0.5).alias("dni"), dhi.alias("dhi"))
         return F.struct(start.alias("start"), sky.alias("clear_sky"))
 
-    own = interval(F.date_format("ts", "HH:mm"), F.when(k % 11 != 0, F.col("value") * 0.25))
+    own = interval(F.when(k % 13 != 5, F.date_format("ts", "HH:mm")), F.when(k % 11 != 0, F.col("value") * 0.25))
     late = interval(F.lit("19:00"), F.col("value"))
     payload = F.struct(
         F.date_format("ts", "yyyy-MM-dd").alias("date"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
 import __spark_entry__ as entry
 from sunledger.catalog.oracles import ORACLES
@@ -25,7 +26,7 @@ def test_entry_serves_the_catalog():
 
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"gbt_oof_metrics", "gbt_ensemble_score", "gbt_sweep"}
+    assert set(QUERIES) - set(ORACLES) == {"gbt_early_stopping", "gbt_sweep"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -42,10 +43,23 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(ORACLES) - {"feed_dedup_stream", "gbt_replay"}))
-def test_no_pairwise_joins(spark, name):
-    text = plan(QUERIES[name](spark, SF_DIR))
-    assert "NestedLoop" not in text and "CartesianProduct" not in text
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - {n for n in ORACLES if n.startswith("gbt_")}))
+def test_no_pairwise_joins(spark, name, monkeypatch):
+    """In the plan of the result and of every table that is written on the way."""
+    plans, write = [], DataFrameWriter.parquet
+
+    def noted(writer, *args, **kwargs):
+        plans.append(plan(writer._df))
+        return write(writer, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    plans.append(plan(QUERIES[name](spark, SF_DIR)))
+    assert not [p for p in plans if "NestedLoop" in p or "CartesianProduct" in p]
+
+
+@pytest.mark.parametrize("name", ["training_feature_rejects", "irradiance_json_rejects", "reject_rows", "serial_rejects"])
+def test_reject_queries_have_rows(duck, name):
+    assert duck.sql(f"SELECT count(*) FROM ({ORACLES[name]})").fetchall()[0][0] > 0
 
 
 def test_scan_reads_only_what_is_used(spark):
