@@ -20,7 +20,9 @@ Levels of the tree, from the root:
    nodes of at most 64; a node's bounding box holds the largest count of each coordinate and
    the smallest size. Nodes of a cell meet, not points. Two nodes are opened if the summed
    coordinate minima of their boxes allow a link, and only pairs of points of different
-   leaves whose own minima allow one leave the task.
+   leaves whose own minima allow one leave the task. Alike sets meet in most of their cells:
+   a point carries its least cells, and a pair that these show to meet in a lesser cell too
+   is left to that cell, so a pair leaves the tasks about once and not once per cell.
 
 Surviving pairs are verified on the shingles themselves. For components (``join``) every pair
 of different sets that reaches the threshold is verified or already joined by links, so no
@@ -57,6 +59,11 @@ from sunledger.session import materialise
 GROUPS = 128
 #: Points of a node.
 NODE = 64
+#: Least cells that a point carries.
+FIRST_CELLS = 8
+_NO_CELL = (1 << 63) - 1
+#: Pairs whose least cells are compared at once.
+_CHUNK = 1 << 12
 #: Pairs of sets that a task holds before it passes them on.
 _HELD = 1 << 18
 #: Tasks that pack the leaves of one cell side by side.
@@ -265,18 +272,18 @@ def _near(percent: int):
     return run
 
 
-_NODE = "cell long, node long, low long, high long, least long, most long, sids binary, leaves binary, sizes binary, points binary"
+_NODE = "cell long, node long, low long, high long, least long, most long, sids binary, leaves binary, sizes binary, points binary, firsts binary"
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (cell, leaf, sid, n, point) sorted by cell and leaf: nodes of at most ``NODE`` points.
+    """Of rows (cell, leaf, sid, n, point, firsts) by cell and leaf: nodes of at most ``NODE`` points.
 
     Only the rows of an unfinished node are held back, so a hot cell streams through.
     """
     rest = None
 
     def cut(columns, final):
-        cell, leaf, sid, n, points = columns
+        cell, leaf, sid, n, points, firsts = columns
         borders = [*_begins(cell), len(cell)] if len(cell) else [0]
         out, done = [], 0
         for begin, end in zip(borders[:-1], borders[1:], strict=True):
@@ -287,15 +294,16 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at, done = slice(low, high), high
                 out.append(
                     (cell[low], sid[low], leaf[low], leaf[high - 1], n[at].min(), n[at].max(),
-                     sid[at].tobytes(), leaf[at].tobytes(), n[at].tobytes(), _packed(points[at]))
+                     sid[at].tobytes(), leaf[at].tobytes(), n[at].tobytes(), _packed(points[at]), firsts[at].tobytes())
                 )
         names = [field.split()[0] for field in _NODE.split(", ")]
-        kinds = [pa.int64()] * 6 + [pa.binary()] * 4
+        kinds = [pa.int64()] * 6 + [pa.binary()] * 5
         arrays = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)]
         return pa.RecordBatch.from_arrays(arrays, names), [c[done:] for c in columns]
 
     for batch in batches:
-        columns = [batch.column(i).to_numpy() for i in range(4)] + [_points(batch.column(4))]
+        firsts = batch.column(5).flatten().to_numpy().reshape(-1, FIRST_CELLS)
+        columns = [batch.column(i).to_numpy() for i in range(4)] + [_points(batch.column(4)), firsts]
         if rest is not None:
             columns = [np.concatenate(pair) for pair in zip(rest, columns, strict=True)]
         nodes, rest = cut(columns, False)
@@ -304,19 +312,32 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield cut(rest, True)[0]
 
 
+_PACKED = ("sids", "leaves", "sizes", "points", "firsts")
+
+
+def _met_before(cell: int, firsts: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Of pairs by their least cells: whether they are known to meet in a lesser cell."""
+    out = np.zeros(len(firsts), bool)
+    for low in range(0, len(firsts), _CHUNK):
+        x, y = firsts[low : low + _CHUNK], others[low : low + _CHUNK]
+        both = (x[:, :, None] == y[:, None, :]) & (x < cell)[:, :, None]
+        out[low : low + _CHUNK] = both.any(axis=(1, 2))
+    return out
+
+
 def _opened(percent: int):
     """Of pairs of nodes: the pairs of sets of different leaves that boxes and points allow,
     with their leaves (the smaller first) and the bound on what they share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same = batch.column(0).to_numpy(zero_copy_only=False)
-            raw = [batch.column(i) for i in range(1, 9)]
+            same, cell = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            raw = [batch.column(i) for i in range(2, 12)]
             found, held = [np.zeros((5, 0), np.int64)], 0
             for i in range(batch.num_rows):
-                cells = [np.frombuffer(c[i].as_buffer(), np.uint8) for c in raw]
-                sids, leaves, n, others, other_leaves, m = (cells[j].view(np.int64) for j in (0, 1, 2, 4, 5, 6))
-                p, q = _unpacked(cells[3], len(n)), _unpacked(cells[7], len(m))
+                parts = [np.frombuffer(c[i].as_buffer(), np.uint8) for c in raw]
+                sids, leaves, n, others, other_leaves, m = (parts[j].view(np.int64) for j in (0, 1, 2, 5, 6, 7))
+                p, q = _unpacked(parts[3], len(n)), _unpacked(parts[8], len(m))
                 box = np.minimum(p.max(axis=0), q.max(axis=0)).sum()
                 if not _allows(box, n.min(), m.min(), percent):
                     continue
@@ -327,6 +348,9 @@ def _opened(percent: int):
                 if same[i]:
                     keep = np.triu(keep, 1)
                 a, b = np.nonzero(keep)
+                firsts, theirs = (parts[j].view(np.int64).reshape(-1, FIRST_CELLS) for j in (4, 9))
+                new = ~_met_before(cell[i], firsts[a], theirs[b])
+                a, b = a[new], b[new]
                 ends = np.stack([sids[a], others[b], leaves[a], other_leaves[b], least[a, b]])
                 swap = ends[2] > ends[3]
                 ends[:4, swap] = ends[[1, 0, 3, 2]][:, swap]
@@ -593,9 +617,12 @@ def _open_leaves(shared: DataFrame, leaves: DataFrame) -> DataFrame:
 
 def _pairs(members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets of different leaves that the boxes of nodes and the points allow."""
+    # A set has as many cells as its band has blocks.
+    listed = F.concat(F.sort_array(F.collect_list("cell")), F.array_repeat(F.lit(_NO_CELL), FIRST_CELLS))
+    firsts = members.groupBy("sid").agg(F.slice(listed, 1, FIRST_CELLS).alias("firsts"))
     nodes = materialise(
-        members.join(points.select("sid", "n", "point"), "sid")
-        .select("cell", "leaf", "sid", "n", "point")
+        members.join(points.select("sid", "n", "point").join(firsts, "sid"), "sid")
+        .select("cell", "leaf", "sid", "n", "point", "firsts")
         .repartition("cell", F.pmod("leaf", F.lit(_PACKERS)))
         .sortWithinPartitions("cell", "leaf", "sid")
         .mapInArrow(_nodes, _NODE),
@@ -608,8 +635,8 @@ def _pairs(members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     met = x.join(
         y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.node") <= F.col("y.node")) & near & ~one_leaf
     )
-    packed = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in ("sids", "leaves", "sizes", "points")]
-    opened = met.select((F.col("x.node") == F.col("y.node")).alias("same"), *packed)
+    packed = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in _PACKED]
+    opened = met.select((F.col("x.node") == F.col("y.node")).alias("same"), F.col("x.cell").alias("cell"), *packed)
     return materialise(opened.mapInArrow(_opened(percent), "a long, b long, la long, lb long, least long").distinct(), "near-pairs")
 
 
