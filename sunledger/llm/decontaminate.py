@@ -264,9 +264,10 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     A verdict depends on the text alone, so it meets its rows by a digest of the text,
     whether doc_ids are null, repeated or sound.
     """
-    marked = docs.withColumn(_MARK, F.md5(F.coalesce("text", F.lit(""))))
-    bad = judge(marked.select(_MARK, "text"), benchmark, key=_MARK).where("contaminated")
-    return marked.join(bad.select(_MARK).distinct(), _MARK, "left_anti").select(*docs.columns)
+    digest_ = F.md5(F.coalesce(docs["text"], F.lit("")))
+    texts = docs.select(digest_.alias(_MARK), docs["text"].alias("text"))
+    bad = judge(texts, benchmark, key=_MARK).where("contaminated").select(_MARK).distinct()
+    return docs.join(bad, digest_ == bad[_MARK], "left_anti")
 
 
 ORACLE = """

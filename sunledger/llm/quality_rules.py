@@ -264,7 +264,7 @@ def expression(rules: list[Rule], default: int = 1) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> list[Rule]:
     chosen = common.labelled_ids(labels, size)
-    counted = statistics(common.of_ids(docs, chosen)).dropDuplicates(["doc_id"])
+    counted = statistics(common.of_ids(docs, chosen))
     shares = counted.select("doc_id", *[c.alias(k) for k, c in ratios().items()]).toPandas()
     rows = shares.merge(chosen, on="doc_id").sort_values("doc_id")
     fold = common.mix(rows["doc_id"].to_numpy().astype(np.uint64)) % np.uint64(3)
