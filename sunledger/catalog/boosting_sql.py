@@ -27,7 +27,7 @@ def _values(name: str, columns: str, rows: Sequence[Sequence]) -> str:
     return f"{name} AS (SELECT * FROM (VALUES {body}) v({columns}))"
 
 
-def preparation(rows: str, features: Sequence[str], params: BoostParams) -> list[str]:
+def preparation(rows: str, features: Sequence[str], folds: int, params: BoostParams) -> list[str]:
     """CTEs up to the binned rows ``b``, the constants ``k`` and the first margins."""
     width = len(features)
     listed = ", ".join(f'{{\'f\': {i}, \'x\': CAST("{c}" AS DOUBLE)}}' for i, c in enumerate(features))
@@ -57,27 +57,26 @@ def preparation(rows: str, features: Sequence[str], params: BoostParams) -> list
   pow(2.0, least(36 - ceil(log2(r * r)), 61 - ceil(log2(n)) - ceil(log2(r * r)))) AS square_scale FROM reach)""",
         """folded AS (SELECT fold, CAST(sum(CAST(round_even(label * scale, 0) AS BIGINT)) AS BIGINT) AS g, count(*) AS n
   FROM m, k GROUP BY fold)""",
-        """bases AS MATERIALIZED (SELECT o.fold AS model, CAST(sum(p.g) AS DOUBLE) / CAST(sum(p.n) AS DOUBLE) / any_value(scale) AS base
-  FROM folded o JOIN folded p ON o.fold <> p.fold, k GROUP BY o.fold)""",
+        f"""bases AS MATERIALIZED (SELECT model, CAST(sum(p.g) AS DOUBLE) / CAST(sum(p.n) AS DOUBLE) / any_value(scale) AS base
+  FROM (SELECT CAST(unnest(range({folds})) AS INTEGER) AS model) o JOIN folded p ON model <> p.fold, k GROUP BY model)""",
+        f"""offered AS (SELECT model, CAST(unnest(range({width} + (SELECT max(site) + 1 FROM m))) AS BIGINT) AS c
+  FROM bases)""",
         "margin0 AS MATERIALIZED (SELECT model, id, base AS margin FROM bases, m)",
     ]
 
 
-def _tree(t: int, folds: int, width: int, categories: int, params: BoostParams) -> list[str]:
-    draws, columns, allowed = [], [], []
+def _tree(t: int, folds: int, width: int, params: BoostParams) -> list[str]:
+    draws = []
     for model in range(folds):
         rng = random.Random(f"{params.seed}|{model}|{t}")
-        multiplier, offset = rng.randrange(1, PRIME), rng.randrange(PRIME)
         limit = PRIME if params.subsample >= 1 else int(params.subsample * PRIME)
-        total = width + categories
-        drawn = rng.sample(range(total), max(1, int(params.colsample * total)))
-        draws.append((model, multiplier, offset, limit))
-        columns += [(model, c) for c in drawn if c < width]
-        allowed += [(model, c - width) for c in drawn if c >= width]
+        draws.append((model, rng.randrange(1, PRIME), rng.randrange(PRIME), limit))
     ctes = [
         _values(f"draw{t}", "model, a, o, top", draws),
-        _values(f"drawn{t}", "model, f", columns),
-        _values(f"allowed{t}", "model, site", allowed),
+        f"""picked{t} AS MATERIALIZED (SELECT model, c FROM offered QUALIFY row_number() OVER (PARTITION BY model
+  ORDER BY md5('{params.seed}|' || model || '|{t}|' || c)) <= greatest(1, floor({params.colsample}{D} * count(*) OVER (PARTITION BY model))))""",
+        f"drawn{t} AS (SELECT model, c AS f FROM picked{t} WHERE c < {width})",
+        f"allowed{t} AS (SELECT model, c - {width} AS site FROM picked{t} WHERE c >= {width})",
         f"""at{t}_0 AS MATERIALIZED (SELECT g.model, g.id, 1 AS node, m.fold <> g.model
     AND (m.draw * CAST(d.a AS BIGINT) + d.o) % {PRIME} < d.top AS used,
   CAST(round_even((g.margin - m.label) * k.scale, 0) AS BIGINT) AS g
@@ -123,22 +122,22 @@ def _tree(t: int, folds: int, width: int, categories: int, params: BoostParams)
     return ctes
 
 
-def boosting(rows: str, features: Sequence[str], folds: int, categories: int, params: BoostParams) -> list[str]:
+def boosting(rows: str, features: Sequence[str], folds: int, params: BoostParams) -> list[str]:
     """All CTEs of a fit; ``kept`` has the trees that each fold keeps, ``fitted`` its margins.
 
     Patience must not be less than the rounds: all trees are grown, then the best number kept.
     """
-    ctes = preparation(rows, features, params)
+    ctes = preparation(rows, features, folds, params)
     for t in range(params.rounds):
-        ctes += _tree(t, folds, len(features), categories, params)
+        ctes += _tree(t, folds, len(features), params)
     every = " UNION ALL ".join(f"SELECT {t} AS t, * FROM margin{t}" for t in range(1, params.rounds + 1))
     return [
         *ctes,
         f"margins AS MATERIALIZED ({every})",
         """errors AS (SELECT model, t, CAST(sum(CAST(round_even((margin - label) * (margin - label) * square_scale, 0) AS BIGINT)) AS DOUBLE)
   / any_value(square_scale) / count(*) AS error FROM margins g JOIN m ON g.id = m.id AND g.model = m.fold, k GROUP BY model, t)""",
-        """kept AS MATERIALIZED (SELECT model, t FROM errors
-  QUALIFY row_number() OVER (PARTITION BY model ORDER BY error, t) = 1)""",
+        f"""kept AS MATERIALIZED (SELECT b.model, coalesce(e.t, {params.rounds}) AS t FROM bases b LEFT JOIN (SELECT model, t FROM errors
+  QUALIFY row_number() OVER (PARTITION BY model ORDER BY error, t) = 1) e ON b.model = e.model)""",
         "fitted AS (SELECT g.model, g.id, g.margin FROM margins g JOIN kept ON g.model = kept.model AND g.t = kept.t)",
     ]
 

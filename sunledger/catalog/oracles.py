@@ -359,14 +359,15 @@ def _boosted(variant: str, folds: int) -> list[str]:
     more = f", {LABEL} AS label, CAST({_fold_of(key)} % {folds} AS INTEGER) AS fold"
     there = " AND ".join(f'"{c}" IS NOT NULL' for c in FEATURE_SETS[variant])
     rows = _model_rows("train_rows", variant, [*TRAINING_PARTS, *FEATURE_TAIL], more, f"{LABEL} IS NOT NULL AND {there}")
-    fit = boosting_sql.boosting("train_rows", _numeric(variant), folds, len(ALL_SITES), SQL_BOOST)
+    fit = boosting_sql.boosting("train_rows", _numeric(variant), folds, SQL_BOOST)
     return [rows, *fit]
 
 
 def _fold_scores(columns: str) -> str:
     return f"""SELECT {columns} FROM (SELECT fold, count(*) AS rows,
   sqrt(avg((label - margin) * (label - margin))) AS rmse, avg((label - margin) * (label - margin)) AS mse,
-  avg(abs(label - margin)) AS mae, 1 - avg((label - margin) * (label - margin)) / var_pop(label) AS r2
+  avg(abs(label - margin)) AS mae,
+  1 - avg((label - margin) * (label - margin)) / nullif(var_pop(label), 0) AS r2
   FROM m JOIN fitted g ON m.id = g.id AND m.fold = g.model GROUP BY fold)"""
 
 

@@ -16,6 +16,7 @@ not depend on how the rows are partitioned or in what order they are read.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import random
@@ -308,6 +309,15 @@ class Tree:
             at = np.where(inner, 2 * at + right, at)
 
 
+def drawn_columns(params: BoostParams, fold: int | None, tree: int, total: int) -> list[int]:
+    """The columns of one tree: the share with the least digests of seed, fold, tree and column."""
+    count = max(1, int(params.colsample * total)) if total else 0
+    if count == total:
+        return list(range(total))
+    digest = {c: hashlib.md5(f"{params.seed}|{fold}|{tree}|{c}".encode()).digest() for c in range(total)}
+    return sorted(sorted(digest, key=digest.get)[:count])
+
+
 @dataclass
 class Growing:
     """One model while it grows."""
@@ -329,7 +339,7 @@ class Growing:
         multiplier, offset = rng.randrange(1, PRIME), rng.randrange(PRIME)
         limit = PRIME if self.params.subsample >= 1 else int(self.params.subsample * PRIME)
         total = columns + categories
-        drawn = sorted(rng.sample(range(total), max(1, int(self.params.colsample * total)))) if total else []
+        drawn = drawn_columns(self.params, self.fold, len(self.trees), total)
         numeric = [c for c in drawn if c < columns]
         allowed = None
         if len(drawn) < total:
@@ -605,8 +615,9 @@ class Trainer:
         for row in rows:
             if row["node"] == 0:
                 best = row["best"]
-                error = best["g"] / self.data.square_scale / best["n"] if best["n"] else math.inf
-                self.models[row["model"]].errors.append(error)
+                # A fold without rows judges nothing: its model grows all rounds.
+                if best["n"]:
+                    self.models[row["model"]].errors.append(best["g"] / self.data.square_scale / best["n"])
 
     def _going(self, model: Growing) -> bool:
         if len(model.trees) >= model.params.rounds:

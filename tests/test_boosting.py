@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 
@@ -31,7 +32,8 @@ def brute_fit(x, site, categories, y, fold, draw, params, held, data):
         a, b = rng.randrange(1, boosting.PRIME), rng.randrange(boosting.PRIME)
         limit = boosting.PRIME if params.subsample >= 1 else int(params.subsample * boosting.PRIME)
         total = width + categories
-        drawn = sorted(rng.sample(range(total), max(1, int(params.colsample * total))))
+        digest = [(hashlib.md5(f"{params.seed}|{held}|{t}|{c}".encode()).hexdigest(), c) for c in range(total)]
+        drawn = sorted(c for _, c in sorted(digest)[: max(1, int(params.colsample * total))])
         used = train & ((draw * a + b) % boosting.PRIME < limit)
         g = np.rint((margin - y) * scale).astype(np.int64)
         at, nodes, frontier = np.ones(size, int), {}, [1]
