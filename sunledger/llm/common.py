@@ -59,6 +59,15 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return content, at.astype(np.int64)
 
 
+def is_text(column: pa.Array) -> bool:
+    return pa.types.is_string(column.type) or pa.types.is_large_string(column.type)
+
+
+def release_memory() -> None:
+    """Give freed Arrow buffers back to the system; Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def slices(offsets: np.ndarray, limit: int = 0) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes, or of one row."""
     low, count = 0, len(offsets) - 1
@@ -191,9 +200,14 @@ def labelled_ids(labels: DataFrame, size: int):
 
 
 def of_ids(docs: DataFrame, chosen) -> DataFrame:
-    """(doc_id, text) of the rows of a bounded sample from ``labelled_ids``."""
+    """(doc_id, text) of a bounded sample from ``labelled_ids``, a row per doc_id.
+
+    Of several texts of a doc_id the one with the least digest, however the rows are dealt.
+    """
     ids = docs.sparkSession.createDataFrame(chosen[["doc_id"]], "doc_id long")
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
+    least = F.min(F.struct(F.md5(F.coalesce("text", F.lit(""))), F.col("text").alias("text"))).alias("least")
+    return found.groupBy("doc_id").agg(least).select("doc_id", "least.text")
 
 
 def free_shuffles(spark: SparkSession) -> None:

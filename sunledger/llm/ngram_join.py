@@ -53,7 +53,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from sunledger.llm import common
-from sunledger.session import materialise
+from sunledger.session import materialise, new_shared_path, table_scope
 
 #: Coordinates of a point.
 GROUPS = 128
@@ -312,6 +312,7 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield cut(rest, True)[0]
 
 
+_PAIR = "a long, b long, la long, lb long, least long"
 _PACKED = ("sids", "leaves", "sizes", "points", "firsts")
 
 
@@ -360,6 +361,7 @@ def _opened(percent: int):
                     yield rows(found)
                     found, held = found[:1], 0
             yield rows(found)
+            common.release_memory()
 
     def rows(found):
         arrays = [pa.array(x) for x in np.concatenate(found, axis=1)]
@@ -424,7 +426,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int, label: str) -> DataF
 
 
 def _shingle_rows(width: int):
-    """(sid, shingles) of the rows whose set is the one asked for."""
+    """(sid, shingles, several) of the rows (sid, text, several) whose set is the one asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -435,8 +437,9 @@ def _shingle_rows(width: int):
                     [
                         pa.array([int(want[i]) for i in good], pa.int64()),
                         pa.array([sets[i].tobytes() for i in good], pa.binary()),
+                        batch.column(2).slice(low, len(sets)).take(pa.array(good, pa.int64())),
                     ],
-                    ["sid", "shingles"],
+                    ["sid", "shingles", "several"],
                 )
 
     return run
@@ -500,14 +503,17 @@ def _indexed(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, ...]
     other = F.min_by("hub", F.xxhash64("hub", "sid"))
     picked = F.array_distinct(F.array(F.min("hub"), F.max("hub"), other))
     hubs = materialise(shared.groupBy("sid").agg(F.explode(picked).alias("hub")), "hubs")
-    wanted = hubs.select("sid").distinct().join(points.select("sid", "doc_id"), "sid")
-    sets = materialise(
+    # Sets go by their smallest doc_id, so only a doc_id with several rows can give one twice.
+    counted = described.where("doc_id is not null").groupBy("doc_id").agg((F.count("*") > 1).alias("several"))
+    wanted = hubs.select("sid").distinct().join(points.select("sid", "doc_id"), "sid").join(counted, "doc_id")
+    found = materialise(
         texts.join(wanted, "doc_id")
-        .select("sid", "text")
-        .mapInArrow(_shingle_rows(width), "sid long, shingles binary")
-        .dropDuplicates(["sid"]),
+        .select("sid", "text", "several")
+        .mapInArrow(_shingle_rows(width), "sid long, shingles binary, several boolean"),
         "shingles",
     )
+    once = materialise(found.where("several").dropDuplicates(["sid"]), "shingles-once")
+    sets = found.where("not several").unionByName(once).select("sid", "shingles")
     common.free_shuffles(spark)
     return described, points, shared, hubs, sets
 
@@ -617,27 +623,33 @@ def _open_leaves(shared: DataFrame, leaves: DataFrame) -> DataFrame:
 
 def _pairs(members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets of different leaves that the boxes of nodes and the points allow."""
+    spark = members.sparkSession
+    path = new_shared_path(spark, "near-pairs")
     # A set has as many cells as its band has blocks.
     listed = F.concat(F.sort_array(F.collect_list("cell")), F.array_repeat(F.lit(_NO_CELL), FIRST_CELLS))
     firsts = members.groupBy("sid").agg(F.slice(listed, 1, FIRST_CELLS).alias("firsts"))
-    nodes = materialise(
-        members.join(points.select("sid", "n", "point").join(firsts, "sid"), "sid")
-        .select("cell", "leaf", "sid", "n", "point", "firsts")
-        .repartition("cell", F.pmod("leaf", F.lit(_PACKERS)))
-        .sortWithinPartitions("cell", "leaf", "sid")
-        .mapInArrow(_nodes, _NODE),
-        "nodes",
-    )
-    common.free_shuffles(members.sparkSession)
-    x, y = nodes.alias("x"), nodes.alias("y")
-    one_leaf = (F.col("x.low") == F.col("y.high")) & (F.col("x.high") == F.col("y.low"))
-    near = (100 * F.col("x.most") >= percent * F.col("y.least")) & (100 * F.col("y.most") >= percent * F.col("x.least"))
-    met = x.join(
-        y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.node") <= F.col("y.node")) & near & ~one_leaf
-    )
-    packed = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in _PACKED]
-    opened = met.select((F.col("x.node") == F.col("y.node")).alias("same"), F.col("x.cell").alias("cell"), *packed)
-    return materialise(opened.mapInArrow(_opened(percent), "a long, b long, la long, lb long, least long").distinct(), "near-pairs")
+    # The nodes are the largest table; they go when their pairs are written.
+    with table_scope(spark):
+        nodes = materialise(
+            members.join(points.select("sid", "n", "point").join(firsts, "sid"), "sid")
+            .select("cell", "leaf", "sid", "n", "point", "firsts")
+            .repartition("cell", F.pmod("leaf", F.lit(_PACKERS)))
+            .sortWithinPartitions("cell", "leaf", "sid")
+            .mapInArrow(_nodes, _NODE),
+            "nodes",
+        )
+        common.free_shuffles(spark)
+        x, y = nodes.alias("x"), nodes.alias("y")
+        one_leaf = (F.col("x.low") == F.col("y.high")) & (F.col("x.high") == F.col("y.low"))
+        near = (100 * F.col("x.most") >= percent * F.col("y.least")) & (100 * F.col("y.most") >= percent * F.col("x.least"))
+        met = x.join(
+            y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.node") <= F.col("y.node")) & near & ~one_leaf
+        )
+        packed = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in _PACKED]
+        opened = met.select((F.col("x.node") == F.col("y.node")).alias("same"), F.col("x.cell").alias("cell"), *packed)
+        opened.mapInArrow(_opened(percent), _PAIR).distinct().write.parquet(path)
+    common.free_shuffles(spark)
+    return spark.read.schema(_PAIR).parquet(path)
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -645,14 +657,14 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _row_sets(width: int):
-    """Rows with their set id behind the text, which is the last column."""
+    """Rows (row, key, sid) of rows (row, key, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, sets in _sets(batch.column(batch.num_columns - 1), width):
+            for low, sets in _sets(batch.column(2), width):
                 ids = pa.array([int(set_id(s).view(np.int64)) if len(s) else None for s in sets], pa.int64())
                 rows = batch.slice(low, len(sets))
-                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], ids], [*rows.schema.names[:-1], "_sid"])
+                yield pa.RecordBatch.from_arrays([*rows.columns[:2], ids], ["row", "key", "sid"])
 
     return run
 
@@ -661,31 +673,42 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each group of texts that links connect.
 
     The row with the smallest doc_id stays, of several the one with the smallest set id, then
-    text. A doc_id with texts of several groups can keep a row for each. Rows without a
-    doc_id link with nothing and stay; so does a row for each doc_id with an empty text.
+    text, then the other columns as JSON. A doc_id with texts of several groups can keep a row
+    for each. Rows without a doc_id link with nothing and stay; so does a row for each doc_id
+    with an empty text. The tables written on the way are deleted before the rows are read.
     """
-    described, _, links = _spanning(docs, width, percent)
-    rows = described.where("doc_id is not null").select("doc_id", "sid")
-    group = F.coalesce("component", "sid")
-    first = F.min(F.struct("doc_id", "sid")).alias("first")
-    led = rows.where("sid is not null").join(components(links), "sid", "left").groupBy(group).agg(first)
-    kept = materialise(led.select("first.*").union(rows.where("sid is null").distinct()), "kept")
-    # Only a doc_id with several texts needs the sets of its rows again.
-    mixed = (F.min("sid") < F.max("sid")) | ((F.count("sid") > 0) & (F.count("sid") < F.count("*")))
-    several = materialise(rows.groupBy("doc_id").agg(mixed.alias("mixed")).where("mixed").select("doc_id"), "several")
-
-    def chosen(rows, *keys):
-        least = F.min_by(F.struct(*docs.columns), F.struct("text", F.xxhash64(*docs.columns)))
-        return rows.groupBy(*keys).agg(least.alias("_row")).select("_row.*")
-
-    plain = docs.join(kept.join(several, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_semi")
-    known = StructType([*docs.schema.fields, StructField("_sid", LongType())])
-    odd = docs.join(several, "doc_id", "left_semi").withColumn("_text", F.col("text").cast("string"))
-    odd = odd.select(*docs.columns, "_text").mapInArrow(_row_sets(width), known)
-    wanted = kept.join(several, "doc_id", "left_semi").toDF("_kept", "_kept_sid")
-    of_kept = (F.col("doc_id") == F.col("_kept")) & F.col("_sid").eqNullSafe(F.col("_kept_sid"))
-    odd = chosen(odd.join(wanted, of_kept, "left_semi"), "doc_id", "_sid")
-    return docs.where("doc_id is null").unionByName(chosen(plain, "doc_id")).unionByName(odd).select(*docs.columns)
+    spark = docs.sparkSession
+    # Outside the scope: what the rows are chosen by, a few numbers per kept document.
+    paths = [new_shared_path(spark, label) for label in ("kept", "several")]
+    with table_scope(spark):
+        described, _, links = _spanning(docs, width, percent)
+        rows = described.where("doc_id is not null").select("doc_id", "sid")
+        group = F.coalesce("component", "sid")
+        first = F.min(F.struct("doc_id", "sid")).alias("first")
+        led = rows.where("sid is not null").join(components(links), "sid", "left").groupBy(group).agg(first)
+        found = led.select("first.*").union(rows.where("sid is null").distinct())
+        repeated = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+        for table, path in zip((found, repeated), paths, strict=True):
+            table.write.parquet(path)
+    common.free_shuffles(spark)
+    kept = spark.read.schema("doc_id long, sid long").parquet(paths[0])
+    several = spark.read.schema("doc_id long").parquet(paths[1])
+
+    # A doc_id with one row needs its number alone; only rows of the others are compared.
+    alone = kept.join(several, "doc_id", "left_anti")
+    plain = docs.join(alone, docs["doc_id"] == alone["doc_id"], "left_semi")
+    row = F.struct(*[docs[c] for c in docs.columns])
+    packed = docs.join(several, docs["doc_id"] == several["doc_id"], "left_semi").select(
+        row.alias("row"), docs["doc_id"].cast("long").alias("key"), docs["text"].cast("string").alias("text")
+    )
+    kind = packed.schema["row"].dataType
+    schema = StructType([StructField("row", kind), StructField("key", LongType()), StructField("sid", LongType())])
+    sets = packed.mapInArrow(_row_sets(width), schema)
+    of_kept = (sets["key"] == kept["doc_id"]) & sets["sid"].eqNullSafe(kept["sid"])
+    order = F.struct(F.col("row")["text"], F.to_json("row"))
+    odd = sets.join(kept, of_kept, "left_semi").groupBy("key", "sid").agg(F.min_by("row", order).alias("row"))
+    chosen = odd.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return docs.where(docs["doc_id"].isNull()).unionByName(plain).unionByName(chosen)
 
 
 ORACLE = """

@@ -286,7 +286,7 @@ def _add_pairs(model: Model, bins: np.ndarray, sizes: list[int], y: np.ndarray)
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model | None:
     chosen = common.labelled_ids(labels, size)
     sample = common.of_ids(docs, chosen).mapInArrow(_feature_rows, "doc_id long, x array<double>")
-    rows = sample.dropDuplicates(["doc_id"]).toPandas().merge(chosen, on="doc_id").sort_values("doc_id")
+    rows = sample.toPandas().merge(chosen, on="doc_id").sort_values("doc_id")
     if rows["quality"].nunique() < 2:
         return None
     return train(np.stack(rows["x"].to_numpy()), rows["quality"].to_numpy(float))
@@ -325,10 +325,23 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _accepted_rows(model: Model, least: float, at: int):
+    """Rows whose text, the column ``at``, scores at least ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at)
+            texts = texts if common.is_text(texts) else texts.cast(pa.string())
+            for low, data, offsets in common.text_slices(texts, lower=False):
+                good = model.score(features(data, offsets)) >= least
+                yield batch.slice(low, len(good)).filter(pa.array(good))
+            common.release_memory()
+
+    return run
+
+
 def accepted(docs: DataFrame, model: Model | None, least: float = ACCEPT) -> DataFrame:
     """The rows of ``docs`` that score at least ``least``, in one pass without a shuffle."""
-    whole = F.struct(*[F.col(c) for c in docs.columns])
-    rows = docs.select(whole.alias("row"), "text")
     if model is None:
         return docs
-    return scores(rows, model, key="row").where(F.col("score") >= least).select("row.*")
+    return docs.mapInArrow(_accepted_rows(model, least, docs.columns.index("text")), docs.schema)

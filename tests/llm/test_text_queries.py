@@ -588,3 +588,71 @@ def test_pipeline_against_brute_force(spark):
         before = spark.createDataFrame([tuple(r) for r in new.values()], docs.schema)
     last = corpus_pipeline.STAGES[-1][1](spark, before, SF_DIR)
     assert last.count() == before.count() == corpus_pipeline.run(spark, SF_DIR).count()
+
+
+def test_keep_one_with_any_other_columns(spark):
+    """Columns named like the inner ones, a map, and a doc_id with one text in several rows."""
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(5, text, 1, {"a": 1}), (5, text, 2, {"a": 2}), (9, text + " x", 3, None), (None, text, 4, {}), (7, None, 5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _sid int, row map<string,int>")
+    docs = docs.withColumns({c: F.lit(1) for c in ("_kept", "sid", "key", "kept")})
+    got = ngram_join.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id is None, r.doc_id, r._sid) for r in got.collect()) == [(False, 5, 1), (False, 7, 5), (True, None, 4)]
+
+
+def test_pairs_leave_the_tasks_about_once(spark, monkeypatch):
+    """Alike sets share most of their cells, and meet in the least of them."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    common_words = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(60):
+        r = random.Random(i)
+        words = list(common_words)
+        for _ in range(25):
+            words[r.randrange(300)] = f"x{i}.{r.random()}"
+        rows.append((i, " ".join(words)))
+    counts, distinct = [], DataFrame.distinct
+
+    def noted(frame):
+        if frame.columns == ["a", "b", "la", "lb", "least"]:
+            counts.append((frame.count(), distinct(frame).count()))
+        return distinct(frame)
+
+    monkeypatch.setattr(DataFrame, "distinct", noted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    members, links = ngram_join.similarity_join(docs, 4, 50)
+    raw, different = counts[0]
+    assert different <= raw <= 2 * different
+    sets = dict(shingle_sets(rows, 4))
+    want = {(a, b) for a in sets for b in sets if a < b and 2 * len(sets[a] & sets[b]) >= len(sets[a] | sets[b])}
+    assert {tuple(sorted((r.left_id, r.right_id))) for r in links.collect()} == want
+
+
+def test_clean_keeps_columns_of_any_name(spark):
+    words = " ".join(f"q{i}" for i in range(20))
+    docs = spark.createDataFrame(
+        [(1, words, "mine"), (2, "other text", "too"), (3, None, None)], "doc_id long, text string, _text_digest string"
+    ).withColumn("uid", F.lit(7))
+    benchmark = spark.createDataFrame([(1, words)], "item_id long, text string")
+    got = sorted(tuple(r) for r in decontaminate.clean(docs, benchmark).collect())
+    assert got == [(2, "other text", "too", 7), (3, None, None, 7)]
+
+
+def test_fits_do_not_depend_on_partitioning(spark):
+    """Several texts of one doc_id: every partitioning learns from the same one."""
+    r = random.Random(8)
+
+    def text(good):
+        words = [r.choice(("the", "report", "shows", "that", "a", "b")) for _ in range(r.randint(60, 90))]
+        return " ".join(words) + ("." if good else " $$$ ### !!!" * 12)
+
+    rows = [(i, text(i % 2)) for i in range(120) for _ in range(3)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int")
+    fits = []
+    for parts in (1, 3, 7):
+        docs = spark.createDataFrame(r.sample(rows, len(rows)), "doc_id long, text string").repartition(parts)
+        model = quality_gam.fit(docs, labels)
+        fits.append((model.intercept, [t.tolist() for t in model.tables], quality_rules.fit(docs, labels)))
+    assert fits[0] == fits[1] == fits[2]
