@@ -24,7 +24,14 @@ Levels of the tree, from the root:
    a point carries its least cells, and a pair that these show to meet in a lesser cell too
    is left to that cell, so a pair leaves the tasks about once and not once per cell.
 
-Surviving pairs are verified on the shingles themselves. For components (``join``) every pair
+For components the last level runs in rounds: a task passes on two pairs of each leaf, the
+likeliest and the one with the least leaf in the round's order, and those that link make one
+leaf of theirs. So the sets of a group that hangs together leave as pairs of leaves and not as
+all their pairs. Cells in which no pair was found are left out of the next round. When a round
+joins few leaves, every pair of different leaves that remains leaves the tasks and is verified.
+
+Pairs are verified on the shingles themselves, which are made anew from the texts of the sets
+in question and go when their pairs are decided. For components (``join``) every pair
 of different sets that reaches the threshold is verified or already joined by links, so no
 component is lost; most links inside a group are not looked at. ``similarity_join`` returns
 all links: in its cells every set is a leaf of its own, so every pair of different sets that
@@ -44,6 +51,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 from math import ceil, exp, sqrt
 
 import numpy as np
@@ -66,6 +74,8 @@ _NO_CELL = (1 << 63) - 1
 _CHUNK = 1 << 12
 #: Pairs of sets that a task holds before it passes them on.
 _HELD = 1 << 18
+#: Rounds go on while they join at least one in so many of the leaves that have pairs.
+_WORTH = 32
 #: Tasks that pack the leaves of one cell side by side.
 _PACKERS = 16
 
@@ -313,6 +323,7 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _PAIR = "a long, b long, la long, lb long, least long"
+_PICK = f"{_PAIR}, cell long"
 _PACKED = ("sids", "leaves", "sizes", "points", "firsts")
 
 
@@ -326,15 +337,34 @@ def _met_before(cell: int, firsts: np.ndarray, others: np.ndarray) -> np.ndarray
     return out
 
 
-def _opened(percent: int):
+def _picked(found: np.ndarray, round_: int) -> np.ndarray:
+    """Of pairs (columns of ``_PICK``): each leaf's likeliest one, its one with the least leaf in
+    the round's order, and one of each cell."""
+    _, _, la, lb, least, cell = found
+    leaf, other = np.concatenate([la, lb]), _in_round(np.concatenate([lb, la]), round_)
+    least = np.concatenate([least, least])
+    keep = [np.unique(cell, return_index=True)[1]]
+    for order in (np.lexsort((other, -least, leaf)), np.lexsort((-least, other, leaf))):
+        keep.append(order[_begins(leaf[order])] % len(la))
+    return found[:, np.unique(np.concatenate(keep))]
+
+
+def _in_round(leaves: np.ndarray, round_: int) -> np.ndarray:
+    return common.mix(leaves.view(np.uint64) ^ common.salt(32 + round_))
+
+
+def _opened(percent: int, round_: int | None = None):
     """Of pairs of nodes: the pairs of sets of different leaves that boxes and points allow,
-    with their leaves (the smaller first) and the bound on what they share."""
+    with their leaves (the smaller first) and the bound on what they share.
+
+    In a round, what ``_picked`` keeps of a task's pairs, with their cells.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [np.zeros((6, 0), np.int64)], 0
         for batch in batches:
             same, cell = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
             raw = [batch.column(i) for i in range(2, 12)]
-            found, held = [np.zeros((5, 0), np.int64)], 0
             for i in range(batch.num_rows):
                 parts = [np.frombuffer(c[i].as_buffer(), np.uint8) for c in raw]
                 sids, leaves, n, others, other_leaves, m = (parts[j].view(np.int64) for j in (0, 1, 2, 5, 6, 7))
@@ -352,20 +382,29 @@ def _opened(percent: int):
                 firsts, theirs = (parts[j].view(np.int64).reshape(-1, FIRST_CELLS) for j in (4, 9))
                 new = ~_met_before(cell[i], firsts[a], theirs[b])
                 a, b = a[new], b[new]
-                ends = np.stack([sids[a], others[b], leaves[a], other_leaves[b], least[a, b]])
+                where = np.full(len(a), cell[i])
+                ends = np.stack([sids[a], others[b], leaves[a], other_leaves[b], least[a, b], where])
                 swap = ends[2] > ends[3]
                 ends[:4, swap] = ends[[1, 0, 3, 2]][:, swap]
                 found.append(ends)
                 held += len(a)
-                if held > _HELD:
+                if held <= _HELD:
+                    continue
+                if round_ is not None:
+                    found[1:] = [_picked(np.concatenate(found, axis=1), round_)]
+                    held = found[1].shape[1]
+                if round_ is None or 2 * held > _HELD:
                     yield rows(found)
                     found, held = found[:1], 0
-            yield rows(found)
             common.release_memory()
+        yield rows(found)
 
     def rows(found):
-        arrays = [pa.array(x) for x in np.concatenate(found, axis=1)]
-        return pa.RecordBatch.from_arrays(arrays, ["a", "b", "la", "lb", "least"])
+        pairs = np.concatenate(found, axis=1)
+        if round_ is not None and pairs.shape[1]:
+            pairs = _picked(pairs, round_)
+        names = [field.split()[0] for field in (_PAIR if round_ is None else _PICK).split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in pairs[: len(names)]], names)
 
     return run
 
@@ -413,16 +452,33 @@ def _verify(percent: int, stars: bool = True):
     return run
 
 
-def _with_shingles(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _with_shingles(pairs: DataFrame, texts: DataFrame, points: DataFrame, width: int) -> DataFrame:
+    """Pairs (a, b) with the shingles of both, which are made for the sets of the pairs alone."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    found = materialise(
+        texts.join(wanted.join(points.select("sid", "doc_id", "several"), "sid"), "doc_id")
+        .select("sid", "text", "several")
+        .mapInArrow(_shingle_rows(width), "sid long, shingles binary, several boolean"),
+        "shingles",
+    )
+    # Sets go by their smallest doc_id, so only a doc_id with several rows can give one twice.
+    once = materialise(found.where("several").dropDuplicates(["sid"]), "shingles-once")
+    sets = found.where("not several").unionByName(once).select("sid", "shingles")
     left = sets.select(F.col("sid").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("sid").alias("b"), F.col("shingles").alias("right"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int, label: str) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, points: DataFrame, width: int, percent: int, label: str) -> DataFrame:
     """Links (a, b) with the components of the pairs that reach the threshold."""
-    both = _with_shingles(pairs, sets)
-    return materialise(both.mapInArrow(_verify(percent), "a long, b long"), label)
+    spark = pairs.sparkSession
+    path = new_shared_path(spark, label)
+    # The shingles go when the pairs are verified.
+    with table_scope(spark):
+        both = _with_shingles(materialise(pairs.select("a", "b"), "candidates"), texts, points, width)
+        both.mapInArrow(_verify(percent), "a long, b long").write.parquet(path)
+    common.free_shuffles(spark)
+    return spark.read.schema("a long, b long").parquet(path)
 
 
 def _shingle_rows(width: int):
@@ -474,17 +530,18 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _indexed(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, ...]:
-    """The rows with their sets, the points, the shared cells, the hubs, and the shingles of
-    sets that share a cell."""
+    """The texts, the rows with their sets, the points, the shared cells, and the hubs."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     described = materialise(
         texts.mapInArrow(_describe(width), "doc_id long, n long, sid long, point binary"), "sets"
     )
+    counted = described.where("doc_id is not null").groupBy("doc_id").agg((F.count("*") > 1).alias("several"))
     points = materialise(
         described.where("sid is not null and doc_id is not null")
         .groupBy("sid")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("point").alias("point")),
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("point").alias("point"))
+        .join(counted, "doc_id"),
         "points",
     )
 
@@ -503,19 +560,8 @@ def _indexed(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, ...]
     other = F.min_by("hub", F.xxhash64("hub", "sid"))
     picked = F.array_distinct(F.array(F.min("hub"), F.max("hub"), other))
     hubs = materialise(shared.groupBy("sid").agg(F.explode(picked).alias("hub")), "hubs")
-    # Sets go by their smallest doc_id, so only a doc_id with several rows can give one twice.
-    counted = described.where("doc_id is not null").groupBy("doc_id").agg((F.count("*") > 1).alias("several"))
-    wanted = hubs.select("sid").distinct().join(points.select("sid", "doc_id"), "sid").join(counted, "doc_id")
-    found = materialise(
-        texts.join(wanted, "doc_id")
-        .select("sid", "text", "several")
-        .mapInArrow(_shingle_rows(width), "sid long, shingles binary, several boolean"),
-        "shingles",
-    )
-    once = materialise(found.where("several").dropDuplicates(["sid"]), "shingles-once")
-    sets = found.where("not several").unionByName(once).select("sid", "shingles")
     common.free_shuffles(spark)
-    return described, points, shared, hubs, sets
+    return texts, described, points, shared, hubs
 
 
 def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -526,7 +572,7 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
 def _spanning(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The rows with their sets, the points, and links (a, b) that span every component."""
-    described, points, shared, hubs, sets = _indexed(docs, width, percent)
+    texts, described, points, shared, hubs = _indexed(docs, width, percent)
     first = (
         hubs.where("hub <> sid")
         .join(points.select("sid", F.col("point").alias("p"), "n"), "sid")
@@ -534,28 +580,40 @@ def _spanning(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Dat
         .select(F.col("sid").alias("a"), F.col("hub").alias("b"), "p", "q", "n", "m")
         .mapInArrow(_near(percent), "a long, b long")
     )
-    links = _links(first, sets, percent, "hub-links")
-    leaves = components(links)
-
-    # Only pairs of different leaves are met: the links inside a leaf join nothing new.
-    second = _pairs(_open_leaves(shared, leaves), points, percent)
-    # The likeliest pair of two leaves comes first: if it links them, or others do, the
-    # other pairs of these leaves add nothing. All that remain are verified.
-    likely = materialise(
-        second.groupBy("la", "lb").agg(F.max_by(F.struct("a", "b"), F.struct("least", "a", "b")).alias("p")),
-        "likely-pairs",
-    )
-    links = links.union(_links(likely.select("p.a", "p.b"), sets, percent, "leaf-links"))
-    joined = components(links)
-    merged = (
-        likely.select("la", "lb")
-        .join(joined.select(F.col("sid").alias("la"), F.col("component").alias("x")), "la")
-        .join(joined.select(F.col("sid").alias("lb"), F.col("component").alias("y")), "lb")
-        .where("x = y")
-        .select("la", "lb")
+    links = _links(first, texts, points, width, percent, "hub-links")
+
+    # Only pairs of different leaves are met: the links inside a leaf join nothing new. In a
+    # round each leaf tries two of its pairs, and those that link make one leaf; cells without
+    # a pair are left. When a round joins few leaves, all pairs that remain are verified.
+    members, going = shared, True
+    for round_ in count():
+        members = _open_leaves(members, components(links))
+        if not going:
+            break
+        picked = _pairs(members, points, percent, round_)
+        leaves = picked.select(F.explode(F.array("la", "lb"))).distinct().count()
+        if not leaves:
+            return described, points, links
+        members = members.join(picked.select("cell").distinct(), "cell", "left_semi")
+        new = _links(_tried(picked, round_), texts, points, width, percent, "leaf-links")
+        links = links.union(new)
+        going = _WORTH * new.count() >= leaves
+    rest = _pairs(members, points, percent)
+    return described, points, links.union(_links(rest, texts, points, width, percent, "rest-links"))
+
+
+def _tried(picked: DataFrame, round_: int) -> DataFrame:
+    """Of the tasks' picks: each leaf's likeliest pair, and its pair with the least leaf."""
+    sides = picked.select("a", "b", "least", F.inline(F.array(*(
+        F.struct(F.col(leaf).alias("leaf"), F.xxhash64(other, F.lit(round_)).alias("other"))
+        for leaf, other in (("la", "lb"), ("lb", "la"))
+    ))))
+    pair = F.struct("a", "b")
+    chosen = sides.groupBy("leaf").agg(
+        F.max_by(pair, F.struct("least", "other", "a", "b")).alias("likely"),
+        F.min_by(pair, F.struct("other", -F.col("least"), "a", "b")).alias("first"),
     )
-    rest = second.join(merged, ["la", "lb"], "left_anti").select("a", "b")
-    return described, points, links.union(_links(rest, sets, percent, "rest-links"))
+    return chosen.select(F.inline(F.array("likely", "first"))).distinct()
 
 
 def _same_name(points: DataFrame) -> DataFrame:
@@ -572,11 +630,11 @@ def similarity_join(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple
     either (n_either). n_links of a row counts the links of its set. Rows of equal sets are
     found by set_id.
     """
-    described, points, shared, _, sets = _indexed(docs, width, percent)
+    texts, described, points, shared, _ = _indexed(docs, width, percent)
     members = shared.select("cell", F.col("sid").alias("leaf"), "sid").distinct()
     pairs = _pairs(members, points, percent).select("a", "b")
     verified = _verify(percent, stars=False)
-    both = _with_shingles(pairs, sets).mapInArrow(verified, "a long, b long, n_common long, n_either long")
+    both = _with_shingles(pairs, texts, points, width).mapInArrow(verified, "a long, b long, n_common long, n_either long")
     links = materialise(both, "links")
     ends = links.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("n_links"))
     rows = _named(described, components(links.select("a", "b").union(_same_name(points)))).join(ends, "sid", "left")
@@ -621,8 +679,9 @@ def _open_leaves(shared: DataFrame, leaves: DataFrame) -> DataFrame:
     return materialise(members.join(several, "cell").distinct(), "open-cells")
 
 
-def _pairs(members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different leaves that the boxes of nodes and the points allow."""
+def _pairs(members: DataFrame, points: DataFrame, percent: int, round_: int | None = None) -> DataFrame:
+    """Pairs of sets of different leaves that the boxes of nodes and the points allow; in a
+    round, those that the tasks pick."""
     spark = members.sparkSession
     path = new_shared_path(spark, "near-pairs")
     # A set has as many cells as its band has blocks.
@@ -647,9 +706,12 @@ def _pairs(members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
         )
         packed = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in _PACKED]
         opened = met.select((F.col("x.node") == F.col("y.node")).alias("same"), F.col("x.cell").alias("cell"), *packed)
-        opened.mapInArrow(_opened(percent), _PAIR).distinct().write.parquet(path)
+        if round_ is None:
+            opened.mapInArrow(_opened(percent), _PAIR).distinct().write.parquet(path)
+        else:
+            opened.mapInArrow(_opened(percent, round_), _PICK).write.parquet(path)
     common.free_shuffles(spark)
-    return spark.read.schema(_PAIR).parquet(path)
+    return spark.read.schema(_PAIR if round_ is None else _PICK).parquet(path)
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -630,6 +630,61 @@ def test_pairs_leave_the_tasks_about_once(spark, monkeypatch):
     assert {tuple(sorted((r.left_id, r.right_id))) for r in links.collect()} == want
 
 
+def test_a_group_without_hubs_leaves_the_tasks_by_leaves(spark, monkeypatch):
+    """Copies that no hub joins: a few pairs of each leave the tasks, not all k (k - 1) / 2."""
+    count = 60
+    rows = []
+    for i in range(count):
+        words = [f"w{j}" for j in range(300)]
+        for at in random.Random(i).sample(range(300), 3):
+            words[at] = f"x{i}.{at}"
+        rows.append((i, " ".join(words)))
+    rows.append((count, " ".join(f"y{j}" for j in range(300))))
+    made, pairs = [], ngram_join._pairs
+
+    def none_near(percent):
+        def run(batches):
+            for batch in batches:
+                yield batch.select([0, 1]).slice(0, 0).rename_columns(["a", "b"])
+
+        return run
+
+    def noted(*given):
+        found = pairs(*given)
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(ngram_join, "_near", none_near)
+    monkeypatch.setattr(ngram_join, "_pairs", noted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in ngram_join.join(docs, 4, 85).collect()}
+    assert got == {k: c for k, (_, c) in brute_components(rows, 4, 85).items()}
+    assert set(got.values()) == {0, count}
+    assert 0 < sum(made) <= 10 * count
+
+
+def test_shingles_are_made_for_the_sets_of_pairs_alone(spark, monkeypatch):
+    """Short texts that share a cell by their empty blocks, but no words, have no shingles stored."""
+    rows = [(i, " ".join(f"{i}.{j}" for j in range(9 + i % 3))) for i in range(300)]
+    rows += [(1000 + i, " ".join(f"{w}.{j}" for j in range(40)) + " x" * (i % 2)) for i in range(20) for w in (i // 2,)]
+    stored, sets = {}, ngram_join.materialise
+
+    def noted(frame, label):
+        out = sets(frame, label)
+        stored.setdefault(label, []).append(out)
+        if label in ("shingles", "candidates"):
+            stored[label][-1] = out.select("sid" if label == "shingles" else F.explode(F.array("a", "b"))).distinct().count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialise", noted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in ngram_join.join(docs, 4, 85).collect()}
+    assert got == {k: c for k, (_, c) in brute_components(rows, 4, 85).items()}
+    assert len(set(got.values())) == 310
+    assert stored["shingles"] == stored["candidates"]
+    assert max(stored["shingles"]) < 100
+
+
 def test_clean_keeps_columns_of_any_name(spark):
     words = " ".join(f"q{i}" for i in range(20))
     docs = spark.createDataFrame(
