@@ -121,6 +121,21 @@ def test_train_save_replay_and_score(spark, table, tmp_path):
     assert more.where(F.col(LABEL).isNull()).count() == 0
 
 
+def test_replays_share_a_matrix(spark, table, tmp_path, monkeypatch):
+    matrix, names = training.prepare_matrix(table, "base", fold_count=2)
+    run = training.train(matrix, names, BoostParams(rounds=1, max_depth=1, max_bins=8), fold_ids=range(2))
+    path = str(tmp_path / "run")
+    training.save_run(run, path)
+    written, write = [], training.materialise
+    monkeypatch.setattr(training, "materialise", lambda df, label: written.append(label) or write(df, label))
+    shared = training.replay_matrix(table, "base", path)
+    wanted = sorted(map(tuple, run.fold_metrics.collect()))
+    for mode in ("retrain", "rescore"):
+        again = training.replay(table, "base", path, mode, matrix=shared)
+        assert sorted(map(tuple, again.fold_metrics.collect())) == wanted
+    assert written == ["replay", "oof", "oof"]
+
+
 def test_stored_predictions_give_the_metrics_in_sql(spark, table, tmp_path):
     import duckdb
 
