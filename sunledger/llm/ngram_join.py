@@ -29,9 +29,12 @@ likeliest and the one with the least leaf in the round's order, and those that l
 leaf of theirs. So the sets of a group that hangs together leave as pairs of leaves and not as
 all their pairs. Cells in which no pair was found are left out of the next round. When a round
 joins few leaves, every pair of different leaves that remains leaves the tasks and is verified.
+There the points are wide: a long set has coordinates in proportion to its size. With a fixed
+number of them the counts of all long sets are alike, and any two that share a cell would pass.
 
 Pairs are verified on the shingles themselves, which are made anew from the texts of the sets
-in question and go when their pairs are decided. For components (``join``) every pair
+in question and go when their pairs are decided. Pairs are verified in slices, so that what is
+shuffled at once is no more than the shingles of all sets. For components (``join``) every pair
 of different sets that reaches the threshold is verified or already joined by links, so no
 component is lost; most links inside a group are not looked at. ``similarity_join`` returns
 all links: in its cells every set is a leaf of its own, so every pair of different sets that
@@ -65,6 +68,8 @@ from sunledger.session import materialise, new_shared_path, table_scope
 
 #: Coordinates of a point.
 GROUPS = 128
+#: Shingles that a coordinate of a wide point stands for, at most.
+LOAD = 8
 #: Points of a node.
 NODE = 64
 #: Least cells that a point carries.
@@ -153,9 +158,26 @@ def _packed(points: np.ndarray) -> bytes:
     return points.astype(np.uint8 if points.max(initial=0) < 256 else np.int32).tobytes()
 
 
-def _unpacked(data: np.ndarray, count: int = 1) -> np.ndarray:
-    kind = np.uint8 if len(data) == count * GROUPS else np.int32
-    return data.view(kind).reshape(count, GROUPS).astype(np.int32)
+def _unpacked(data: np.ndarray, count: int = 1, groups: int = GROUPS) -> np.ndarray:
+    kind = np.uint8 if len(data) == count * groups else np.int32
+    return data.view(kind).reshape(count, groups).astype(np.int32)
+
+
+def _width(n: int) -> int:
+    """Coordinates of the wide point of a set of n shingles."""
+    return max(GROUPS, 1 << (-(-n // LOAD) - 1).bit_length())
+
+
+def _folded(points: np.ndarray, groups: int) -> np.ndarray:
+    """Points in fewer coordinates: a group is the low bits of a hash, fewer bits join groups."""
+    return points.reshape(len(points), -1, groups).sum(axis=1, dtype=np.int32)
+
+
+def _wide_points(points: np.ndarray, n: np.ndarray) -> bytes:
+    """The packed wide points of sets of n shingles, in the coordinates of the smallest set."""
+    groups = _width(int(n.min()))
+    rows = [_unpacked(np.frombuffer(p, np.uint8), 1, _width(int(m))) for p, m in zip(points, n, strict=True)]
+    return _packed(np.concatenate([_folded(row, groups) for row in rows]))
 
 
 def _points(column: pa.Array) -> np.ndarray:
@@ -167,7 +189,13 @@ def _points(column: pa.Array) -> np.ndarray:
 
 
 def _describe(width: int):
-    """Per row: doc_id, n, set id, and the point as counts."""
+    """Per row: doc_id, n, set id, the point as counts, and the wide point if it is another."""
+
+    def wide(own: np.ndarray) -> bytes | None:
+        groups = _width(len(own))
+        if groups == GROUPS:
+            return None
+        return _packed(np.bincount((own & np.uint64(groups - 1)).astype(np.int64), minlength=groups))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,8 +209,9 @@ def _describe(width: int):
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([int(set_id(s).view(np.int64)) if len(s) else None for s in sets], pa.int64()),
                         pa.array([_packed(point) for point in points], pa.binary()),
+                        pa.array([wide(s) for s in sets], pa.binary()),
                     ],
-                    ["doc_id", "n", "sid", "point"],
+                    ["doc_id", "n", "sid", "point", "wide"],
                 )
 
     return run
@@ -285,12 +314,11 @@ def _near(percent: int):
 _NODE = "cell long, node long, low long, high long, least long, most long, sids binary, leaves binary, sizes binary, points binary, firsts binary"
 
 
-def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _nodes(wide: bool):
     """Of rows (cell, leaf, sid, n, point, firsts) by cell and leaf: nodes of at most ``NODE`` points.
 
     Only the rows of an unfinished node are held back, so a hot cell streams through.
     """
-    rest = None
 
     def cut(columns, final):
         cell, leaf, sid, n, points, firsts = columns
@@ -304,22 +332,29 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at, done = slice(low, high), high
                 out.append(
                     (cell[low], sid[low], leaf[low], leaf[high - 1], n[at].min(), n[at].max(),
-                     sid[at].tobytes(), leaf[at].tobytes(), n[at].tobytes(), _packed(points[at]), firsts[at].tobytes())
+                     sid[at].tobytes(), leaf[at].tobytes(), n[at].tobytes(), _wide_points(points[at], n[at]) if wide else _packed(points[at]),
+                     firsts[at].tobytes())
                 )
         names = [field.split()[0] for field in _NODE.split(", ")]
         kinds = [pa.int64()] * 6 + [pa.binary()] * 5
         arrays = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)]
         return pa.RecordBatch.from_arrays(arrays, names), [c[done:] for c in columns]
 
-    for batch in batches:
-        firsts = batch.column(5).flatten().to_numpy().reshape(-1, FIRST_CELLS)
-        columns = [batch.column(i).to_numpy() for i in range(4)] + [_points(batch.column(4)), firsts]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            firsts = batch.column(5).flatten().to_numpy().reshape(-1, FIRST_CELLS)
+            # Wide points are of several lengths and stay packed until their node is cut.
+            points = batch.column(4).to_numpy(zero_copy_only=False) if wide else _points(batch.column(4))
+            columns = [batch.column(i).to_numpy() for i in range(4)] + [points, firsts]
+            if rest is not None:
+                columns = [np.concatenate(pair) for pair in zip(rest, columns, strict=True)]
+            nodes, rest = cut(columns, False)
+            yield nodes
         if rest is not None:
-            columns = [np.concatenate(pair) for pair in zip(rest, columns, strict=True)]
-        nodes, rest = cut(columns, False)
-        yield nodes
-    if rest is not None:
-        yield cut(rest, True)[0]
+            yield cut(rest, True)[0]
+
+    return run
 
 
 _PAIR = "a long, b long, la long, lb long, least long"
@@ -353,11 +388,21 @@ def _in_round(leaves: np.ndarray, round_: int) -> np.ndarray:
     return common.mix(leaves.view(np.uint64) ^ common.salt(32 + round_))
 
 
+def _shared_at_most(p: np.ndarray, q: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What the points p[a] and q[b] have in common, pair by pair."""
+    out = np.zeros(len(a), np.int64)
+    for low in range(0, len(a), NODE):
+        at = slice(low, low + NODE)
+        out[at] = np.minimum(p[a[at]], q[b[at]]).sum(axis=1)
+    return out
+
+
 def _opened(percent: int, round_: int | None = None):
     """Of pairs of nodes: the pairs of sets of different leaves that boxes and points allow,
     with their leaves (the smaller first) and the bound on what they share.
 
-    In a round, what ``_picked`` keeps of a task's pairs, with their cells.
+    In a round, what ``_picked`` keeps of a task's pairs, with their cells. Otherwise the
+    nodes hold wide points; these are compared where the first coordinates allow a link.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,7 +413,9 @@ def _opened(percent: int, round_: int | None = None):
             for i in range(batch.num_rows):
                 parts = [np.frombuffer(c[i].as_buffer(), np.uint8) for c in raw]
                 sids, leaves, n, others, other_leaves, m = (parts[j].view(np.int64) for j in (0, 1, 2, 5, 6, 7))
-                p, q = _unpacked(parts[3], len(n)), _unpacked(parts[8], len(m))
+                widths = [_width(int(x.min())) if round_ is None else GROUPS for x in (n, m)]
+                wide = [_unpacked(parts[j], len(x), w) for j, x, w in zip((3, 8), (n, m), widths, strict=True)]
+                p, q = (_folded(x, GROUPS) for x in wide)
                 box = np.minimum(p.max(axis=0), q.max(axis=0)).sum()
                 if not _allows(box, n.min(), m.min(), percent):
                     continue
@@ -382,6 +429,10 @@ def _opened(percent: int, round_: int | None = None):
                 firsts, theirs = (parts[j].view(np.int64).reshape(-1, FIRST_CELLS) for j in (4, 9))
                 new = ~_met_before(cell[i], firsts[a], theirs[b])
                 a, b = a[new], b[new]
+                if min(widths) > GROUPS:
+                    fine = _shared_at_most(*(_folded(x, min(widths)) for x in wide), a, b)
+                    good = _allows(fine, n[a], m[b], percent)
+                    a, b = a[good], b[good]
                 where = np.full(len(a), cell[i])
                 ends = np.stack([sids[a], others[b], leaves[a], other_leaves[b], least[a, b], where])
                 swap = ends[2] > ends[3]
@@ -452,8 +503,15 @@ def _verify(percent: int, stars: bool = True):
     return run
 
 
-def _with_shingles(pairs: DataFrame, texts: DataFrame, points: DataFrame, width: int) -> DataFrame:
-    """Pairs (a, b) with the shingles of both, which are made for the sets of the pairs alone."""
+def _with_shingles(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the shingles of both."""
+    left = sets.select(F.col("sid").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("sid").alias("b"), F.col("shingles").alias("right"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+
+
+def _sets_of(pairs: DataFrame, texts: DataFrame, points: DataFrame, width: int) -> DataFrame:
+    """(sid, shingles) of the sets of the pairs, made from their texts."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     found = materialise(
         texts.join(wanted.join(points.select("sid", "doc_id", "several"), "sid"), "doc_id")
@@ -463,22 +521,34 @@ def _with_shingles(pairs: DataFrame, texts: DataFrame, points: DataFrame, width:
     )
     # Sets go by their smallest doc_id, so only a doc_id with several rows can give one twice.
     once = materialise(found.where("several").dropDuplicates(["sid"]), "shingles-once")
-    sets = found.where("not several").unionByName(once).select("sid", "shingles")
-    left = sets.select(F.col("sid").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("sid").alias("b"), F.col("shingles").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    return found.where("not several").unionByName(once).select("sid", "shingles")
+
 
+def _slices(pairs: DataFrame, points: DataFrame) -> int:
+    """How often the shingles that go with the pairs exceed those of all sets."""
+    sent = pairs.join(points.select(F.col("sid").alias("a"), "n"), "a").agg(F.sum("n")).first()[0] or 0
+    return max(1, -(-sent // max(1, points.agg(F.sum("n")).first()[0] or 0)))
 
-def _links(pairs: DataFrame, texts: DataFrame, points: DataFrame, width: int, percent: int, label: str) -> DataFrame:
-    """Links (a, b) with the components of the pairs that reach the threshold."""
+
+def _links(
+    pairs: DataFrame, texts: DataFrame, points: DataFrame, width: int, percent: int, label: str, stars: bool = True
+) -> DataFrame:
+    """Links (a, b) with the components of the pairs that reach the threshold, or all of them."""
     spark = pairs.sparkSession
     path = new_shared_path(spark, label)
+    schema = "a long, b long" if stars else "a long, b long, n_common long, n_either long"
     # The shingles go when the pairs are verified.
     with table_scope(spark):
-        both = _with_shingles(materialise(pairs.select("a", "b"), "candidates"), texts, points, width)
-        both.mapInArrow(_verify(percent), "a long, b long").write.parquet(path)
-    common.free_shuffles(spark)
-    return spark.read.schema("a long, b long").parquet(path)
+        pairs = materialise(pairs.select("a", "b"), "candidates")
+        sets = _sets_of(pairs, texts, points, width)
+        common.free_shuffles(spark)
+        slices = _slices(pairs, points)
+        for part in range(slices):
+            some = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(slices)) == part) if slices > 1 else pairs
+            both = _with_shingles(some, sets).mapInArrow(_verify(percent, stars), schema)
+            both.write.mode("append").parquet(path)
+            common.free_shuffles(spark)
+    return spark.read.schema(schema).parquet(path)
 
 
 def _shingle_rows(width: int):
@@ -534,13 +604,13 @@ def _indexed(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, ...]
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     described = materialise(
-        texts.mapInArrow(_describe(width), "doc_id long, n long, sid long, point binary"), "sets"
+        texts.mapInArrow(_describe(width), "doc_id long, n long, sid long, point binary, wide binary"), "sets"
     )
     counted = described.where("doc_id is not null").groupBy("doc_id").agg((F.count("*") > 1).alias("several"))
     points = materialise(
         described.where("sid is not null and doc_id is not null")
         .groupBy("sid")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("point").alias("point"))
+        .agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n", "point", "wide")))
         .join(counted, "doc_id"),
         "points",
     )
@@ -633,9 +703,7 @@ def similarity_join(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple
     texts, described, points, shared, _ = _indexed(docs, width, percent)
     members = shared.select("cell", F.col("sid").alias("leaf"), "sid").distinct()
     pairs = _pairs(members, points, percent).select("a", "b")
-    verified = _verify(percent, stars=False)
-    both = _with_shingles(pairs, texts, points, width).mapInArrow(verified, "a long, b long, n_common long, n_either long")
-    links = materialise(both, "links")
+    links = _links(pairs, texts, points, width, percent, "links", stars=False)
     ends = links.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("n_links"))
     rows = _named(described, components(links.select("a", "b").union(_same_name(points)))).join(ends, "sid", "left")
     least = points.select("sid", "doc_id")
@@ -680,21 +748,23 @@ def _open_leaves(shared: DataFrame, leaves: DataFrame) -> DataFrame:
 
 
 def _pairs(members: DataFrame, points: DataFrame, percent: int, round_: int | None = None) -> DataFrame:
-    """Pairs of sets of different leaves that the boxes of nodes and the points allow; in a
-    round, those that the tasks pick."""
+    """Pairs of sets of different leaves that the boxes of nodes and the wide points allow; in
+    a round, those that the tasks pick by their points."""
     spark = members.sparkSession
     path = new_shared_path(spark, "near-pairs")
     # A set has as many cells as its band has blocks.
     listed = F.concat(F.sort_array(F.collect_list("cell")), F.array_repeat(F.lit(_NO_CELL), FIRST_CELLS))
     firsts = members.groupBy("sid").agg(F.slice(listed, 1, FIRST_CELLS).alias("firsts"))
+    wide = round_ is None
+    point = (F.coalesce("wide", "point") if wide else F.col("point")).alias("point")
     # The nodes are the largest table; they go when their pairs are written.
     with table_scope(spark):
         nodes = materialise(
-            members.join(points.select("sid", "n", "point").join(firsts, "sid"), "sid")
+            members.join(points.select("sid", "n", point).join(firsts, "sid"), "sid")
             .select("cell", "leaf", "sid", "n", "point", "firsts")
             .repartition("cell", F.pmod("leaf", F.lit(_PACKERS)))
             .sortWithinPartitions("cell", "leaf", "sid")
-            .mapInArrow(_nodes, _NODE),
+            .mapInArrow(_nodes(wide), _NODE),
             "nodes",
         )
         common.free_shuffles(spark)

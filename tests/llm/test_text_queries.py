@@ -685,6 +685,94 @@ def test_shingles_are_made_for_the_sets_of_pairs_alone(spark, monkeypatch):
     assert max(stored["shingles"]) < 100
 
 
+def long_texts(count):
+    """Unrelated texts of about 4,000 words that share passages, the last three copies of the first:
+    near, nearly near enough, and not quite."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(5000)]
+    passages = [[rng.choice(words) for _ in range(60)] for _ in range(12)]
+    rows = []
+    for key in range(count):
+        parts = [*passages, *([rng.choice(words) for _ in range(270 + 20 * (key % 3))] for _ in range(12))]
+        rng.shuffle(parts)
+        rows.append((key, [w for part in parts for w in part]))
+    for key, changed in ((count, 0.005), (count + 1, 0.0175), (count + 2, 0.028)):
+        text = list(rows[0][1])
+        for at in rng.sample(range(len(text)), int(changed * len(text))):
+            text[at] = f"x{key}.{at}"
+        rows.append((key, text))
+    return [(key, " ".join(text)) for key, text in rows]
+
+
+def test_unrelated_long_texts_leave_no_pairs(spark, monkeypatch):
+    """A fixed number of counts is alike for all long texts; the last level tells them apart."""
+    rows = long_texts(24)
+    made, pairs = [], ngram_join._pairs
+
+    def noted(members, points, percent, round_=None):
+        found = pairs(members, points, percent, round_)
+        if round_ is None:
+            made.append({tuple(sorted(r)) for r in found.select("a", "b").collect()})
+        return found
+
+    monkeypatch.setattr(ngram_join, "_pairs", noted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    members, links = ngram_join.similarity_join(docs, 5, 80)
+    sets = dict(shingle_sets(rows, 5))
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert {tuple(sorted((r.left_id, r.right_id))) for r in links.collect()} == want
+    assert (0, 24) in want
+    assert len(made[0]) <= 6  # of the 351 pairs, those of the first text and its copies
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(docs, 5, 80).collect()}
+    assert got == brute_components(rows, 5, 80)
+
+
+def test_wide_points_bound_what_sets_share():
+    """Of nodes and sets of any two widths; folded, a point is the one of fewer groups."""
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 1 << 63, 9000, np.uint64)
+    sets = [np.unique(rng.choice(pool, n, replace=False)) for n in (5, 1024, 1025, 1900, 3000, 8192, 8300)]
+
+    def point(own, groups):
+        return np.bincount((own & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype(np.int32)
+
+    widths = [ngram_join._width(len(own)) for own in sets]
+    assert widths == [128, 128, 256, 256, 512, 1024, 2048]
+    packed = np.array([ngram_join._packed(point(own, w)) for own, w in zip(sets, widths, strict=True)], object)
+    n = np.array([len(own) for own in sets])
+    for low in range(len(sets)):
+        node = np.frombuffer(ngram_join._wide_points(packed[low:], n[low:]), np.uint8)
+        points = ngram_join._unpacked(node, len(sets) - low, widths[low])
+        assert (points == [point(own, widths[low]) for own in sets[low:]]).all()
+        a, b = np.triu_indices(len(points))
+        most = ngram_join._shared_at_most(points, points, a, b)
+        assert all(m >= len(np.intersect1d(sets[low + i], sets[low + j])) for m, i, j in zip(most, a, b, strict=True))
+
+
+def test_pairs_are_verified_in_slices(spark, monkeypatch):
+    """All pairs of a group would send each set's shingles once per pair; none is lost."""
+    count, rows = 24, []
+    for i in range(count):
+        words = [f"w{j}" for j in range(300)]
+        words[5 * i + 3] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    parts, sent, both = [], [], ngram_join._with_shingles
+    slices = ngram_join._slices
+
+    def counted(pairs, sets):
+        sent.append(pairs.count())
+        return both(pairs, sets)
+
+    monkeypatch.setattr(ngram_join, "_slices", lambda *given: parts.append(slices(*given)) or parts[-1])
+    monkeypatch.setattr(ngram_join, "_with_shingles", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    members, links = ngram_join.similarity_join(docs, 4, 85)
+    pairs = count * (count - 1) // 2
+    assert links.count() == links.distinct().count() == pairs
+    assert {r.n_links for r in members.collect()} == {count - 1}
+    assert len(sent) == parts[0] == -(-pairs // count) and sum(sent) == pairs and max(sent) < pairs / 2
+
+
 def test_clean_keeps_columns_of_any_name(spark):
     words = " ".join(f"q{i}" for i in range(20))
     docs = spark.createDataFrame(
