@@ -29,7 +29,7 @@ likeliest and the one with the least leaf in the round's order, and those that l
 leaf of theirs. So the sets of a group that hangs together leave as pairs of leaves and not as
 all their pairs. Cells in which no pair was found are left out of the next round. When a round
 joins few leaves, every pair of different leaves that remains leaves the tasks and is verified.
-There the points are wide: a long set has coordinates in proportion to its size. With a fixed
+These pairs are tried once more by wide points: a long set has coordinates in proportion to its size. With a fixed
 number of them the counts of all long sets are alike, and any two that share a cell would pass.
 
 Pairs are verified on the shingles themselves, which are made anew from the texts of the sets
@@ -173,13 +173,6 @@ def _folded(points: np.ndarray, groups: int) -> np.ndarray:
     return points.reshape(len(points), -1, groups).sum(axis=1, dtype=np.int32)
 
 
-def _wide_points(points: np.ndarray, n: np.ndarray) -> bytes:
-    """The packed wide points of sets of n shingles, in the coordinates of the smallest set."""
-    groups = _width(int(n.min()))
-    rows = [_unpacked(np.frombuffer(p, np.uint8), 1, _width(int(m))) for p, m in zip(points, n, strict=True)]
-    return _packed(np.concatenate([_folded(row, groups) for row in rows]))
-
-
 def _points(column: pa.Array) -> np.ndarray:
     """The packed points of a column, one per row."""
     data, at = common.utf8(column)
@@ -314,11 +307,12 @@ def _near(percent: int):
 _NODE = "cell long, node long, low long, high long, least long, most long, sids binary, leaves binary, sizes binary, points binary, firsts binary"
 
 
-def _nodes(wide: bool):
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows (cell, leaf, sid, n, point, firsts) by cell and leaf: nodes of at most ``NODE`` points.
 
     Only the rows of an unfinished node are held back, so a hot cell streams through.
     """
+    rest = None
 
     def cut(columns, final):
         cell, leaf, sid, n, points, firsts = columns
@@ -332,33 +326,46 @@ def _nodes(wide: bool):
                 at, done = slice(low, high), high
                 out.append(
                     (cell[low], sid[low], leaf[low], leaf[high - 1], n[at].min(), n[at].max(),
-                     sid[at].tobytes(), leaf[at].tobytes(), n[at].tobytes(), _wide_points(points[at], n[at]) if wide else _packed(points[at]),
-                     firsts[at].tobytes())
+                     sid[at].tobytes(), leaf[at].tobytes(), n[at].tobytes(), _packed(points[at]), firsts[at].tobytes())
                 )
         names = [field.split()[0] for field in _NODE.split(", ")]
         kinds = [pa.int64()] * 6 + [pa.binary()] * 5
         arrays = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)]
         return pa.RecordBatch.from_arrays(arrays, names), [c[done:] for c in columns]
 
+    for batch in batches:
+        firsts = batch.column(5).flatten().to_numpy().reshape(-1, FIRST_CELLS)
+        columns = [batch.column(i).to_numpy() for i in range(4)] + [_points(batch.column(4)), firsts]
+        if rest is not None:
+            columns = [np.concatenate(pair) for pair in zip(rest, columns, strict=True)]
+        nodes, rest = cut(columns, False)
+        yield nodes
+    if rest is not None:
+        yield cut(rest, True)[0]
+
+
+_PAIR = "a long, b long, la long, lb long, least long"
+_PICK = f"{_PAIR}, cell long"
+
+
+def _near_by_wide(percent: int):
+    """Of rows (columns of ``_PAIR``, both wide points and sizes): pairs that these allow."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
         for batch in batches:
-            firsts = batch.column(5).flatten().to_numpy().reshape(-1, FIRST_CELLS)
-            # Wide points are of several lengths and stay packed until their node is cut.
-            points = batch.column(4).to_numpy(zero_copy_only=False) if wide else _points(batch.column(4))
-            columns = [batch.column(i).to_numpy() for i in range(4)] + [points, firsts]
-            if rest is not None:
-                columns = [np.concatenate(pair) for pair in zip(rest, columns, strict=True)]
-            nodes, rest = cut(columns, False)
-            yield nodes
-        if rest is not None:
-            yield cut(rest, True)[0]
+            n, m = (batch.column(i).to_numpy() for i in (7, 8))
+            least = np.zeros(batch.num_rows, np.int64)
+            for i in range(batch.num_rows):
+                raw = (np.frombuffer(batch.column(j)[i].as_buffer(), np.uint8) for j in (5, 6))
+                p, q = (_unpacked(x, 1, _width(int(k))) for x, k in zip(raw, (n[i], m[i]), strict=True))
+                groups = min(p.shape[1], q.shape[1])
+                least[i] = np.minimum(_folded(p, groups), _folded(q, groups)).sum()
+            rows = pa.RecordBatch.from_arrays(batch.columns[:5], batch.schema.names[:5])
+            yield rows.filter(pa.array(_allows(least, n, m, percent)))
 
     return run
 
 
-_PAIR = "a long, b long, la long, lb long, least long"
-_PICK = f"{_PAIR}, cell long"
 _PACKED = ("sids", "leaves", "sizes", "points", "firsts")
 
 
@@ -388,21 +395,11 @@ def _in_round(leaves: np.ndarray, round_: int) -> np.ndarray:
     return common.mix(leaves.view(np.uint64) ^ common.salt(32 + round_))
 
 
-def _shared_at_most(p: np.ndarray, q: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """What the points p[a] and q[b] have in common, pair by pair."""
-    out = np.zeros(len(a), np.int64)
-    for low in range(0, len(a), NODE):
-        at = slice(low, low + NODE)
-        out[at] = np.minimum(p[a[at]], q[b[at]]).sum(axis=1)
-    return out
-
-
 def _opened(percent: int, round_: int | None = None):
     """Of pairs of nodes: the pairs of sets of different leaves that boxes and points allow,
     with their leaves (the smaller first) and the bound on what they share.
 
-    In a round, what ``_picked`` keeps of a task's pairs, with their cells. Otherwise the
-    nodes hold wide points; these are compared where the first coordinates allow a link.
+    In a round, what ``_picked`` keeps of a task's pairs, with their cells.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -413,9 +410,7 @@ def _opened(percent: int, round_: int | None = None):
             for i in range(batch.num_rows):
                 parts = [np.frombuffer(c[i].as_buffer(), np.uint8) for c in raw]
                 sids, leaves, n, others, other_leaves, m = (parts[j].view(np.int64) for j in (0, 1, 2, 5, 6, 7))
-                widths = [_width(int(x.min())) if round_ is None else GROUPS for x in (n, m)]
-                wide = [_unpacked(parts[j], len(x), w) for j, x, w in zip((3, 8), (n, m), widths, strict=True)]
-                p, q = (_folded(x, GROUPS) for x in wide)
+                p, q = _unpacked(parts[3], len(n)), _unpacked(parts[8], len(m))
                 box = np.minimum(p.max(axis=0), q.max(axis=0)).sum()
                 if not _allows(box, n.min(), m.min(), percent):
                     continue
@@ -429,10 +424,6 @@ def _opened(percent: int, round_: int | None = None):
                 firsts, theirs = (parts[j].view(np.int64).reshape(-1, FIRST_CELLS) for j in (4, 9))
                 new = ~_met_before(cell[i], firsts[a], theirs[b])
                 a, b = a[new], b[new]
-                if min(widths) > GROUPS:
-                    fine = _shared_at_most(*(_folded(x, min(widths)) for x in wide), a, b)
-                    good = _allows(fine, n[a], m[b], percent)
-                    a, b = a[good], b[good]
                 where = np.full(len(a), cell[i])
                 ends = np.stack([sids[a], others[b], leaves[a], other_leaves[b], least[a, b], where])
                 swap = ends[2] > ends[3]
@@ -755,16 +746,14 @@ def _pairs(members: DataFrame, points: DataFrame, percent: int, round_: int | No
     # A set has as many cells as its band has blocks.
     listed = F.concat(F.sort_array(F.collect_list("cell")), F.array_repeat(F.lit(_NO_CELL), FIRST_CELLS))
     firsts = members.groupBy("sid").agg(F.slice(listed, 1, FIRST_CELLS).alias("firsts"))
-    wide = round_ is None
-    point = (F.coalesce("wide", "point") if wide else F.col("point")).alias("point")
     # The nodes are the largest table; they go when their pairs are written.
     with table_scope(spark):
         nodes = materialise(
-            members.join(points.select("sid", "n", point).join(firsts, "sid"), "sid")
+            members.join(points.select("sid", "n", "point").join(firsts, "sid"), "sid")
             .select("cell", "leaf", "sid", "n", "point", "firsts")
             .repartition("cell", F.pmod("leaf", F.lit(_PACKERS)))
             .sortWithinPartitions("cell", "leaf", "sid")
-            .mapInArrow(_nodes(wide), _NODE),
+            .mapInArrow(_nodes, _NODE),
             "nodes",
         )
         common.free_shuffles(spark)
@@ -777,7 +766,12 @@ def _pairs(members: DataFrame, points: DataFrame, percent: int, round_: int | No
         packed = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in _PACKED]
         opened = met.select((F.col("x.node") == F.col("y.node")).alias("same"), F.col("x.cell").alias("cell"), *packed)
         if round_ is None:
-            opened.mapInArrow(_opened(percent), _PAIR).distinct().write.parquet(path)
+            found = materialise(opened.mapInArrow(_opened(percent), _PAIR).distinct(), "allowed-pairs")
+            wide = points.select("sid", F.coalesce("wide", "point"), "n")
+            found = found.join(wide.toDF("a", "p", "n"), "a").join(wide.toDF("b", "q", "m"), "b")
+            found.select("a", "b", "la", "lb", "least", "p", "q", "n", "m").mapInArrow(
+                _near_by_wide(percent), _PAIR
+            ).write.parquet(path)
         else:
             opened.mapInArrow(_opened(percent, round_), _PICK).write.parquet(path)
     common.free_shuffles(spark)

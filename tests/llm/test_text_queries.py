@@ -738,15 +738,13 @@ def test_wide_points_bound_what_sets_share():
 
     widths = [ngram_join._width(len(own)) for own in sets]
     assert widths == [128, 128, 256, 256, 512, 1024, 2048]
-    packed = np.array([ngram_join._packed(point(own, w)) for own, w in zip(sets, widths, strict=True)], object)
-    n = np.array([len(own) for own in sets])
-    for low in range(len(sets)):
-        node = np.frombuffer(ngram_join._wide_points(packed[low:], n[low:]), np.uint8)
-        points = ngram_join._unpacked(node, len(sets) - low, widths[low])
-        assert (points == [point(own, widths[low]) for own in sets[low:]]).all()
-        a, b = np.triu_indices(len(points))
-        most = ngram_join._shared_at_most(points, points, a, b)
-        assert all(m >= len(np.intersect1d(sets[low + i], sets[low + j])) for m, i, j in zip(most, a, b, strict=True))
+    for own, w in zip(sets, widths, strict=True):
+        wide = ngram_join._unpacked(np.frombuffer(ngram_join._packed(point(own, w)), np.uint8), 1, w)
+        for other, v in zip(sets, widths, strict=True):
+            if v <= w:
+                folded = ngram_join._folded(wide, v)
+                assert (folded == point(own, v)).all()
+                assert np.minimum(folded, point(other, v)).sum() >= len(np.intersect1d(own, other))
 
 
 def test_pairs_are_verified_in_slices(spark, monkeypatch):
