@@ -507,7 +507,7 @@ def _sets_of(pairs: DataFrame, texts: DataFrame, points: DataFrame, width: int)
     found = materialise(
         texts.join(wanted.join(points.select("sid", "doc_id", "several"), "sid"), "doc_id")
         .select("sid", "text", "several")
-        .mapInArrow(_shingle_rows(width), "sid long, shingles binary, several boolean"),
+        .mapInArrow(common.tidy(_shingle_rows(width)), "sid long, shingles binary, several boolean"),
         "shingles",
     )
     # Sets go by their smallest doc_id, so only a doc_id with several rows can give one twice.
@@ -529,14 +529,14 @@ def _links(
     path = new_shared_path(spark, label)
     schema = "a long, b long" if stars else "a long, b long, n_common long, n_either long"
     # The shingles go when the pairs are verified.
-    with table_scope(spark):
+    with table_scope(spark), common.small_batches(spark):
         pairs = materialise(pairs.select("a", "b"), "candidates")
         sets = _sets_of(pairs, texts, points, width)
         common.free_shuffles(spark)
         slices = _slices(pairs, points)
         for part in range(slices):
             some = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(slices)) == part) if slices > 1 else pairs
-            both = _with_shingles(some, sets).mapInArrow(_verify(percent, stars), schema)
+            both = _with_shingles(some, sets).mapInArrow(common.tidy(_verify(percent, stars)), schema)
             both.write.mode("append").parquet(path)
             common.free_shuffles(spark)
     return spark.read.schema(schema).parquet(path)
@@ -595,7 +595,10 @@ def _indexed(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, ...]
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     described = materialise(
-        texts.mapInArrow(_describe(width), "doc_id long, n long, sid long, point binary, wide binary"), "sets"
+        texts.mapInArrow(
+            common.tidy(_describe(width)), "doc_id long, n long, sid long, point binary, wide binary"
+        ),
+        "sets",
     )
     counted = described.where("doc_id is not null").groupBy("doc_id").agg((F.count("*") > 1).alias("several"))
     points = materialise(
@@ -606,13 +609,14 @@ def _indexed(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, ...]
         "points",
     )
 
-    rows = texts.where("doc_id is not null").mapInArrow(_cell_rows(width, percent), "cell long, sid long, hub long")
+    found = common.tidy(_cell_rows(width, percent))
+    rows = texts.where("doc_id is not null").mapInArrow(found, "cell long, sid long, hub long")
     # Rows that were merged already need not meet their cell: they are spread by set.
     merged = F.coalesce(F.col("hub") != F.col("sid"), F.lit(False))
     shared = materialise(
         rows.repartition(F.when(merged, F.xxhash64("cell", "sid")).otherwise(F.col("cell")))
         .sortWithinPartitions(merged, "cell", "sid")
-        .mapInArrow(_shared_cells, "cell long, sid long, hub long"),
+        .mapInArrow(common.tidy(_shared_cells), "cell long, sid long, hub long"),
         "cells",
     )
     common.free_shuffles(spark)
@@ -633,13 +637,14 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
 def _spanning(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The rows with their sets, the points, and links (a, b) that span every component."""
-    texts, described, points, shared, hubs = _indexed(docs, width, percent)
+    with common.small_batches(docs.sparkSession):
+        texts, described, points, shared, hubs = _indexed(docs, width, percent)
     first = (
         hubs.where("hub <> sid")
         .join(points.select("sid", F.col("point").alias("p"), "n"), "sid")
         .join(points.select(F.col("sid").alias("hub"), F.col("point").alias("q"), F.col("n").alias("m")), "hub")
         .select(F.col("sid").alias("a"), F.col("hub").alias("b"), "p", "q", "n", "m")
-        .mapInArrow(_near(percent), "a long, b long")
+        .mapInArrow(common.tidy(_near(percent)), "a long, b long")
     )
     links = _links(first, texts, points, width, percent, "hub-links")
 
@@ -691,7 +696,8 @@ def similarity_join(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple
     either (n_either). n_links of a row counts the links of its set. Rows of equal sets are
     found by set_id.
     """
-    texts, described, points, shared, _ = _indexed(docs, width, percent)
+    with common.small_batches(docs.sparkSession):
+        texts, described, points, shared, _ = _indexed(docs, width, percent)
     members = shared.select("cell", F.col("sid").alias("leaf"), "sid").distinct()
     pairs = _pairs(members, points, percent).select("a", "b")
     links = _links(pairs, texts, points, width, percent, "links", stars=False)
@@ -747,13 +753,13 @@ def _pairs(members: DataFrame, points: DataFrame, percent: int, round_: int | No
     listed = F.concat(F.sort_array(F.collect_list("cell")), F.array_repeat(F.lit(_NO_CELL), FIRST_CELLS))
     firsts = members.groupBy("sid").agg(F.slice(listed, 1, FIRST_CELLS).alias("firsts"))
     # The nodes are the largest table; they go when their pairs are written.
-    with table_scope(spark):
+    with table_scope(spark), common.small_batches(spark):
         nodes = materialise(
             members.join(points.select("sid", "n", "point").join(firsts, "sid"), "sid")
             .select("cell", "leaf", "sid", "n", "point", "firsts")
             .repartition("cell", F.pmod("leaf", F.lit(_PACKERS)))
             .sortWithinPartitions("cell", "leaf", "sid")
-            .mapInArrow(_nodes, _NODE),
+            .mapInArrow(common.tidy(_nodes), _NODE),
             "nodes",
         )
         common.free_shuffles(spark)
@@ -766,14 +772,14 @@ def _pairs(members: DataFrame, points: DataFrame, percent: int, round_: int | No
         packed = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in _PACKED]
         opened = met.select((F.col("x.node") == F.col("y.node")).alias("same"), F.col("x.cell").alias("cell"), *packed)
         if round_ is None:
-            found = materialise(opened.mapInArrow(_opened(percent), _PAIR).distinct(), "allowed-pairs")
+            found = materialise(opened.mapInArrow(common.tidy(_opened(percent)), _PAIR).distinct(), "allowed-pairs")
             wide = points.select("sid", F.coalesce("wide", "point"), "n")
             found = found.join(wide.toDF("a", "p", "n"), "a").join(wide.toDF("b", "q", "m"), "b")
             found.select("a", "b", "la", "lb", "least", "p", "q", "n", "m").mapInArrow(
-                _near_by_wide(percent), _PAIR
+                common.tidy(_near_by_wide(percent)), _PAIR
             ).write.parquet(path)
         else:
-            opened.mapInArrow(_opened(percent, round_), _PICK).write.parquet(path)
+            opened.mapInArrow(common.tidy(_opened(percent, round_)), _PICK).write.parquet(path)
     common.free_shuffles(spark)
     return spark.read.schema(_PAIR if round_ is None else _PICK).parquet(path)
 
@@ -829,7 +835,7 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     )
     kind = packed.schema["row"].dataType
     schema = StructType([StructField("row", kind), StructField("key", LongType()), StructField("sid", LongType())])
-    sets = packed.mapInArrow(_row_sets(width), schema)
+    sets = packed.mapInArrow(common.tidy(_row_sets(width)), schema)
     of_kept = (sets["key"] == kept["doc_id"]) & sets["sid"].eqNullSafe(kept["sid"])
     order = F.struct(F.col("row")["text"], F.to_json("row"))
     odd = sets.join(kept, of_kept, "left_semi").groupBy("key", "sid").agg(F.min_by("row", order).alias("row"))

@@ -25,6 +25,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from sunledger.llm import common
@@ -101,15 +102,15 @@ def table_of(model_path: str) -> WordTable:
     return _TABLES[model_path]
 
 
-def groups(texts: list[str]) -> Iterator[tuple[int, int]]:
+def groups(lengths: list[int]) -> Iterator[tuple[int, int]]:
     low = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > GROUP_CHARS:
+    for i, length in enumerate(lengths):
+        if size and size + length > GROUP_CHARS:
             yield low, i
             low, size = i, 0
-        size += len(text)
-    if low < len(texts):
-        yield low, len(texts)
+        size += length
+    if low < len(lengths):
+        yield low, len(lengths)
 
 
 def _encoder(model_path: str, digests: bool):
@@ -119,8 +120,11 @@ def _encoder(model_path: str, digests: bool):
         begin = array("I", [processor.bos_id()]).tobytes()
         end = array("I", [processor.eos_id()]).tobytes()
         for batch in batches:
-            for low, high in groups(column := batch.column(1).fill_null("").to_pylist()):
-                coded = [begin + x + end for x in table.encode(column[low:high])]
+            column = batch.column(1).fill_null("")
+            # A group becomes Python strings, not the batch.
+            for low, high in groups(pc.utf8_length(column).to_pylist()):
+                texts = column.slice(low, high - low).to_pylist()
+                coded = [begin + x + end for x in table.encode(texts)]
                 own = batch.column(0).slice(low, high - low)
                 counts = pa.array([len(x) // 4 for x in coded], pa.int64())
                 decoded = [processor.decode(np.frombuffer(x, "<u4").tolist()) for x in coded]
@@ -150,7 +154,7 @@ def encode(docs: DataFrame, model_path: str, digests: bool = False) -> DataFrame
     last = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", docs["text"].cast("string")).mapInArrow(
-        _encoder(model_path, digests), f"doc_id {kind}, n_tokens long, {last}"
+        common.tidy(_encoder(model_path, digests)), f"doc_id {kind}, n_tokens long, {last}"
     )
 
 

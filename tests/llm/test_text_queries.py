@@ -9,6 +9,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -797,3 +798,44 @@ def test_fits_do_not_depend_on_partitioning(spark):
         model = quality_gam.fit(docs, labels)
         fits.append((model.intercept, [t.tolist() for t in model.tables], quality_rules.fit(docs, labels)))
     assert fits[0] == fits[1] == fits[2]
+
+
+def test_the_join_takes_small_batches(spark, monkeypatch):
+    # One partition of 200 texts, 400 KB: in one batch of 64 MB at most, or in many of 16 KB.
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    monkeypatch.setattr(common, "BATCH_BYTES", 16_000)
+    for name in ("_describe", "_cell_rows"):
+
+        def bounded(*args, made=getattr(ngram_join, name)):
+            def run(batches):
+                def passed():
+                    for batch in batches:
+                        if batch.nbytes > 32_000:
+                            raise ValueError(f"a batch of {batch.nbytes} bytes")
+                        yield batch
+
+                yield from made(*args)(passed())
+
+            return run
+
+        monkeypatch.setattr(ngram_join, name, bounded)
+    rows = [(i, " ".join(f"w{(i // 2) * 400 + j}" for j in range(300))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    kept = ngram_join.keep_one(docs)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 200, 2))
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "1m")
+    try:
+        with common.small_batches(spark):
+            assert spark.conf.get(key) == "1m"
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_a_task_gives_memory_back(monkeypatch):
+    called = []
+    monkeypatch.setattr(common, "release_memory", lambda: called.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2])], ["x"])
+    assert list(common.tidy(lambda batches: batches)(iter([batch, batch]))) == [batch, batch]
+    assert called == [1]
