@@ -17,8 +17,9 @@ Levels of the tree, from the root:
    hubs of its cells. The sets that links connect form a leaf. A hot cell of near copies is one leaf, and
    its members are never paired with each other: their component is known;
 4. nodes: only cells with several leaves are left. Their points are packed, by leaf, into
-   nodes of at most 64; a node's bounding box holds the largest count of each coordinate and
-   the smallest size. Nodes of a cell meet, not points. Two nodes are opened if the summed
+   nodes of at most 64, and up to 16 nodes into a page, a row of a table; a node's bounding box
+   holds the largest count of each coordinate and the smallest size. Pages of a cell meet in a
+   join, and their nodes in its tasks. Two nodes are opened if the summed
    coordinate minima of their boxes allow a link, and only pairs of points of different
    leaves whose own minima allow one leave the task. Alike sets meet in most of their cells:
    a point carries its least cells, and a pair that these show to meet in a lesser cell too
@@ -59,7 +60,8 @@ from math import ceil, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -72,6 +74,8 @@ GROUPS = 128
 LOAD = 8
 #: Points of a node.
 NODE = 64
+#: Points of a page. Every pair of pages that meet is a row for Python, with all their points.
+PAGE = 1024
 #: Least cells that a point carries.
 FIRST_CELLS = 8
 _NO_CELL = (1 << 63) - 1
@@ -81,7 +85,7 @@ _CHUNK = 1 << 12
 _HELD = 1 << 18
 #: Rounds go on while they join at least one in so many of the leaves that have pairs.
 _WORTH = 32
-#: Tasks that pack the leaves of one cell side by side.
+#: Tasks that pack the leaves of one cell side by side, at most.
 _PACKERS = 16
 
 _EMPTY = common.salt(5)
@@ -304,13 +308,13 @@ def _near(percent: int):
     return run
 
 
-_NODE = "cell long, node long, low long, high long, least long, most long, sids binary, leaves binary, sizes binary, points binary, firsts binary"
+_PAGE = "cell long, page long, low long, high long, least long, most long, sids binary, leaves binary, sizes binary, points binary, firsts binary"
 
 
-def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (cell, leaf, sid, n, point, firsts) by cell and leaf: nodes of at most ``NODE`` points.
+def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (cell, leaf, sid, n, point, firsts) by cell and leaf: pages of at most ``PAGE`` points.
 
-    Only the rows of an unfinished node are held back, so a hot cell streams through.
+    Only the rows of an unfinished page are held back, so a hot cell streams through.
     """
     rest = None
 
@@ -319,8 +323,8 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         borders = [*_begins(cell), len(cell)] if len(cell) else [0]
         out, done = [], 0
         for begin, end in zip(borders[:-1], borders[1:], strict=True):
-            for low in range(begin, end, NODE):
-                high = min(low + NODE, end)
+            for low in range(begin, end, PAGE):
+                high = min(low + PAGE, end)
                 if high == len(cell) and not final:
                     break
                 at, done = slice(low, high), high
@@ -328,7 +332,7 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     (cell[low], sid[low], leaf[low], leaf[high - 1], n[at].min(), n[at].max(),
                      sid[at].tobytes(), leaf[at].tobytes(), n[at].tobytes(), _packed(points[at]), firsts[at].tobytes())
                 )
-        names = [field.split()[0] for field in _NODE.split(", ")]
+        names = [field.split()[0] for field in _PAGE.split(", ")]
         kinds = [pa.int64()] * 6 + [pa.binary()] * 5
         arrays = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)]
         return pa.RecordBatch.from_arrays(arrays, names), [c[done:] for c in columns]
@@ -338,8 +342,8 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [batch.column(i).to_numpy() for i in range(4)] + [_points(batch.column(4)), firsts]
         if rest is not None:
             columns = [np.concatenate(pair) for pair in zip(rest, columns, strict=True)]
-        nodes, rest = cut(columns, False)
-        yield nodes
+        pages, rest = cut(columns, False)
+        yield pages
     if rest is not None:
         yield cut(rest, True)[0]
 
@@ -395,8 +399,31 @@ def _in_round(leaves: np.ndarray, round_: int) -> np.ndarray:
     return common.mix(leaves.view(np.uint64) ^ common.salt(32 + round_))
 
 
+class _Page:
+    """A page's columns and, of each of its nodes, the box, the range of sizes and that of leaves."""
+
+    def __init__(self, sids, leaves, sizes, points, firsts):
+        self.sids, self.leaves, self.sizes = (x.view(np.int64) for x in (sids, leaves, sizes))
+        self.points = _unpacked(points, len(self.sids))
+        self.firsts = firsts.view(np.int64).reshape(-1, FIRST_CELLS)
+        at = np.arange(0, len(self.sids), NODE)
+        self.box = np.maximum.reduceat(self.points, at)
+        self.least, self.most = np.minimum.reduceat(self.sizes, at), np.maximum.reduceat(self.sizes, at)
+        self.low, self.high = np.minimum.reduceat(self.leaves, at), np.maximum.reduceat(self.leaves, at)
+
+
+def _open_nodes(p: _Page, q: _Page, percent: int) -> np.ndarray:
+    """Which nodes of two pages are opened: by sizes, leaves and boxes."""
+    near = (100 * p.most[:, None] >= percent * q.least) & (100 * q.most >= percent * p.least[:, None])
+    near &= (p.low[:, None] != q.high) | (p.high[:, None] != q.low)
+    for i in np.flatnonzero(near.any(axis=1)):
+        bound = np.minimum(p.box[i], q.box).sum(axis=1)
+        near[i] &= _allows(bound, p.least[i], q.least, percent)
+    return near
+
+
 def _opened(percent: int, round_: int | None = None):
-    """Of pairs of nodes: the pairs of sets of different leaves that boxes and points allow,
+    """Of pairs of pages: the pairs of sets of different leaves that boxes and points allow,
     with their leaves (the smaller first) and the bound on what they share.
 
     In a round, what ``_picked`` keeps of a task's pairs, with their cells.
@@ -407,37 +434,25 @@ def _opened(percent: int, round_: int | None = None):
         for batch in batches:
             same, cell = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
             raw = [batch.column(i) for i in range(2, 12)]
-            for i in range(batch.num_rows):
-                parts = [np.frombuffer(c[i].as_buffer(), np.uint8) for c in raw]
-                sids, leaves, n, others, other_leaves, m = (parts[j].view(np.int64) for j in (0, 1, 2, 5, 6, 7))
-                p, q = _unpacked(parts[3], len(n)), _unpacked(parts[8], len(m))
-                box = np.minimum(p.max(axis=0), q.max(axis=0)).sum()
-                if not _allows(box, n.min(), m.min(), percent):
-                    continue
-                least = np.empty((len(n), len(m)), np.int64)
-                for j, point in enumerate(p):
-                    least[j] = np.minimum(point, q).sum(axis=1)
-                keep = _allows(least, n[:, None], m[None, :], percent) & (leaves[:, None] != other_leaves[None, :])
-                if same[i]:
-                    keep = np.triu(keep, 1)
-                a, b = np.nonzero(keep)
-                firsts, theirs = (parts[j].view(np.int64).reshape(-1, FIRST_CELLS) for j in (4, 9))
-                new = ~_met_before(cell[i], firsts[a], theirs[b])
-                a, b = a[new], b[new]
-                where = np.full(len(a), cell[i])
-                ends = np.stack([sids[a], others[b], leaves[a], other_leaves[b], least[a, b], where])
-                swap = ends[2] > ends[3]
-                ends[:4, swap] = ends[[1, 0, 3, 2]][:, swap]
-                found.append(ends)
-                held += len(a)
-                if held <= _HELD:
-                    continue
-                if round_ is not None:
-                    found[1:] = [_picked(np.concatenate(found, axis=1), round_)]
-                    held = found[1].shape[1]
-                if round_ is None or 2 * held > _HELD:
-                    yield rows(found)
-                    found, held = found[:1], 0
+            for row in range(batch.num_rows):
+                parts = [np.frombuffer(c[row].as_buffer(), np.uint8) for c in raw]
+                p, q = _Page(*parts[:5]), _Page(*parts[5:])
+                near = _open_nodes(p, q, percent)
+                if same[row]:
+                    near = np.triu(near)
+                for i, j in np.argwhere(near):
+                    x, y = slice(i * NODE, (i + 1) * NODE), slice(j * NODE, (j + 1) * NODE)
+                    ends = _met(p, x, q, y, cell[row], percent, same[row] and i == j)
+                    found.append(ends)
+                    held += ends.shape[1]
+                    if held <= _HELD:
+                        continue
+                    if round_ is not None:
+                        found[1:] = [_picked(np.concatenate(found, axis=1), round_)]
+                        held = found[1].shape[1]
+                    if round_ is None or 2 * held > _HELD:
+                        yield rows(found)
+                        found, held = found[:1], 0
             common.release_memory()
         yield rows(found)
 
@@ -451,9 +466,31 @@ def _opened(percent: int, round_: int | None = None):
     return run
 
 
-def _stars(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
+def _met(p: _Page, x: slice, q: _Page, y: slice, cell: int, percent: int, same: bool) -> np.ndarray:
+    """Of the points of two nodes: the pairs that leave the task (columns of ``_PICK``)."""
+    n, m, points = p.sizes[x], q.sizes[y], q.points[y]
+    leaves, others = p.leaves[x], q.leaves[y]
+    least = np.empty((len(n), len(m)), np.int64)
+    for i, point in enumerate(p.points[x]):
+        least[i] = np.minimum(point, points).sum(axis=1)
+    keep = _allows(least, n[:, None], m[None, :], percent) & (leaves[:, None] != others[None, :])
+    if same:
+        keep = np.triu(keep, 1)
+    a, b = np.nonzero(keep)
+    new = ~_met_before(cell, p.firsts[x][a], q.firsts[y][b])
+    a, b = a[new], b[new]
+    ends = np.stack([p.sids[x][a], q.sids[y][b], leaves[a], others[b], least[a, b], np.full(len(a), cell)])
+    swap = ends[2] > ends[3]
+    ends[:4, swap] = ends[[1, 0, 3, 2]][:, swap]
+    return ends
+
+
+def _stars(a: np.ndarray, b: np.ndarray, tops: bool = False) -> tuple[list[int], list[int]]:
     """The components of some links as one link per member to its least: the same
-    components from fewer links, in the groups where every set links with every other."""
+    components from fewer links, in the groups where every set links with every other.
+
+    With ``tops`` the least of each also has a link, to itself.
+    """
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -465,7 +502,7 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
     for x, y in zip(a.tolist(), b.tolist(), strict=True):
         x, y = root(x), root(y)
         parent[max(x, y)] = min(x, y)
-    ends = [(x, top) for x in parent if (top := root(x)) != x]
+    ends = [(x, top) for x in parent if (top := root(x)) != x or tops]
     return [x for x, _ in ends], [top for _, top in ends]
 
 
@@ -511,7 +548,10 @@ def _sets_of(pairs: DataFrame, texts: DataFrame, points: DataFrame, width: int)
         "shingles",
     )
     # Sets go by their smallest doc_id, so only a doc_id with several rows can give one twice.
-    once = materialise(found.where("several").dropDuplicates(["sid"]), "shingles-once")
+    several = found.where("several")
+    if several.isEmpty():
+        return found.select("sid", "shingles")
+    once = materialise(several.dropDuplicates(["sid"]), "shingles-once")
     return found.where("not several").unionByName(once).select("sid", "shingles")
 
 
@@ -562,14 +602,48 @@ def _shingle_rows(width: int):
     return run
 
 
+def _forest(most: int):
+    """The stars of a task's links, with their tops, and the number of the lot that they are of:
+    a task puts up to ``most`` links together, and goes on with their stars while these are few."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lot, held = TaskContext.get().partitionId() << 32, np.zeros((2, 0), np.int64)
+        for batch in batches:
+            held = np.concatenate([held, [batch.column(i).to_numpy() for i in range(2)]], axis=1)
+            if held.shape[1] <= most:
+                continue
+            held = np.array(_stars(*held, tops=True), np.int64)
+            if 2 * held.shape[1] > most:
+                yield rows(lot, held)
+                lot, held = lot + 1, held[:, :0]
+        yield rows(lot, _stars(*held, tops=True))
+
+    def rows(lot, stars):
+        columns = [*stars, np.full(len(stars[0]), lot, np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["a", "b", "lot"])
+
+    return run
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(sid, component) of every end of a link: the smallest sid that links reach.
+    """(sid, component) of every end of a link between two: the smallest sid that links reach.
 
+    First links are contracted to stars, lot by lot, in as many tasks as there are lots, as long
+    as that halves the lots. Stars of one lot are the components. Stars of several meet in rounds.
     Each round a node takes the least label of its neighbours, and then its label's label,
     so a chain halves; a round is written before the next reads it.
     """
-    both = links.union(links.select("b", "a")).toDF("a", "b").where("a <> b").distinct()
-    both = materialise(both, "edges")
+    links, lots = links.select("a", "b").where("a <> b"), None
+    while True:
+        stars = materialise(links.mapInArrow(common.tidy(_forest(_HELD)), "a long, b long, lot long"), "stars")
+        found = stars.agg(F.min("lot").alias("low"), F.max("lot").alias("high"), F.count("*").alias("n")).first()
+        if found.low == found.high:
+            return stars.select(F.col("a").alias("sid"), F.col("b").alias("component"))
+        links, before, lots = stars.select("a", "b").where("a <> b"), lots, -(-found.n // _HELD)
+        if before is not None and 2 * lots > before:
+            break
+        links = links.coalesce(lots)
+    both = links.union(links.select("b", "a")).toDF("a", "b")
     labels = materialise(
         both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).select(F.col("a").alias("sid"), "label"),
         "labels",
@@ -698,7 +772,8 @@ def similarity_join(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple
     """
     with common.small_batches(docs.sparkSession):
         texts, described, points, shared, _ = _indexed(docs, width, percent)
-    members = shared.select("cell", F.col("sid").alias("leaf"), "sid").distinct()
+    sizes = shared.groupBy("cell").agg(_packers().alias("packers"))
+    members = shared.select("cell", F.col("sid").alias("leaf"), "sid").distinct().join(sizes, "cell")
     pairs = _pairs(members, points, percent).select("a", "b")
     links = _links(pairs, texts, points, width, percent, "links", stars=False)
     ends = links.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("n_links"))
@@ -731,15 +806,20 @@ def _named(described: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
+def _packers() -> Column:
+    """How many tasks pack the points of a cell: one for each full page, up to ``_PACKERS``."""
+    return F.least(F.ceil(F.count("*") / PAGE), F.lit(_PACKERS))
+
+
 def _open_leaves(shared: DataFrame, leaves: DataFrame) -> DataFrame:
-    """(cell, leaf, sid) of cells that hold several leaves."""
+    """(cell, leaf, sid) of cells that hold several leaves, with the tasks that pack them."""
     members = shared.select("cell", "sid").join(leaves, "sid", "left")
     members = members.select("cell", "sid", F.coalesce("component", "sid").alias("leaf"))
     several = (
         members.groupBy("cell")
-        .agg(F.min("leaf").alias("low"), F.max("leaf").alias("high"))
+        .agg(F.min("leaf").alias("low"), F.max("leaf").alias("high"), _packers().alias("packers"))
         .where("low <> high")
-        .select("cell")
+        .select("cell", "packers")
     )
     return materialise(members.join(several, "cell").distinct(), "open-cells")
 
@@ -749,28 +829,33 @@ def _pairs(members: DataFrame, points: DataFrame, percent: int, round_: int | No
     a round, those that the tasks pick by their points."""
     spark = members.sparkSession
     path = new_shared_path(spark, "near-pairs")
-    # A set has as many cells as its band has blocks.
-    listed = F.concat(F.sort_array(F.collect_list("cell")), F.array_repeat(F.lit(_NO_CELL), FIRST_CELLS))
-    firsts = members.groupBy("sid").agg(F.slice(listed, 1, FIRST_CELLS).alias("firsts"))
-    # The nodes are the largest table; they go when their pairs are written.
+    # A set has as many cells as its band has blocks, and goes to them with its point.
+    of_set = members.groupBy("sid").agg(
+        F.min("leaf").alias("leaf"), F.sort_array(F.collect_list(F.struct("cell", "packers"))).alias("meets")
+    )
+    listed = F.concat(F.col("meets")["cell"], F.array_repeat(F.lit(_NO_CELL), FIRST_CELLS))
+    firsts = F.slice(listed, 1, FIRST_CELLS).alias("firsts")
+    # The pages are the largest table; they go when their pairs are written.
     with table_scope(spark), common.small_batches(spark):
-        nodes = materialise(
-            members.join(points.select("sid", "n", "point").join(firsts, "sid"), "sid")
-            .select("cell", "leaf", "sid", "n", "point", "firsts")
-            .repartition("cell", F.pmod("leaf", F.lit(_PACKERS)))
+        pages = materialise(
+            of_set.join(points.select("sid", "n", "point"), "sid")
+            .select("leaf", "sid", "n", "point", firsts, F.inline("meets"))
+            .select("cell", "leaf", "sid", "n", "point", "firsts", "packers")
+            .repartition("cell", F.pmod("leaf", "packers"))
             .sortWithinPartitions("cell", "leaf", "sid")
-            .mapInArrow(common.tidy(_nodes), _NODE),
-            "nodes",
+            .drop("packers")
+            .mapInArrow(common.tidy(_pages), _PAGE),
+            "pages",
         )
         common.free_shuffles(spark)
-        x, y = nodes.alias("x"), nodes.alias("y")
+        x, y = pages.alias("x"), pages.alias("y")
         one_leaf = (F.col("x.low") == F.col("y.high")) & (F.col("x.high") == F.col("y.low"))
         near = (100 * F.col("x.most") >= percent * F.col("y.least")) & (100 * F.col("y.most") >= percent * F.col("x.least"))
         met = x.join(
-            y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.node") <= F.col("y.node")) & near & ~one_leaf
+            y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.page") <= F.col("y.page")) & near & ~one_leaf
         )
         packed = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in _PACKED]
-        opened = met.select((F.col("x.node") == F.col("y.node")).alias("same"), F.col("x.cell").alias("cell"), *packed)
+        opened = met.select((F.col("x.page") == F.col("y.page")).alias("same"), F.col("x.cell").alias("cell"), *packed)
         if round_ is None:
             found = materialise(opened.mapInArrow(common.tidy(_opened(percent)), _PAIR).distinct(), "allowed-pairs")
             wide = points.select("sid", F.coalesce("wide", "point"), "n")

@@ -839,3 +839,60 @@ def test_a_task_gives_memory_back(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2])], ["x"])
     assert list(common.tidy(lambda batches: batches)(iter([batch, batch]))) == [batch, batch]
     assert called == [1]
+
+
+@pytest.mark.parametrize(("held", "rounds"), [(1 << 18, 0), (7, 20)])
+def test_links_are_contracted_before_they_meet_in_rounds(spark, monkeypatch, held, rounds):
+    """Chains dealt over many tasks: stars of one lot need no round; small lots meet in rounds."""
+    labels, materialise = [], ngram_join.materialise
+
+    def noted(df, label):
+        labels.append(label)
+        return materialise(df, label)
+
+    monkeypatch.setattr(ngram_join, "_HELD", held)
+    monkeypatch.setattr(ngram_join, "materialise", noted)
+    rows = [(k, k + 1) for k in range(120) if k % 40 != 39] + [(500, 500), (700, 600), (600, 700)]
+    random.Random(3).shuffle(rows)
+    links = spark.createDataFrame(rows, "a long, b long").repartition(9)
+    got = [(r.sid, r.component) for r in ngram_join.components(links).collect()]
+    assert sorted(got) == [(k, k - k % 40) for k in range(120)] + [(600, 600), (700, 600)]
+    assert labels.count("stars") <= 3
+    assert labels.count("labels") <= rounds
+
+
+def test_no_links_have_no_components(spark):
+    assert ngram_join.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_nodes_of_pages_meet_as_their_points_do(monkeypatch):
+    """A cell's points are a few rows of pages; what leaves is every allowed pair of two leaves."""
+    monkeypatch.setattr(ngram_join, "NODE", 4)
+    monkeypatch.setattr(ngram_join, "PAGE", 16)
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 3, (5, ngram_join.GROUPS), np.int32)
+    points = base[rng.integers(0, 5, 50)]
+    points[np.arange(50), rng.integers(0, ngram_join.GROUPS, 50)] += 300 * (np.arange(50) % 17 == 0)
+    leaves = np.sort(rng.integers(-3, 4, 50))
+    sizes, sids = points.sum(axis=1).astype(np.int64), np.arange(50) - 20
+    free = np.full((50, ngram_join.FIRST_CELLS), ngram_join._NO_CELL)
+    columns = [
+        pa.array(np.full(50, 9)), pa.array(leaves), pa.array(sids), pa.array(sizes),
+        pa.array([ngram_join._packed(p) for p in points], pa.binary()), pa.array(free.tolist(), pa.list_(pa.int64())),
+    ]
+    batch = pa.RecordBatch.from_arrays(columns, ["cell", "leaf", "sid", "n", "point", "firsts"])
+    pages = [page for out in ngram_join._pages(iter([batch.slice(0, 30), batch.slice(30)])) for page in out.to_pylist()]
+    assert len(pages) == 4
+    met = [(x, y) for i, x in enumerate(pages) for y in pages[i:]]
+    rows = [pa.array([x is y for x, y in met]), pa.array([9] * len(met))]
+    rows += [pa.array([pair[side][c] for pair in met], pa.binary()) for side in (0, 1) for c in ngram_join._PACKED]
+    names = [str(i) for i in range(len(rows))]
+    out = list(ngram_join._opened(85)(iter([pa.RecordBatch.from_arrays(rows, names)])))
+    got = sorted((min(r["a"], r["b"]), max(r["a"], r["b"]), r["least"]) for o in out for r in o.to_pylist())
+    want = []
+    for i in range(50):
+        for j in range(i + 1, 50):
+            least = int(np.minimum(points[i], points[j]).sum())
+            if leaves[i] != leaves[j] and 185 * least >= 85 * (sizes[i] + sizes[j]):
+                want.append((int(sids[i]), int(sids[j]), least))
+    assert want and got == sorted(want)
